@@ -1,0 +1 @@
+"""Empty on purpose: the warehouse is a batch job and defines no streaming operator."""
