@@ -29,15 +29,15 @@ LINE = ["order_key", "product_key", "line_number", "order_quantity", "unit_price
 def shown(df: DataFrame) -> DataFrame:
     """Plain column types that any engine compares alike: decimals as doubles, times as text."""
 
-    def plain(field: T.StructField):
-        column = F.col(field.name)
+    def plain(field: T.StructField) -> str:
+        name = field.name
         if isinstance(field.dataType, T.DecimalType):
-            return column.cast("double").alias(field.name)
+            return f"CAST({name} AS double) AS {name}"
         if isinstance(field.dataType, (T.DateType, T.TimestampType)):
-            return column.cast("string").alias(field.name)
-        return column
+            return f"CAST({name} AS string) AS {name}"
+        return name
 
-    return df.select(*[plain(f) for f in df.schema.fields])
+    return df.selectExpr(*[plain(f) for f in df.schema.fields])
 
 
 def _on_sources(make: Callable[[Sources], DataFrame]) -> Query:
@@ -96,14 +96,16 @@ def _join_items(s: Sources) -> DataFrame:
 
 def _join_products(s: Sources) -> DataFrame:
     items, products = s["order_items"], s["products"]
-    heavy = skew.heavy_keys(items, ["product_id"], fact.POLICY)
+    rows = s.rows("order_items")["order_items"]
+    heavy = skew.heavy_keys(items, ["product_id"], fact.POLICY, rows)
     return skew.skew_join(items, products, ["product_id"], left_heavy=heavy).select(
         "order_id", "line_number", "quantity", "product_id", "product_name", "supplier_id"
     )
 
 
 def _join_shipments(s: Sources) -> DataFrame:
-    heavy = skew.heavy_keys(s["shipments"], ["order_id"], fact.POLICY)
+    rows = s.rows("shipments")["shipments"]
+    heavy = skew.heavy_keys(s["shipments"], ["order_id"], fact.POLICY, rows)
     shipments = s["shipments"].drop("supplier_id")
     return skew.skew_join(s["orders"], shipments, ["order_id"], "left", right_heavy=heavy)
 

@@ -2,32 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotlake.functions.banding import turnover_class
 from depotlake.operators.skew import HeavyKeys, SkewPolicy, heavy_keys, skew_join, small_side
+from depotlake.sources.registry import Sources
 
 POLICY = SkewPolicy()
 
-# Values of a line whose order was not shipped, or whose item is not stocked.
-LINE_DEFAULTS: dict[str, object] = {
-    "delivery_time_days": 0,
-    "is_late_delivery": False,
-    "shipping_cost": Decimal("0.00"),
-    "delivery_performance_score": Decimal("1.00"),
-    "quality_rating": Decimal("5.0"),
-    "current_stock_level": 0,
-    "reorder_point": 0,
-    "stock_out_risk_score": Decimal("0.00"),
-    "days_of_supply": 0,
-    "movement_velocity": "UNKNOWN",
-    "stock_status": "UNKNOWN",
-    "warehouse_name": "Unknown",
-    "warehouse_region": "Unknown",
+# Sources whose size decides how they are joined.
+COUNTED = (
+    "orders",
+    "order_items",
+    "products",
+    "categories",
+    "inventory",
+    "shipments",
+    "warehouses",
+)
+
+# Values of a line whose order was not shipped, or whose item is not stocked, as SQL literals.
+LINE_DEFAULTS: dict[str, str] = {
+    "delivery_time_days": "0",
+    "is_late_delivery": "false",
+    "shipping_cost": "0.00BD",
+    "delivery_performance_score": "1.00BD",
+    "quality_rating": "5.0BD",
+    "current_stock_level": "0",
+    "reorder_point": "0",
+    "stock_out_risk_score": "0.00BD",
+    "days_of_supply": "0",
+    "movement_velocity": "'UNKNOWN'",
+    "stock_status": "'UNKNOWN'",
+    "warehouse_name": "'Unknown'",
+    "warehouse_region": "'Unknown'",
 }
 
 RISK_WEIGHT = Decimal("0.4")
@@ -37,47 +48,42 @@ LATE_RISK = Decimal("0.36")  # a late line adds 0.6 weighted by 0.6
 # ------------------------------------------------------------------- joins
 
 
-def orders_with_customers(sources: Mapping[str, DataFrame], policy: SkewPolicy = POLICY):
-    orders = sources["orders"]
-    heavy = heavy_keys(orders, ["customer_id"], policy)
-    return skew_join(orders, sources["customers"], ["customer_id"], left_heavy=heavy)
+def _heavy(sources: Sources, name: str, column: str, policy: SkewPolicy) -> HeavyKeys:
+    return heavy_keys(sources[name], [column], policy, sources.rows(name)[name])
 
 
-def items_with_orders(
-    sources: Mapping[str, DataFrame],
-    policy: SkewPolicy = POLICY,
-    heavy: HeavyKeys | None = None,
-) -> DataFrame:
-    """Order items with their order and customer; items rooted, so big rows move once."""
-    items = sources["order_items"]
-    if heavy is None:
-        heavy = heavy_keys(items, ["order_id"], policy)
+def orders_with_customers(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
+    heavy = _heavy(sources, "orders", "customer_id", policy)
     return skew_join(
-        items, orders_with_customers(sources, policy), ["order_id"], left_heavy=heavy
+        sources["orders"], sources["customers"], ["customer_id"], left_heavy=heavy
     )
 
 
-def products_with_categories(sources: Mapping[str, DataFrame], policy: SkewPolicy = POLICY):
-    products = sources["products"]
-    categories = small_side(sources["categories"], policy)
-    return products.join(categories, "category_id")
+def items_with_orders(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
+    """Order items with their order and customer; items rooted, so big rows move once."""
+    heavy = _heavy(sources, "order_items", "order_id", policy)
+    orders = orders_with_customers(sources, policy)
+    return skew_join(sources["order_items"], orders, ["order_id"], left_heavy=heavy)
+
+
+def products_with_categories(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
+    categories = small_side(
+        sources["categories"], policy, sources.rows("categories")["categories"]
+    )
+    return sources["products"].join(categories, "category_id")
 
 
-def products_with_suppliers(sources: Mapping[str, DataFrame], policy: SkewPolicy = POLICY):
+def products_with_suppliers(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Products with their own supplier, which need not be the one who shipped the order."""
-    products = sources["products"]
-    heavy = heavy_keys(products, ["supplier_id"], policy)
+    heavy = _heavy(sources, "products", "supplier_id", policy)
     suppliers = sources["suppliers"].select("supplier_id", "supplier_name")
     return skew_join(
         products_with_categories(sources, policy), suppliers, ["supplier_id"], left_heavy=heavy
     )
 
 
-def shipments_with_warehouses(
-    sources: Mapping[str, DataFrame], policy: SkewPolicy = POLICY
-) -> DataFrame:
+def shipments_with_warehouses(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Shipments with their warehouse; an unknown warehouse leaves ``warehouse_key`` NULL."""
-    shipments = sources["shipments"].drop("supplier_id")
     warehouses = small_side(
         sources["warehouses"].select(
             "warehouse_id",
@@ -86,25 +92,29 @@ def shipments_with_warehouses(
             F.col("region").alias("warehouse_region"),
         ),
         policy,
+        sources.rows("warehouses")["warehouses"],
     )
+    shipments = sources["shipments"].drop("supplier_id")
     return shipments.join(warehouses, "warehouse_id", "left").drop("warehouse_id")
 
 
-def order_lines(sources: Mapping[str, DataFrame], policy: SkewPolicy = POLICY) -> DataFrame:
+def order_lines(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Nominally one row per order item; further shipments of the order, or stock records of the
     item in the warehouse, multiply it.
 
     The items are shuffled by order for two joins, by product unless the products fit a
     broadcast, and by (product, warehouse) for the stock.
     """
-    items, shipments = sources["order_items"], sources["shipments"]
-    by_order = heavy_keys(items, ["order_id"], policy)
-    by_product = heavy_keys(items, ["product_id"], policy)
-    shipped = heavy_keys(shipments, ["order_id"], policy)
+    sources.rows(*COUNTED)
+    by_order = _heavy(sources, "order_items", "order_id", policy)
+    by_product = _heavy(sources, "order_items", "product_id", policy)
+    shipped = _heavy(sources, "shipments", "order_id", policy)
     inventory = sources["inventory"].withColumnRenamed("warehouse_id", "warehouse_key")
-    stocked = heavy_keys(inventory, ["product_id", "warehouse_key"], policy)
+    stock_key = ["product_id", "warehouse_key"]
+    stocked = heavy_keys(inventory, stock_key, policy, sources.rows("inventory")["inventory"])
 
-    lines = items_with_orders(sources, policy, by_order)
+    orders = orders_with_customers(sources, policy)
+    lines = skew_join(sources["order_items"], orders, ["order_id"], left_heavy=by_order)
     lines = skew_join(
         lines,
         shipments_with_warehouses(sources, policy),
@@ -117,20 +127,15 @@ def order_lines(sources: Mapping[str, DataFrame], policy: SkewPolicy = POLICY) -
         lines, products_with_suppliers(sources, policy), ["product_id"], left_heavy=by_product
     )
     return skew_join(
-        lines,
-        inventory,
-        ["product_id", "warehouse_key"],
-        "left",
-        left_heavy=by_product,
-        right_heavy=stocked,
+        lines, inventory, stock_key, "left", left_heavy=by_product, right_heavy=stocked
     )
 
 
 # -------------------------------------------------------------- projections
 
 
-def _known(name: str, column: str | None = None) -> Column:
-    return F.coalesce(F.col(column or name), F.lit(LINE_DEFAULTS[name])).alias(name)
+def _known(name: str, column: str | None = None) -> str:
+    return f"coalesce({column or name}, {LINE_DEFAULTS[name]}) AS {name}"
 
 
 def fact_base(lines: DataFrame) -> DataFrame:
@@ -138,13 +143,13 @@ def fact_base(lines: DataFrame) -> DataFrame:
 
     ``line_number`` is no part of the fact; it only orders lines of equal date.
     """
-    return lines.select(
-        F.col("order_id").alias("order_key"),
-        F.col("customer_id").alias("customer_key"),
-        F.col("product_id").alias("product_key"),
-        F.col("supplier_id").alias("supplier_key"),
+    return lines.selectExpr(
+        "order_id AS order_key",
+        "customer_id AS customer_key",
+        "product_id AS product_key",
+        "supplier_id AS supplier_key",
         "warehouse_key",
-        F.col("category_id").alias("category_key"),
+        "category_id AS category_key",
         "order_date",
         "shipment_date",
         "expected_delivery_date",
@@ -153,9 +158,9 @@ def fact_base(lines: DataFrame) -> DataFrame:
         "product_name",
         "category_name",
         "supplier_name",
-        F.col("quantity").alias("order_quantity"),
-        F.col("price").alias("unit_price"),
-        (F.col("quantity") * F.col("price")).cast("decimal(21,2)").alias("order_value"),
+        "quantity AS order_quantity",
+        "price AS unit_price",
+        "CAST(quantity * price AS decimal(21,2)) AS order_value",
         _known("delivery_time_days"),
         _known("is_late_delivery", "is_late"),
         _known("shipping_cost"),

@@ -40,13 +40,13 @@ def valid_lines(df: DataFrame) -> DataFrame:
 def fill_defaults(
     df: DataFrame, values: Mapping[str, int | Decimal] = FILL_VALUES
 ) -> DataFrame:
-    return df.withColumns(
-        {
-            c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType))
-            for c, v in values.items()
-            if c in df.columns
-        }
-    )
+    types = dict(df.dtypes)
+    filled = {
+        c: f"coalesce({c}, CAST({v} AS {types[c]})) AS {c}"
+        for c, v in values.items()
+        if c in types
+    }
+    return df.selectExpr(*[filled.get(c, c) for c in df.columns])
 
 
 def clamp_scores(df: DataFrame, columns: Sequence[str] = UNIT_SCORES) -> DataFrame:

@@ -61,14 +61,17 @@ class HeavyKeys:
         )
 
 
-def heavy_keys(df: DataFrame, columns: list[str], policy: SkewPolicy) -> HeavyKeys:
-    """Find the heavy values of ``columns``.
+def heavy_keys(
+    df: DataFrame, columns: list[str], policy: SkewPolicy, total: int | None = None
+) -> HeavyKeys:
+    """Find the heavy values of ``columns``; ``total`` is the row count, if it is known.
 
     Big inputs are sampled. Like the sample behind a range partitioning, this decides how rows are
     placed and never which rows are in the result.
     """
     keys = df.select(*columns)
-    total = keys.count()
+    if total is None:
+        total = keys.count()
     floor = max(total * policy.share, policy.min_rows)
     if total < floor:
         return HeavyKeys(tuple(columns))
@@ -147,8 +150,6 @@ def skew_join(
     return light.select(*columns).unionByName(heavy)
 
 
-def small_side(df: DataFrame, policy: SkewPolicy) -> DataFrame:
-    """Broadcast ``df`` if it has been counted to hold at most ``policy.broadcast_rows`` rows."""
-    if df.limit(policy.broadcast_rows + 1).count() <= policy.broadcast_rows:
-        return F.broadcast(df)
-    return df
+def small_side(df: DataFrame, policy: SkewPolicy, total: int) -> DataFrame:
+    """Broadcast ``df`` if its counted rows, ``total``, are few enough for every executor."""
+    return F.broadcast(df) if total <= policy.broadcast_rows else df

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -30,20 +29,21 @@ from depotlake.plans.tables import (
     write_parquet,
 )
 from depotlake.schemas import TABLES, columns, exact_fact, to_table
+from depotlake.sources.registry import Sources
 
 POLICY = SkewPolicy()
 
 
-def base_lines(sources: Mapping[str, DataFrame], policy: SkewPolicy = POLICY) -> DataFrame:
+def base_lines(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     return order_lines(sources, policy).transform(fact_base)
 
 
-def plain_fact(sources: Mapping[str, DataFrame], policy: SkewPolicy = POLICY) -> DataFrame:
+def plain_fact(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """The clean fact without the running columns; one lazy plan, nothing is written."""
     return base_lines(sources, policy).transform(with_derived).transform(clean_fact)
 
 
-def enhanced_fact(sources: Mapping[str, DataFrame], policy: SkewPolicy = POLICY) -> DataFrame:
+def enhanced_fact(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """The fact with all 44 columns before cleaning, in contract order, types still exact.
 
     The joined lines are staged: the joins run once, the histories read the files.
@@ -53,7 +53,7 @@ def enhanced_fact(sources: Mapping[str, DataFrame], policy: SkewPolicy = POLICY)
     return whole.select(*[name for name, _ in columns(TABLES["supply_chain_fact"])])
 
 
-def full_fact(sources: Mapping[str, DataFrame], policy: SkewPolicy = POLICY) -> DataFrame:
+def full_fact(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     return enhanced_fact(sources, policy).transform(clean_fact)
 
 
@@ -74,7 +74,7 @@ def indicators(fact: DataFrame) -> dict[str, DataFrame]:
 
 
 def dimensions(
-    sources: Mapping[str, DataFrame], run_date: date, run_time: datetime
+    sources: Sources, run_date: date, run_time: datetime
 ) -> dict[str, DataFrame]:
     return {
         name: initial_load(sources[d.source], d.keys, d.tracked, run_date, run_time)
@@ -100,7 +100,7 @@ class Warehouse:
 
 def build_warehouse(
     spark: SparkSession,
-    sources: Mapping[str, DataFrame],
+    sources: Sources,
     root: str,
     run_date: date,
     run_time: datetime,

@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- sources
 
@@ -194,7 +193,7 @@ def columns(ddl: str) -> list[tuple[str, str]]:
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Select and cast ``df`` to the columns, order and types of ``ddl``."""
-    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns(ddl)])
+    return df.selectExpr(*[f"CAST({name} AS {kind}) AS {name}" for name, kind in columns(ddl)])
 
 
 def to_table(df: DataFrame, table: str) -> DataFrame:
@@ -203,6 +202,5 @@ def to_table(df: DataFrame, table: str) -> DataFrame:
 
 def exact_fact(fact: DataFrame) -> DataFrame:
     """Turn the stored doubles of the fact back into the decimals they were cast from."""
-    return fact.withColumns(
-        {c: F.col(c).cast(t) for c, t in EXACT_TYPES.items() if c in fact.columns}
-    )
+    exact = {c: f"CAST({c} AS {kind}) AS {c}" for c, kind in EXACT_TYPES.items()}
+    return fact.selectExpr(*[exact.get(c, c) for c in fact.columns])

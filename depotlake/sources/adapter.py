@@ -7,11 +7,29 @@ derives the same values.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlake.sources.registry import Sources
 
+# Columns of the tables read. Naming them saves a look into the files.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint, p_name string, p_type string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double,"
+        " l_extendedprice double"
+    ),
+}
+
 # The six part types in alphabetical order give the category ids 1 to 6.
 CATEGORY_IDS = {
     "ECONOMY": 1,
@@ -32,59 +50,84 @@ def _category_id(part_type: str) -> str:
 
 
 def retail_sources(spark: SparkSession, folder: str) -> Sources:
+    @cache
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    part, orders, suppliers = table("part"), table("orders"), table("supplier")
-    supplier_count = suppliers.count()  # answered from the Parquet footers
+        return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
+
+    @cache
+    def supplier_count() -> int:
+        return max(table("supplier").count(), 1)  # answered from the Parquet footers
+
+    def customers() -> DataFrame:
+        return table("customer").selectExpr(
+            "c_custkey AS customer_id",
+            "c_name AS customer_name",
+            "concat(replace(lower(c_name), '#', '.'), '@example.com') AS customer_email",
+        )
+
+    def orders() -> DataFrame:
+        return table("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            "CAST(o_orderdate AS DATE) AS order_date",
+        )
+
+    def order_items() -> DataFrame:
+        return table("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            "l_partkey AS product_id",
+            "CAST(l_quantity AS INT) AS quantity",
+            # The list price of a line covers 50 units.
+            "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 0.02BD AS DECIMAL(10,2)) AS price",
+            "l_linenumber AS line_number",
+        )
+
+    def products() -> DataFrame:
+        return table("part").selectExpr(
+            "p_partkey AS product_id",
+            "p_name AS product_name",
+            f"{_category_id('p_type')} AS category_id",
+            f"p_partkey % {supplier_count()} AS supplier_id",
+        )
+
+    def categories() -> DataFrame:
+        kinds = table("part").select("p_type").distinct()
+        return kinds.selectExpr(
+            f"{_category_id('p_type')} AS category_id", "p_type AS category_name"
+        )
+
+    def suppliers() -> DataFrame:
+        return table("supplier").selectExpr(
+            "s_suppkey AS supplier_id",
+            "s_name AS supplier_name",
+            "'ACTIVE' AS supplier_status",
+            "CAST((20 + s_suppkey % 31) * 0.1BD AS DECIMAL(3,2)) AS supplier_rating",
+        )
+
+    def warehouses() -> DataFrame:
+        places = table("nation").join(
+            table("region"), F.col("n_regionkey") == F.col("r_regionkey")
+        )
+        return places.selectExpr(
+            "n_nationkey AS warehouse_id",
+            "n_name AS warehouse_name",
+            "CASE n_nationkey % 3 WHEN 0 THEN 'REGIONAL_HUB' WHEN 1 THEN 'FULFILLMENT'"
+            " ELSE 'LOCAL_DEPOT' END AS warehouse_type",
+            "r_name AS region",
+            "n_name AS city",
+        )
 
     return Sources(
         {
-            "customers": table("customer").selectExpr(
-                "c_custkey AS customer_id",
-                "c_name AS customer_name",
-                "concat(replace(lower(c_name), '#', '.'), '@example.com') AS customer_email",
-            ),
-            "orders": orders.selectExpr(
-                "o_orderkey AS order_id",
-                "o_custkey AS customer_id",
-                "CAST(o_orderdate AS DATE) AS order_date",
-            ),
-            "order_items": table("lineitem").selectExpr(
-                "l_orderkey AS order_id",
-                "l_partkey AS product_id",
-                "CAST(l_quantity AS INT) AS quantity",
-                # The list price of a line covers 50 units.
-                "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 0.02BD AS DECIMAL(10,2)) AS price",
-                "l_linenumber AS line_number",
-            ),
-            "products": part.selectExpr(
-                "p_partkey AS product_id",
-                "p_name AS product_name",
-                f"{_category_id('p_type')} AS category_id",
-                f"p_partkey % {max(supplier_count, 1)} AS supplier_id",
-            ),
-            "categories": part.select("p_type")
-            .distinct()
-            .selectExpr(f"{_category_id('p_type')} AS category_id", "p_type AS category_name"),
-            "suppliers": suppliers.selectExpr(
-                "s_suppkey AS supplier_id",
-                "s_name AS supplier_name",
-                "'ACTIVE' AS supplier_status",
-                "CAST((20 + s_suppkey % 31) * 0.1BD AS DECIMAL(3,2)) AS supplier_rating",
-            ),
-            "inventory": _inventory(part),
-            "shipments": _shipments(orders, max(supplier_count, 1)),
-            "warehouses": table("nation")
-            .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .selectExpr(
-                "n_nationkey AS warehouse_id",
-                "n_name AS warehouse_name",
-                "CASE n_nationkey % 3 WHEN 0 THEN 'REGIONAL_HUB' WHEN 1 THEN 'FULFILLMENT'"
-                " ELSE 'LOCAL_DEPOT' END AS warehouse_type",
-                "r_name AS region",
-                "n_name AS city",
-            ),
+            "customers": customers,
+            "orders": orders,
+            "order_items": order_items,
+            "products": products,
+            "categories": categories,
+            "suppliers": suppliers,
+            "inventory": lambda: _inventory(table("part")),
+            "shipments": lambda: _shipments(table("orders"), supplier_count()),
+            "warehouses": warehouses,
         }
     )
 

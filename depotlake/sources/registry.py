@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 from functools import reduce
 
@@ -13,31 +13,47 @@ from depotlake.schemas import COLUMN_DEFAULTS, LOAD_TIME_DEFAULTS, SOURCES, conf
 
 
 class Sources(Mapping[str, DataFrame]):
-    """Named source DataFrames with the declared columns; nothing is read until it is used."""
+    """Named source DataFrames with the declared columns, made and read only when asked for."""
 
-    def __init__(self, frames: Mapping[str, DataFrame], current_only: bool = False):
+    def __init__(
+        self,
+        frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
+        current_only: bool = False,
+    ):
         """``current_only`` keeps the current versions of sources that carry ``is_current``."""
         missing = sorted(set(SOURCES) - set(frames))
         if missing:
             raise ValueError(f"sources not given: {missing}")
-        self._frames = {}
-        for name, ddl in SOURCES.items():
-            frame = frames[name]
-            if current_only and "is_current" in frame.columns:
-                frame = frame.filter("is_current")
-            self._frames[name] = conform(frame, ddl)
+        self._given = dict(frames)
+        self._current_only = current_only
+        self._ready: dict[str, DataFrame] = {}
+        self._rows: dict[str, int] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._frames[name]
+        if name not in self._ready:
+            given = self._given[name]
+            frame = given if isinstance(given, DataFrame) else given()
+            if self._current_only and "is_current" in frame.columns:
+                frame = frame.filter("is_current")
+            self._ready[name] = conform(frame, SOURCES[name])
+        return self._ready[name]
 
     def __iter__(self):
-        return iter(self._frames)
+        return iter(SOURCES)
 
     def __len__(self) -> int:
-        return len(self._frames)
+        return len(SOURCES)
+
+    def rows(self, *names: str) -> dict[str, int]:
+        """Row counts, each taken once; those still missing are taken in one job."""
+        missing = [n for n in names if n not in self._rows]
+        if missing:
+            counted = source_counts({n: self[n] for n in missing}).collect()
+            self._rows |= {r["source_name"]: r["row_count"] for r in counted}
+        return {n: self._rows[n] for n in names}
 
     def replace(self, **frames: DataFrame) -> "Sources":
-        return Sources({**self._frames, **frames})
+        return Sources({**self._given, **frames}, self._current_only)
 
 
 def source_counts(sources: Mapping[str, DataFrame]) -> DataFrame:
@@ -48,7 +64,7 @@ def source_counts(sources: Mapping[str, DataFrame]) -> DataFrame:
         )
         for name, df in sources.items()
     ]
-    return reduce(DataFrame.unionByName, counted)
+    return reduce(DataFrame.unionAll, counted)
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
