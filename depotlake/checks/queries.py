@@ -23,6 +23,9 @@ FIRST_LOAD = (date(2024, 1, 1), datetime(2024, 1, 1, 6, 0))
 SECOND_LOAD = (date(2024, 3, 1), datetime(2024, 3, 1, 6, 0))
 LOOK_UP_DAY = date(2024, 2, 1)
 
+# Sends whole tables the way of skewed data: no key is too small to be heavy, none is broadcast.
+SPREAD = skew.SkewPolicy(min_rows=1, broadcast_rows=0)
+
 LINE = ["order_key", "product_key", "line_number", "order_quantity", "unit_price"]
 
 
@@ -95,21 +98,11 @@ def _join_items(s: Sources) -> DataFrame:
 
 
 def _join_products(s: Sources) -> DataFrame:
-    items, products = s["order_items"], s["products"]
-    rows = s.rows("order_items")["order_items"]
-    heavy = skew.heavy_keys(items, ["product_id"], fact.POLICY, rows)
-    return skew.skew_join(items, products, ["product_id"], left_heavy=heavy).select(
+    return fact.items_with_products(s).select(
         "order_id", "line_number", "quantity", "product_id", "product_name", "supplier_id"
     )
 
 
-def _join_shipments(s: Sources) -> DataFrame:
-    rows = s.rows("shipments")["shipments"]
-    heavy = skew.heavy_keys(s["shipments"], ["order_id"], fact.POLICY, rows)
-    shipments = s["shipments"].drop("supplier_id")
-    return skew.skew_join(s["orders"], shipments, ["order_id"], "left", right_heavy=heavy)
-
-
 def _join_inventory(s: Sources) -> DataFrame:
     return fact.order_lines(s).select(
         "order_id",
@@ -138,7 +131,7 @@ SOURCE_QUERIES: dict[str, Query] = {
     "join_products": _on_sources(_join_products),
     "join_categories": _on_sources(fact.products_with_categories),
     "join_suppliers": _on_sources(fact.products_with_suppliers),
-    "join_shipments": _on_sources(_join_shipments),
+    "join_shipments": _on_sources(fact.orders_with_shipments),
     "join_warehouses": _on_sources(fact.shipments_with_warehouses),
     "join_inventory": _on_sources(_join_inventory),
 }
@@ -147,6 +140,7 @@ SOURCE_QUERIES: dict[str, Query] = {
 
 PROJECTION_QUERIES: dict[str, Query] = {
     "fact_base": _on_base(lambda b: b),
+    "fact_base_spread": _on_sources(lambda s: warehouse.base_lines(s, SPREAD)),
     "supply_chain_risk": _on_base(
         lambda b: fact.with_risk_score(b).select(
             *LINE, "stock_out_risk_score", "is_late_delivery", "supply_chain_risk_score"
@@ -276,56 +270,53 @@ QUALITY_QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------- windows
 
 
-def _history(key: str, column: str, needs: str | None = None, **outputs) -> Query:
+def _history(
+    key: str, needs: str | None = None, policy: skew.SkewPolicy = warehouse.POLICY, **outputs
+) -> Query:
     followed = running.History(key, **outputs)
-
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        base = warehouse.base_lines(retail_sources(spark, folder))
-        needed = dict.fromkeys([*LINE, key, "order_date", *([needs] if needs else [])])
-        lines = stage(base.select(*needed), column)
-        return shown(running.with_history(lines, followed))
-
-    return query
+    needed = dict.fromkeys([*LINE, key, "order_date", *([needs] if needs else [])])
+    return _on_sources(
+        lambda s: warehouse.lines_with_histories(
+            s, followed, policy=policy, needed=list(needed)
+        )
+    )
 
 
 WINDOW_QUERIES: dict[str, Query] = {
     "win_customer_sequence": _history(
-        "customer_key", "customer_order_sequence", sequence="customer_order_sequence"
+        "customer_key", sequence="customer_order_sequence"
     ),
     "win_customer_rank": _history(
-        "customer_key", "customer_total_orders", rank="customer_total_orders"
+        "customer_key", rank="customer_total_orders"
     ),
     "win_customer_running_value": _history(
         "customer_key",
-        "customer_cumulative_value",
         "order_value",
         sums={"customer_cumulative_value": "order_value"},
     ),
     "win_supplier_sequence": _history(
-        "supplier_key", "supplier_order_sequence", sequence="supplier_order_sequence"
+        "supplier_key", sequence="supplier_order_sequence"
     ),
     "win_supplier_running_delivery": _history(
         "supplier_key",
-        "supplier_avg_delivery_time",
         "delivery_time_days",
         means={"supplier_avg_delivery_time": "delivery_time_days"},
     ),
     "win_supplier_running_late_rate": _history(
         "supplier_key",
-        "supplier_late_delivery_rate",
         "is_late_delivery",
         shares={"supplier_late_delivery_rate": "is_late_delivery"},
     ),
     "win_product_sequence": _history(
-        "product_key", "product_order_sequence", sequence="product_order_sequence"
+        "product_key", sequence="product_order_sequence"
     ),
     "win_product_running_demand": _history(
         "product_key",
-        "product_demand_trend",
         "order_quantity",
         sums={"product_demand_trend": "order_quantity"},
     ),
     "fact_enhanced": _on_sources(warehouse.enhanced_fact),
+    "fact_enhanced_spread": _on_sources(lambda s: warehouse.enhanced_fact(s, SPREAD)),
 }
 
 # ------------------------------------------------------------- marts, KPIs

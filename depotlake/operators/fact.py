@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotlake.functions.banding import turnover_class
-from depotlake.operators.skew import HeavyKeys, SkewPolicy, heavy_keys, skew_join, small_side
+from depotlake.operators.skew import HeavyKeys, SkewPolicy, heavy_keys, look_up
 from depotlake.sources.registry import Sources
 
 POLICY = SkewPolicy()
 
-# Sources whose size decides how they are joined.
-COUNTED = (
-    "orders",
-    "order_items",
-    "products",
-    "categories",
-    "inventory",
-    "shipments",
-    "warehouses",
-)
-
 # Values of a line whose order was not shipped, or whose item is not stocked, as SQL literals.
 LINE_DEFAULTS: dict[str, str] = {
     "delivery_time_days": "0",
@@ -48,86 +39,150 @@ LATE_RISK = Decimal("0.36")  # a late line adds 0.6 weighted by 0.6
 # ------------------------------------------------------------------- joins
 
 
-def _heavy(sources: Sources, name: str, column: str, policy: SkewPolicy) -> HeavyKeys:
-    return heavy_keys(sources[name], [column], policy, sources.rows(name)[name])
+def _heavy(
+    sources: Sources, name: str, columns: list[str], policy: SkewPolicy
+) -> Callable[[], HeavyKeys]:
+    """The heavy keys of a source, looked for on the first call."""
+    return cache(lambda: heavy_keys(sources[name], columns, policy, sources.rows(name)[name]))
 
 
 def orders_with_customers(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
-    heavy = _heavy(sources, "orders", "customer_id", policy)
-    return skew_join(
-        sources["orders"], sources["customers"], ["customer_id"], left_heavy=heavy
+    return look_up(
+        sources["orders"],
+        sources["customers"],
+        ["customer_id"],
+        sources.rows("orders", "customers")["customers"],
+        policy,
+        left_heavy=_heavy(sources, "orders", ["customer_id"], policy),
     )
 
 
 def items_with_orders(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Order items with their order and customer; items rooted, so big rows move once."""
-    heavy = _heavy(sources, "order_items", "order_id", policy)
-    orders = orders_with_customers(sources, policy)
-    return skew_join(sources["order_items"], orders, ["order_id"], left_heavy=heavy)
+    return look_up(
+        sources["order_items"],
+        orders_with_customers(sources, policy),
+        ["order_id"],
+        sources.rows("order_items", "orders")["orders"],
+        policy,
+        left_heavy=_heavy(sources, "order_items", ["order_id"], policy),
+    )
+
+
+def items_with_products(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
+    return look_up(
+        sources["order_items"],
+        sources["products"],
+        ["product_id"],
+        sources.rows("order_items", "products")["products"],
+        policy,
+        left_heavy=_heavy(sources, "order_items", ["product_id"], policy),
+    )
 
 
 def products_with_categories(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
-    categories = small_side(
-        sources["categories"], policy, sources.rows("categories")["categories"]
+    return look_up(
+        sources["products"],
+        sources["categories"],
+        ["category_id"],
+        sources.rows("products", "categories")["categories"],
+        policy,
+        left_heavy=_heavy(sources, "products", ["category_id"], policy),
     )
-    return sources["products"].join(categories, "category_id")
 
 
 def products_with_suppliers(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Products with their own supplier, which need not be the one who shipped the order."""
-    heavy = _heavy(sources, "products", "supplier_id", policy)
-    suppliers = sources["suppliers"].select("supplier_id", "supplier_name")
-    return skew_join(
-        products_with_categories(sources, policy), suppliers, ["supplier_id"], left_heavy=heavy
+    return look_up(
+        products_with_categories(sources, policy),
+        sources["suppliers"].select("supplier_id", "supplier_name"),
+        ["supplier_id"],
+        sources.rows("products", "suppliers")["suppliers"],
+        policy,
+        left_heavy=_heavy(sources, "products", ["supplier_id"], policy),
+    )
+
+
+def orders_with_shipments(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
+    return look_up(
+        sources["orders"],
+        sources["shipments"].drop("supplier_id"),
+        ["order_id"],
+        sources.rows("orders", "shipments")["shipments"],
+        policy,
+        "left",
+        left_heavy=_heavy(sources, "orders", ["order_id"], policy),
+        right_heavy=_heavy(sources, "shipments", ["order_id"], policy),
     )
 
 
 def shipments_with_warehouses(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Shipments with their warehouse; an unknown warehouse leaves ``warehouse_key`` NULL."""
-    warehouses = small_side(
-        sources["warehouses"].select(
-            "warehouse_id",
-            F.col("warehouse_id").alias("warehouse_key"),
-            "warehouse_name",
-            F.col("region").alias("warehouse_region"),
-        ),
-        policy,
-        sources.rows("warehouses")["warehouses"],
+    warehouses = sources["warehouses"].selectExpr(
+        "warehouse_id",
+        "warehouse_id AS warehouse_key",
+        "warehouse_name",
+        "region AS warehouse_region",
     )
-    shipments = sources["shipments"].drop("supplier_id")
-    return shipments.join(warehouses, "warehouse_id", "left").drop("warehouse_id")
+    return look_up(
+        sources["shipments"].drop("supplier_id"),
+        warehouses,
+        ["warehouse_id"],
+        sources.rows("shipments", "warehouses")["warehouses"],
+        policy,
+        "left",
+        left_heavy=_heavy(sources, "shipments", ["warehouse_id"], policy),
+    ).drop("warehouse_id")
 
 
 def order_lines(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Nominally one row per order item; further shipments of the order, or stock records of the
     item in the warehouse, multiply it.
 
-    The items are shuffled by order for two joins, by product unless the products fit a
-    broadcast, and by (product, warehouse) for the stock.
+    On big data the items are shuffled three times: by order for two joins, by product, and by
+    (product, warehouse) for the stock. Sides that are counted to be small are broadcast instead.
     """
-    sources.rows(*COUNTED)
-    by_order = _heavy(sources, "order_items", "order_id", policy)
-    by_product = _heavy(sources, "order_items", "product_id", policy)
-    shipped = _heavy(sources, "shipments", "order_id", policy)
+    rows = sources.rows(*sources)
+    by_order = _heavy(sources, "order_items", ["order_id"], policy)
+    by_product = _heavy(sources, "order_items", ["product_id"], policy)
     inventory = sources["inventory"].withColumnRenamed("warehouse_id", "warehouse_key")
     stock_key = ["product_id", "warehouse_key"]
-    stocked = heavy_keys(inventory, stock_key, policy, sources.rows("inventory")["inventory"])
 
-    orders = orders_with_customers(sources, policy)
-    lines = skew_join(sources["order_items"], orders, ["order_id"], left_heavy=by_order)
-    lines = skew_join(
+    lines = look_up(
+        sources["order_items"],
+        orders_with_customers(sources, policy),
+        ["order_id"],
+        rows["orders"],
+        policy,
+        left_heavy=by_order,
+    )
+    lines = look_up(
         lines,
         shipments_with_warehouses(sources, policy),
         ["order_id"],
+        rows["shipments"],
+        policy,
         "left",
         left_heavy=by_order,
-        right_heavy=shipped,
+        right_heavy=_heavy(sources, "shipments", ["order_id"], policy),
     )
-    lines = skew_join(
-        lines, products_with_suppliers(sources, policy), ["product_id"], left_heavy=by_product
+    lines = look_up(
+        lines,
+        products_with_suppliers(sources, policy),
+        ["product_id"],
+        rows["products"],
+        policy,
+        left_heavy=by_product,
     )
-    return skew_join(
-        lines, inventory, stock_key, "left", left_heavy=by_product, right_heavy=stocked
+    return look_up(
+        lines,
+        inventory,
+        stock_key,
+        rows["inventory"],
+        policy,
+        "left",
+        left_heavy=by_product,
+        right_heavy=lambda: heavy_keys(inventory, stock_key, policy, rows["inventory"]),
     )
 
 

@@ -8,6 +8,7 @@ found beforehand and their rows spread over several sub-keys.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -150,6 +151,29 @@ def skew_join(
     return light.select(*columns).unionByName(heavy)
 
 
-def small_side(df: DataFrame, policy: SkewPolicy, total: int) -> DataFrame:
-    """Broadcast ``df`` if its counted rows, ``total``, are few enough for every executor."""
-    return F.broadcast(df) if total <= policy.broadcast_rows else df
+def look_up(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    right_rows: int,
+    policy: SkewPolicy,
+    how: str = "inner",
+    left_heavy: Callable[[], HeavyKeys] | None = None,
+    right_heavy: Callable[[], HeavyKeys] | None = None,
+) -> DataFrame:
+    """Join a side whose rows have been counted: broadcast if they are few enough for every
+    executor, else merged after a shuffle, with the heavy keys spread.
+
+    Without the hint the planner would go by file sizes, which say little about the rows of a
+    compressed file, and less about rows derived from it.
+    """
+    if right_rows <= policy.broadcast_rows:
+        return left.join(F.broadcast(right), on, how)
+    return skew_join(
+        left,
+        right.hint("merge"),
+        on,
+        how,
+        left_heavy=left_heavy() if left_heavy else None,
+        right_heavy=right_heavy() if right_heavy else None,
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -18,7 +19,7 @@ from depotlake.operators.kpis import (
 )
 from depotlake.operators.marts import finance_team_mart, store_manager_mart, supply_chain_team_mart
 from depotlake.operators.quality import clean_fact
-from depotlake.operators.running import with_all_histories
+from depotlake.operators.running import CUSTOMER, PRODUCT, SUPPLIER, History, with_histories
 from depotlake.operators.skew import SkewPolicy
 from depotlake.operators.staging import stage
 from depotlake.plans.tables import (
@@ -43,14 +44,28 @@ def plain_fact(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     return base_lines(sources, policy).transform(with_derived).transform(clean_fact)
 
 
-def enhanced_fact(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
-    """The fact with all 44 columns before cleaning, in contract order, types still exact.
+def lines_with_histories(
+    sources: Sources,
+    *histories: History,
+    policy: SkewPolicy = POLICY,
+    needed: Sequence[str] = ("*",),
+) -> DataFrame:
+    """The joined lines, cut to the ``needed`` columns, with their histories.
 
-    The joined lines are staged: the joins run once, the histories read the files.
+    Big inputs are staged: the joins run once, the histories read the files. Below
+    ``policy.min_rows`` order items there is nothing to spread, and all is one lazy plan.
     """
-    lines = stage(base_lines(sources, policy), "fact_base")
-    whole = with_all_histories(lines, policy).transform(with_derived)
-    return whole.select(*[name for name, _ in columns(TABLES["supply_chain_fact"])])
+    lines, total = base_lines(sources, policy).select(*needed), sources.rows("order_items")
+    if total["order_items"] < policy.min_rows:
+        return with_histories(lines, *histories, policy=policy, total=total["order_items"])
+    return with_histories(stage(lines, "fact_base"), *histories, policy=policy)
+
+
+def enhanced_fact(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
+    """The fact with all 44 columns before cleaning, in contract order, types still exact."""
+    lines = lines_with_histories(sources, CUSTOMER, SUPPLIER, PRODUCT, policy=policy)
+    names = [name for name, _ in columns(TABLES["supply_chain_fact"])]
+    return lines.transform(with_derived).select(*names)
 
 
 def full_fact(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
