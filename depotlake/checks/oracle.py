@@ -238,9 +238,9 @@ PARTS["monthly"] = f"""
     FROM fact GROUP BY ALL"""
 
 _TIES = (
-    "(order_key % 65536 * 40503 + product_key % 65536 * 30011 + line_number * 7919"
-    " + order_quantity * 101) % 65536, order_key, product_key, line_number, order_quantity,"
-    " unit_price"
+    "(order_key % 65536 * 40503 + product_key % 65536 * 30011"
+    " + CAST(line_number AS BIGINT) % 65536 * 7919 + CAST(order_quantity AS BIGINT) % 65536 * 101)"
+    " % 65536, order_key, product_key, line_number, order_quantity, unit_price"
 )
 
 

@@ -40,7 +40,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    file_system, hadoop_path = _located(spark, path)
+    return file_system.exists(hadoop_path)
+
+
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    file_system, hadoop_path = _located(spark, path)
     file_system.deleteOnExit(hadoop_path)
+
+
+def _located(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    configuration = spark._jsparkSession.sessionState().newHadoopConf()
+    return hadoop_path.getFileSystem(configuration), hadoop_path
