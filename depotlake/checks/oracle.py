@@ -237,10 +237,19 @@ PARTS["monthly"] = f"""
            {_mean('supply_chain_risk_score')} AS avg_risk_score
     FROM fact GROUP BY ALL"""
 
+_PLACES = 2**30
+_WEIGHTS = {
+    "order_key": 715827883,
+    "product_key": 459217153,
+    "line_number": 874661021,
+    "order_quantity": 293339479,
+    "unit_price * 100": 634190921,
+}
+_POSITION = " + ".join(
+    f"CAST({column} AS BIGINT) % {_PLACES} * {weight}" for column, weight in _WEIGHTS.items()
+)
 _TIES = (
-    "(order_key % 65536 * 40503 + product_key % 65536 * 30011"
-    " + CAST(line_number AS BIGINT) % 65536 * 7919 + CAST(order_quantity AS BIGINT) % 65536 * 101)"
-    " % 65536, order_key, product_key, line_number, order_quantity, unit_price"
+    f"({_POSITION}) % {_PLACES}, order_key, product_key, line_number, order_quantity, unit_price"
 )
 
 

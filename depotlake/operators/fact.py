@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depotlake.functions.banding import turnover_class
-from depotlake.operators.skew import HeavyKeys, SkewPolicy, heavy_keys, look_up
+from depotlake.operators.skew import HeavyKeys, SkewPolicy, heavy_keys, look_up, numbered
 from depotlake.sources.registry import Sources
 
 POLICY = SkewPolicy()
@@ -47,37 +47,40 @@ def _heavy(
 
 
 def orders_with_customers(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
+    heavy = _heavy(sources, "orders", ["customer_id"], policy)
     return look_up(
-        sources["orders"],
+        numbered(sources["orders"], "__order", heavy),
         sources["customers"],
         ["customer_id"],
         sources.rows("orders", "customers")["customers"],
         policy,
-        left_heavy=_heavy(sources, "orders", ["customer_id"], policy),
-    )
+        left_heavy=heavy,
+    ).drop("__order")
 
 
 def items_with_orders(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Order items with their order and customer; items rooted, so big rows move once."""
+    heavy = _heavy(sources, "order_items", ["order_id"], policy)
     return look_up(
-        sources["order_items"],
+        numbered(sources["order_items"], "__item", heavy),
         orders_with_customers(sources, policy),
         ["order_id"],
         sources.rows("order_items", "orders")["orders"],
         policy,
-        left_heavy=_heavy(sources, "order_items", ["order_id"], policy),
-    )
+        left_heavy=heavy,
+    ).drop("__item")
 
 
 def items_with_products(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
+    heavy = _heavy(sources, "order_items", ["product_id"], policy)
     return look_up(
-        sources["order_items"],
+        numbered(sources["order_items"], "__item", heavy),
         sources["products"],
         ["product_id"],
         sources.rows("order_items", "products")["products"],
         policy,
-        left_heavy=_heavy(sources, "order_items", ["product_id"], policy),
-    )
+        left_heavy=heavy,
+    ).drop("__item")
 
 
 def products_with_categories(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
@@ -104,20 +107,25 @@ def products_with_suppliers(sources: Sources, policy: SkewPolicy = POLICY) -> Da
 
 
 def orders_with_shipments(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
+    shipped = _heavy(sources, "shipments", ["order_id"], policy)
     return look_up(
         sources["orders"],
-        sources["shipments"].drop("supplier_id"),
+        numbered(sources["shipments"].drop("supplier_id"), "__shipment", shipped),
         ["order_id"],
         sources.rows("orders", "shipments")["shipments"],
         policy,
         "left",
         left_heavy=_heavy(sources, "orders", ["order_id"], policy),
-        right_heavy=_heavy(sources, "shipments", ["order_id"], policy),
-    )
+        right_heavy=shipped,
+    ).drop("__shipment")
 
 
 def shipments_with_warehouses(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Shipments with their warehouse; an unknown warehouse leaves ``warehouse_key`` NULL."""
+    return _with_warehouses(sources["shipments"], sources, policy)
+
+
+def _with_warehouses(shipments: DataFrame, sources: Sources, policy: SkewPolicy) -> DataFrame:
     warehouses = sources["warehouses"].selectExpr(
         "warehouse_id",
         "warehouse_id AS warehouse_key",
@@ -125,7 +133,7 @@ def shipments_with_warehouses(sources: Sources, policy: SkewPolicy = POLICY) ->
         "region AS warehouse_region",
     )
     return look_up(
-        sources["shipments"].drop("supplier_id"),
+        shipments.drop("supplier_id"),
         warehouses,
         ["warehouse_id"],
         sources.rows("shipments", "warehouses")["warehouses"],
@@ -145,11 +153,14 @@ def order_lines(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     rows = sources.rows(*sources)
     by_order = _heavy(sources, "order_items", ["order_id"], policy)
     by_product = _heavy(sources, "order_items", ["product_id"], policy)
-    inventory = sources["inventory"].withColumnRenamed("warehouse_id", "warehouse_key")
-    stock_key = ["product_id", "warehouse_key"]
+    shipped = _heavy(sources, "shipments", ["order_id"], policy)
+    stocked = _heavy(sources, "inventory", ["product_id", "warehouse_id"], policy)
 
+    items = numbered(sources["order_items"], "__item", by_order, by_product)
+    shipments = numbered(sources["shipments"], "__shipment", shipped)
+    inventory = numbered(sources["inventory"], "__stock", stocked)
     lines = look_up(
-        sources["order_items"],
+        items,
         orders_with_customers(sources, policy),
         ["order_id"],
         rows["orders"],
@@ -158,13 +169,13 @@ def order_lines(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     )
     lines = look_up(
         lines,
-        shipments_with_warehouses(sources, policy),
+        _with_warehouses(shipments, sources, policy),
         ["order_id"],
         rows["shipments"],
         policy,
         "left",
         left_heavy=by_order,
-        right_heavy=_heavy(sources, "shipments", ["order_id"], policy),
+        right_heavy=shipped,
     )
     lines = look_up(
         lines,
@@ -175,15 +186,15 @@ def order_lines(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
         left_heavy=by_product,
     )
     return look_up(
-        lines,
+        lines.withColumnRenamed("warehouse_key", "warehouse_id"),
         inventory,
-        stock_key,
+        ["product_id", "warehouse_id"],
         rows["inventory"],
         policy,
         "left",
         left_heavy=by_product,
-        right_heavy=lambda: heavy_keys(inventory, stock_key, policy, rows["inventory"]),
-    )
+        right_heavy=stocked,
+    ).withColumnRenamed("warehouse_id", "warehouse_key")
 
 
 # -------------------------------------------------------------- projections

@@ -90,8 +90,19 @@ def heavy_keys(
     )
 
 
+def numbered(df: DataFrame, name: str, *heavy: Callable[[], HeavyKeys]) -> DataFrame:
+    """Number the rows of ``df`` if one of ``heavy`` is found, so that even copies of a row differ
+    and can be spread.
+
+    ``df`` must be a scan of files: a task that is run again then numbers its rows the same way.
+    """
+    if any(found() for found in heavy):
+        return df.withColumn(name, F.monotonically_increasing_id())
+    return df
+
+
 def spread_over(df: DataFrame, ways: str) -> Column:
-    """A sub-key of the row in [0, ways), the same on every evaluation."""
+    """A sub-key of the row in [0, ways), by all its columns, the same on every evaluation."""
     return F.pmod(F.xxhash64(*df.columns), F.col(ways)).cast("int")
 
 

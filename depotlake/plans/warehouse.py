@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import monotonically_increasing_id
 
 from depotlake.operators.fact import fact_base, order_lines, with_derived
 from depotlake.operators.history import DIMENSIONS, initial_load
@@ -58,7 +59,9 @@ def lines_with_histories(
     lines, total = base_lines(sources, policy).select(*needed), sources.rows("order_items")
     if total["order_items"] < policy.min_rows:
         return with_histories(lines, *histories, policy=policy, total=total["order_items"])
-    return with_histories(stage(lines, "fact_base"), *histories, policy=policy)
+    told_apart = lines.withColumn("line_id", monotonically_increasing_id())
+    staged = stage(told_apart, "fact_base")
+    return with_histories(staged, *histories, policy=policy, line_id="line_id").drop("line_id")
 
 
 def enhanced_fact(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:

@@ -113,6 +113,25 @@ def test_spread_history_equals_window(lines, history):
     assert rows_of(spread) == rows_of(with_histories(lines, history, policy=NEVER))
 
 
+def test_copies_of_a_line_are_spread(spark):
+    """A third of all lines are one line, over and over."""
+    line = (1, 2, 3, 4, Decimal("1.00"), Decimal(4), 9, 1, date(2024, 1, 7), 2, True)
+    rows = [line] * 200 + [
+        (n, n % 7, 1, 1, Decimal(n), Decimal(n), 9, 1, date(2024, 1, 1 + n % 12), 1, False)
+        for n in range(400)
+    ]
+    df = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], LINES + ", line_id bigint")
+    policy = SkewPolicy(share=0.02, min_rows=1)
+    result = with_histories(df, CUSTOMER, policy=policy, line_id="line_id")
+    assert "__part" in result._jdf.queryExecution().toString()
+    found = sorted(result.collect(), key=lambda r: r.customer_order_sequence)
+    assert [r.customer_order_sequence for r in found] == list(range(1, 601))
+    assert [r.order_date for r in found] == sorted(r.order_date for r in found)
+    numbered_plainly = with_histories(df, CUSTOMER, policy=NEVER)
+    others = ["customer_total_orders", "customer_cumulative_value", "line_id"]
+    assert rows_of(result.select(others)) == rows_of(numbered_plainly.select(others))
+
+
 def test_all_histories_at_once(lines):
     spread = with_histories(
         lines, CUSTOMER, SUPPLIER, PRODUCT, policy=SkewPolicy(share=0.005, min_rows=1)
