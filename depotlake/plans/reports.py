@@ -105,7 +105,8 @@ def scorecard_raw(scorecard: DataFrame, rows: int = 10) -> DataFrame:
 
 
 def _high_risk(fact: DataFrame, rows: int, *scores: Column | str) -> DataFrame:
-    risky = fact.filter(F.col("supply_chain_risk_score") > F.lit(HIGH_RISK).cast("decimal(6,3)"))
+    # Compared as doubles, which the stored fact holds: the filter reaches the Parquet scan.
+    risky = fact.filter(F.col("supply_chain_risk_score") > F.lit(HIGH_RISK))
     return _top(
         risky,
         "supply_chain_risk_score",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.functions import lit
 
 from depotlake.operators.staging import stage
 from depotlake.schemas import SOURCES
@@ -38,15 +38,15 @@ def read_jdbc(
 ) -> DataFrame:
     """Scan ``table``; with a partition column, in ``partitions`` parallel range reads.
 
-    ``options`` holds the caller's ``url``, ``driver`` and credentials. The bounds are asked of
-    the database. They only set the stride: rows outside them, and NULLs, are still read.
+    ``options`` holds the caller's ``url``, ``driver`` and credentials. The bounds are worked out
+    by the database. They only set the stride: rows outside them, and NULLs, are still read.
     """
     reader = spark.read.format("jdbc").options(**options).option("fetchsize", str(fetch_size))
     whole = reader.option("dbtable", table)
     if partition_column is None:
         return whole.load()
-    column = F.col(partition_column)
-    low, high = whole.load().agg(F.min(column), F.max(column)).first()
+    bounds = f"SELECT MIN({partition_column}) AS low, MAX({partition_column}) AS high FROM {table}"
+    low, high = reader.option("query", bounds).load().first()
     if low is None or low == high:
         return whole.load()
     return (
@@ -76,6 +76,6 @@ def jdbc_sources(
         scan = read_jdbc(spark, options, table, column, partitions)
         scan = scan.toDF(*[c.lower() for c in scan.columns])
         if name == "order_items" and "line_number" not in scan.columns:
-            scan = scan.withColumn("line_number", F.lit(0))
+            scan = scan.withColumn("line_number", lit(0))
         frames[name] = stage(scan, name) if copy else scan
     return Sources(frames)

@@ -3,8 +3,8 @@ from datetime import date, datetime
 import pytest
 from retail import sources
 
-from depotlake.plans import tables, views
-from depotlake.plans.warehouse import build_warehouse, enhanced_fact, full_fact
+from depotlake.plans import reports, tables, views
+from depotlake.plans.warehouse import build_warehouse, enhanced_fact, full_fact, plain_fact
 from depotlake.schemas import TABLES, columns, exact_fact, to_table
 from depotlake.sources import jdbc
 
@@ -59,6 +59,14 @@ def test_reports_prune_by_year(spark, built):
     assert "PartitionFilters: [isnotnull(order_year" in plan
 
 
+def test_risk_filter_reaches_the_scan(built):
+    report = reports.high_risk_raw(built[1].tables["supply_chain_fact"])
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(supply_chain_risk_score,0.7)" in plan
+    assert "TakeOrderedAndProject" in plan
+    assert "customer_name" not in plan
+
+
 def test_build_without_catalog(spark, tmp_path):
     build_warehouse(spark, sources(spark), str(tmp_path), *RUN)
     assert tables.read_table(spark, str(tmp_path), "supplier_scorecard").count() == 2
@@ -98,42 +106,60 @@ def test_views(spark, built):
 class _Reader:
     """Stands in for ``spark.read``: keeps the options and answers with a given frame."""
 
-    def __init__(self, frame, seen, options=()):
-        self.frame, self.seen, self.set = frame, seen, dict(options)
+    def __init__(self, rows, bounds, seen, options=()):
+        self.rows, self.bounds, self.seen, self.set = rows, bounds, seen, dict(options)
 
     def format(self, name):
         return self.option("format", name)
 
     def option(self, key, value):
-        return _Reader(self.frame, self.seen, {**self.set, key: value})
+        return self.options(**{key: value})
 
     def options(self, **options):
-        return _Reader(self.frame, self.seen, {**self.set, **options})
+        return _Reader(self.rows, self.bounds, self.seen, {**self.set, **options})
 
     def load(self):
         self.seen.append(self.set)
-        return self.frame
+        return self.bounds if "query" in self.set else self.rows
 
 
 def test_jdbc_scan_is_divided_by_the_key(spark):
     """The options only: no database is started for the tests."""
     seen = []
+    rows = spark.range(5, 50).toDF("order_id")
 
     class Session:
-        read = _Reader(spark.range(5, 50).toDF("order_id"), seen)
-
-    rows = jdbc.read_jdbc(Session, {"url": "jdbc:x", "driver": "d"}, "Orders", "order_id")
-    assert rows.count() == 45
-    assert seen[-1] == {
-        "format": "jdbc",
-        "url": "jdbc:x",
-        "driver": "d",
-        "fetchsize": "10000",
+        read = _Reader(rows, spark.createDataFrame([(5, 49)], "low int, high int"), seen)
+
+    given = {"url": "jdbc:x", "driver": "d"}
+    assert jdbc.read_jdbc(Session, given, "Orders", "order_id").count() == 45
+    common = {"format": "jdbc", "fetchsize": "10000", **given}
+    bounds = "SELECT MIN(order_id) AS low, MAX(order_id) AS high FROM Orders"
+    assert seen[0] == {**common, "query": bounds}
+    assert seen[1] == {
+        **common,
         "dbtable": "Orders",
         "partitionColumn": "order_id",
         "lowerBound": "5",
         "upperBound": "49",
         "numPartitions": "8",
     }
-    jdbc.read_jdbc(Session, {"url": "jdbc:x"}, "Orders")
-    assert "partitionColumn" not in seen[-1]
+    jdbc.read_jdbc(Session, given, "Orders")
+    assert seen[2] == {**common, "dbtable": "Orders"}
+
+
+def test_jdbc_sources_are_copied_once(spark, monkeypatch):
+    given = sources(spark)
+    asked = []
+
+    def scan(session, options, table, column, partitions):
+        asked.append(table)
+        (name,) = [n for n, (t, _) in jdbc.SOURCE_TABLES.items() if t == table]
+        frame = given[name].drop("line_number") if name == "order_items" else given[name]
+        return frame.toDF(*[c.upper() for c in frame.columns])
+
+    monkeypatch.setattr(jdbc, "read_jdbc", scan)
+    copied = jdbc.jdbc_sources(spark, {"url": "jdbc:x"})
+    assert {n: r for n, r in copied.rows(*copied).items()} == given.rows(*given)
+    assert plain_fact(copied).count() == 3
+    assert len(asked) == 9
