@@ -91,21 +91,17 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
     sizes = scratch.put(sized, "sizes")
     plan = _plan(sizes, weights, most, seed, block_rows)
     rows = _dealt(_sized(docs, seed, F.struct("*").alias("row")) if carry else sizes, plan)
-    counts = _dealt(sizes, plan).groupBy(*BLOCK).agg(F.count(F.lit(1)).alias("rows"))
-    before = Window.partitionBy("source_key", "class").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*BLOCK, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("piece_start"))
-    number = F.row_number().over(Window.partitionBy(*BLOCK).orderBy("hash", "doc_id", "size"))
-    placed = rows.withColumn("number", number.cast("long")).join(starts, BLOCK)
+    counts = _dealt(sizes, plan).groupBy("block").agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.partitionBy("block.source_key", "block.class").orderBy("block.piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("piece_start"))
+    number = F.row_number().over(Window.partitionBy("block").orderBy("hash", "doc_id", "size"))
+    placed = rows.withColumn("number", number.cast("long")).join(starts, "block")
     end = F.col("offset") + (F.col("class_start") + F.col("piece_start") + F.col("number")) * F.col("rate")
     crossed = F.call_function("shiftright", end, F.lit(STEP_BITS)) - F.call_function("shiftright", end - F.col("rate"), F.lit(STEP_BITS))
     shown = ["row"] * carry + ["doc_id", "size", "source_size", "target"]
     return placed.select(*shown, crossed.cast("long").alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
 
 
-#: A block: a piece of the hash range of one size class of one source.
-BLOCK = ["source_key", "class", "piece"]
-
-
 def _source_key() -> Column:
     """The source as a key without null."""
     return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
@@ -146,10 +142,14 @@ def _plan(sizes: DataFrame, weights: Sequence[int], most: int, seed: str, block_
 
 
 def _dealt(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """rows with the plan of their class (Spark broadcasts it only where it is small) and their piece."""
+    """rows with the plan of their class (Spark broadcasts it only where it is small) and their block.
+
+    A block is a piece of the hash range of a class. As one struct it is dealt anew, also where the
+    join has dealt the rows by class.
+    """
     of_class = (F.col("source_key") == F.col("of_source")) & (F.col("class") == F.col("of_class"))
     piece = F.call_function("shiftright", F.col("hash") * F.col("pieces"), F.lit(HASH_BITS))
-    return rows.join(plan, of_class).withColumn("piece", piece.cast("long"))
+    return rows.join(plan, of_class).withColumn("block", F.struct("source_key", "class", piece.cast("long").alias("piece")))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
