@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 
 from depotlake.llm.tables import SPACES, Scratch, keep_rows, row_key, text_of
 
-STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = "spark.sql.streaming.stateStore"
+#: State in RocksDB on disk. Small stores take no space ahead, and a batch saves what it has changed.
+STATE_SETTINGS = {
+    f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{STATE}.rocksdb.allowFAllocate": "false",
+    f"{STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
 DIGEST_BYTES = 32
 FILES_PER_BATCH = 4096
 
@@ -79,8 +84,9 @@ def _stream_groups(scratch: Scratch, rows: DataFrame, files_per_batch: int) -> D
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(scratch.path(f"updates/batch-{number}"))
 
-    before = spark.conf.get(STATE_PROVIDER, None)
-    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         query = (
             state.writeStream.outputMode("update")
@@ -91,7 +97,8 @@ def _stream_groups(scratch: Scratch, rows: DataFrame, files_per_batch: int) -> D
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(STATE_PROVIDER, before) if before else spark.conf.unset(STATE_PROVIDER)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
     scratch.drop("state")
     updates = spark.read.schema(state.schema).parquet(scratch.path("updates/*"))
     # group sizes only grow, so a digest's largest update is its last
