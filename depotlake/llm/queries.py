@@ -2,23 +2,54 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from depotlake.llm import exact, mixing
+from depotlake.llm import bpe, exact, fingerprints, mixing, packing, secrets, toxicity
 from depotlake.llm.tables import Query, documents
 
 
+def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan_documents(documents(spark, folder))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random")
+
+
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.token_files(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(documents(spark, folder), carry=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.token_digests(documents(spark, folder), ranks, public_tokenizers.PATTERN)
+
+
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = fingerprints.fingerprint_documents(documents(spark, folder))
+    shown = {name: F.lower(F.hex(name)) for name in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(shown)
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact.exact_duplicates(documents(spark, folder))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_secret_scans": op1_secret_scans,
+    "op2_token_files": op2_token_files,
     "op4_source_mixing": op4_source_mixing,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op6_fingerprints": op6_fingerprints,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_toxicity": op9_toxicity,
 }

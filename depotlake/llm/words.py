@@ -120,21 +120,24 @@ def _pieces(data: np.ndarray, start: int, end: int) -> Iterator[tuple[int, int]]
 
 
 def _word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    word = ~SEPARATORS[data]
-    first = word.copy()
-    first[1:] &= ~word[:-1]
-    inner = offsets[(offsets > 0) & (offsets < len(data))]
-    first[inner] = word[inner]
-    last = word.copy()  # the last byte of each word
-    last[:-1] &= ~word[1:]
-    last[inner - 1] = word[inner - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    starts, ends = runs(~SEPARATORS[data], offsets)
     prefix = prefix_hash(LOWER[data] if lower else data)
     return span_hash(prefix, starts, ends), np.searchsorted(starts, offsets)
 
 
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of places that are inside; a run ends where its row does."""
+    if not len(inside):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    inner = offsets[(offsets > 0) & (offsets < len(inside))]
+    first[inner] = inside[inner]
+    last[inner - 1] = inside[inner - 1]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
 def shingles(words: np.ndarray, firsts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of width words within rows, repeats kept, and where each row's begin.
 
