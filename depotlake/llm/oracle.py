@@ -12,6 +12,34 @@ SELECT doc_id,
 FROM normal WINDOW same AS (PARTITION BY content)
 """
 
+NEAR_DEDUP = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words FROM documents
+), sets AS MATERIALIZED (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN words
+                        ELSE list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) END AS shingles
+    FROM worded
+), flat AS MATERIALIZED (
+    SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n_a, any_value(b.n) AS n_b, count(*) AS shared
+    FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+        AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id
+), links AS MATERIALIZED (
+    SELECT a, b FROM common WHERE 100 * shared >= 80 * (n_a + n_b - shared)
+), both_ways AS MATERIALIZED (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+    SELECT doc_id AS start, doc_id AS node FROM documents
+    UNION
+    SELECT reached.start, both_ways.b FROM reached JOIN both_ways ON reached.node = both_ways.a
+)
+SELECT sets.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, sets.doc_id = component_id AS kept
+FROM sets JOIN (SELECT start AS doc_id, min(node) AS component_id FROM reached GROUP BY start) USING (doc_id)
+"""
+
 SOURCE_MIXING = r"""
 WITH sized AS (
     SELECT doc_id, source, coalesce('s' || source, '') AS source_key,
@@ -55,6 +83,7 @@ FROM numbered JOIN stepped USING (source_key)
 """
 
 ORACLE_SQL = {
+    "op3_minhash_near_dedup": NEAR_DEDUP,
     "op4_source_mixing": SOURCE_MIXING,
     "op7_exact_dedup": EXACT_DEDUP,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlake.llm import bpe, exact, fingerprints, mixing, packing, secrets, toxicity
+from depotlake.llm import bpe, exact, fingerprints, mixing, near, packing, secrets, toxicity
 from depotlake.llm.tables import Query, documents
 
 
@@ -19,6 +19,11 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return packing.token_files(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near.near_duplicates(documents(spark, folder), width=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(documents(spark, folder), carry=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -47,6 +52,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_token_files": op2_token_files,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_source_mixing": op4_source_mixing,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_fingerprints": op6_fingerprints,
