@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlake.llm import bpe, exact, fingerprints, mixing, near, packing, secrets, toxicity
+from depotlake.llm import bpe, exact, fingerprints, mixing, near, packing, passages, secrets, toxicity
 from depotlake.llm.tables import Query, documents
 
 
@@ -45,6 +45,11 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = passages.without_repeats(documents(spark, folder))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
@@ -57,5 +62,6 @@ QUERIES: dict[str, Query] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_fingerprints": op6_fingerprints,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
 }
