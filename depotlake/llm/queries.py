@@ -6,9 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlake.llm import bpe, exact, fingerprints, mixing, near, packing, passages, secrets, toxicity
+import corpus_pipeline
+from depotlake.llm import bpe, exact, fingerprints, mixing, near, packing, passages, pii, secrets, toxicity
 from depotlake.llm.tables import Query, documents
 
+#: Only for this query; a real corpus has a secret key.
+PII_KEY = b"key of the registered query"
+
 
 def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan_documents(documents(spark, folder))
@@ -54,6 +58,10 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+def op10_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.replace_private(documents(spark, folder), PII_KEY)
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_token_files": op2_token_files,
@@ -64,4 +72,6 @@ QUERIES: dict[str, Query] = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_pii_surrogates": op10_pii_surrogates,
+    "pipeline": corpus_pipeline.run,
 }
