@@ -17,16 +17,19 @@ place of the task's doc_id range), then by the place of the shard's first id in
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from depotlake.llm.pieces import Pieces
 from depotlake.llm.tables import Scratch, row_key
@@ -110,19 +113,53 @@ class Shard:
         return self.read(int(self.ends[n - 1]) if n else 0, int(self.ends[n]))
 
 
-_loaded: dict[str, Pieces] = {}
+class Words:
+    """Ids by a byte-level BPE tokenizer of the tokenizers library, each word encoded once and remembered.
 
+    Strings of special tokens are ordinary text. The pattern cuts text as the byte-level
+    pre-tokenizer does. As versions of Unicode may differ about letters, texts with characters
+    beyond the Latin blocks go through the whole tokenizer instead.
+    """
 
-def tokenizer(path: str) -> Pieces:
-    """The tokenizer of a file, once in each worker. Strings of special tokens are ordinary text."""
-    if path not in _loaded:
-        model = Tokenizer.from_file(path)
-        model.encode_special_tokens = True
+    def __init__(self, path: str, pattern: str, memory: int = 1 << 19):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True
+        self.bpe = self.whole.model.tokenize
+        letters = ByteLevel.alphabet()
+        plain = [b for b in range(256) if chr(b) in letters]
+        others = [b for b in range(256) if chr(b) not in letters]
+        self.letter = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+        self.words = regex.compile(pattern).findall
+        self.memory = memory
+        self.known: dict[str, bytes] = {}
+
+    def __call__(self, texts: Sequence[str]) -> list[bytes]:
+        out = []
+        for text in texts:
+            if not text.isascii() and max(text) > "\u024f":
+                out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            parts = []
+            for word in self.words(text):
+                ids = self.known.get(word)
+                if ids is None:
+                    if len(self.known) >= self.memory:
+                        self.known.clear()
+                    tokens = self.bpe("".join(map(self.letter.__getitem__, word.encode())))
+                    ids = self.known[word] = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+                parts.append(ids)
+            out.append(b"".join(parts))
+        return out
 
-        def encode_many(texts: Sequence[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in model.encode_batch_fast(list(texts), add_special_tokens=False)]
 
-        _loaded[path] = Pieces(encode_many)
+_loaded: dict[str, Pieces] = {}
+
+
+def tokenizer(path: str, pattern: str) -> Pieces:
+    """The encoder of a tokenizer file, once in each worker."""
+    if path not in _loaded:
+        _loaded[path] = Pieces(Words(path, pattern))
     return _loaded[path]
 
 
@@ -130,7 +167,7 @@ def vocabulary_size(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
 
 
-def write_tokens(docs: DataFrame, path: str, target: str, end_id: int) -> None:
+def write_tokens(docs: DataFrame, path: str, pattern: str, target: str, end_id: int) -> None:
     """Encodes whole texts, ends each with end_id, and writes shards under target.
 
     Texts are dealt by ranges of doc_id and sorted; null doc_ids come first, rows of equal doc_id
@@ -144,7 +181,7 @@ def write_tokens(docs: DataFrame, path: str, target: str, end_id: int) -> None:
     end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode
+        encode_all = tokenizer(path, pattern).encode_all
         part, first, held, ids, kind_of = TaskContext.get().partitionId(), 0, 0, [], None
         documents: list[np.ndarray] = []
 
@@ -157,8 +194,9 @@ def write_tokens(docs: DataFrame, path: str, target: str, end_id: int) -> None:
             kind_of = batch.column(0).type
             for begin in range(0, batch.num_rows, 256):
                 some = batch.slice(begin, 256)
-                for name, text in zip(some.column(0).to_pylist(), some.column(2).to_pylist()):
-                    found = np.frombuffer(b"".join([*encode(text or ""), end.tobytes()]), "<u4")
+                encoded = encode_all([text or "" for text in some.column(2).to_pylist()])
+                for name, data in zip(some.column(0).to_pylist(), encoded):
+                    found = np.frombuffer(data + end.tobytes(), "<u4")
                     documents.append(found)
                     ids.append(name)
                     held += len(found)
@@ -188,15 +226,16 @@ def read_tokens(spark: SparkSession, target: str) -> DataFrame:
                 shard = Shard(data.as_buffer())
                 ends = shard.ends.astype(np.int64)
                 counts = np.diff(ends, prepend=0)
-                checks = [zlib.crc32(shard.document(n).astype("<u4")) for n in range(shard.documents)]
+                whole = shard.read(0, shard.ids).astype("<u4", copy=False)
+                checks = [zlib.crc32(whole[a:b]) for a, b in zip((ends - counts).tolist(), ends.tolist())]
                 arrays = [ids.values, pa.array(start + ends - counts), pa.array(counts), pa.array(checks, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return placed.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
 
 
-def token_files(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+def token_files(docs: DataFrame, path: str, pattern: str, end_id: int) -> DataFrame:
     """Writes the token files of docs to the shared folder and reads them back."""
     scratch = Scratch(docs.sparkSession, "tokens")
-    write_tokens(docs, path, scratch.path("shards"), end_id)
+    write_tokens(docs, path, pattern, scratch.path("shards"), end_id)
     return read_tokens(docs.sparkSession, scratch.path("shards"))

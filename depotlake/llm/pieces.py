@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 
 #: Pieces remembered by a worker; beyond it, the memory starts anew.
-MEMORY = 400_000
+MEMORY = 1_000_000
 #: Characters handled at once; a longer text is cut at single spaces.
 CHUNK = 1 << 18
 
@@ -39,31 +39,56 @@ class Pieces:
         self.known: dict[str, bytes] = {}  # by the piece without its space; none has white space at an end
 
     def encode(self, text: str) -> Iterator[bytes]:
-        """The ids of the text, part by part."""
+        """The ids of a text, part by part."""
         for after_space, part in cuts(text):
-            yield self._part(part, after_space)
+            yield self._encoded([(after_space, part)])[0]
 
-    def _part(self, part: str, after_space: bool) -> bytes:
-        pieces = part.split(" ")
-        first = [] if after_space else [pieces.pop(0)]
-        if first and pieces and (not first[0] or first[0][-1].isspace()):
-            return self._uneven(part, after_space)
-        try:
-            ids = b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            return self._uneven(part, after_space)
-        return b"".join(self.encode_many(first)) + ids
+    def encode_all(self, texts: Sequence[str]) -> list[bytes]:
+        """The ids of each text; what is new in any of them is encoded at once."""
+        out, short = [b""] * len(texts), []
+        for n, text in enumerate(texts):
+            if len(text) > CHUNK:
+                out[n] = b"".join(self.encode(text))
+            else:
+                short.append(n)
+        for n, ids in zip(short, self._encoded([(False, texts[n]) for n in short])):
+            out[n] = ids
+        return out
 
-    def _uneven(self, part: str, after_space: bool) -> bytes:
-        """As _part, where a piece is new or white space stands next to a space."""
-        pieces = _SINGLE_SPACE.split(part)
-        first = [] if after_space else [pieces.pop(0)]
-        last = [" " + pieces.pop()] if pieces and pieces[-1][-1].isspace() else []
-        new = list(set(pieces).difference(self.known))
-        if len(self.known) + len(new) > self.memory:
-            self.known.clear()
-            new = list(set(pieces))
-        edges = self.encode_many(first + last + [" " + p for p in new])
-        self.known.update(zip(new, edges[len(first) + len(last) :]))
-        ids = b"".join(map(self.known.__getitem__, pieces))
-        return b"".join(edges[: len(first)]) + ids + b"".join(edges[len(first) : len(first) + len(last)])
+    def _encoded(self, parts: Sequence[tuple[bool, str]]) -> list[bytes]:
+        known = self.known
+        rows = []  # first piece, ids of the pieces (None where new), pieces, last piece
+        new: set[str] = set()
+        for after_space, part in parts:
+            pieces = part.split(" ")
+            first, last = "" if after_space else pieces.pop(0), ""
+            ids = list(map(known.get, pieces))
+            missing = {p for p, found in zip(pieces, ids) if found is None} if None in ids else ()
+            uneven = pieces and not after_space and (not first or first[-1].isspace())
+            if uneven or any(not p or p[0].isspace() or p[-1].isspace() for p in missing):
+                # white space next to a space: pieces end at single spaces only
+                pieces = _SINGLE_SPACE.split(part)
+                first = "" if after_space else pieces.pop(0)
+                if pieces and pieces[-1][-1].isspace():
+                    last = " " + pieces.pop()
+                ids = list(map(known.get, pieces))
+                missing = {p for p, found in zip(pieces, ids) if found is None}
+            new.update(missing)
+            rows.append((first, ids, pieces if missing else (), last))
+        edges = [x for first, _, _, last in rows for x in (first, last) if x]
+        ordered = list(new)
+        made = self.encode_many(edges + [" " + p for p in ordered])
+        fresh = dict(zip(ordered, made[len(edges) :]))
+        of_edge = iter(made)
+        out = []
+        for first, ids, pieces, last in rows:
+            head = next(of_edge) if first else b""
+            tail = next(of_edge) if last else b""
+            if pieces:
+                ids = [fresh[p] if found is None else found for p, found in zip(pieces, ids)]
+            out.append(head + b"".join(ids) + tail)
+        if len(known) + len(fresh) > self.memory:
+            known.clear()
+        if len(fresh) <= self.memory:
+            known.update(fresh)
+        return out

@@ -20,7 +20,8 @@ def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.token_files(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.token_files(documents(spark, folder), path, public_tokenizers.PATTERN, end_id=2)
 
 
 def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
