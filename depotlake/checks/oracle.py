@@ -24,10 +24,8 @@ PARTS: dict[str, str] = {
     "src_items": """
         SELECT l_orderkey AS order_id, l_partkey AS product_id,
                CAST(l_quantity AS INTEGER) AS quantity,
-               CAST(CAST(floor(l_extendedprice * 2 + 0.5) AS BIGINT) * 0.01 AS DECIMAL(10,2))
-                   AS price,
-               l_linenumber AS line_number
-        FROM lineitem""",
+               CAST(p_retailprice AS DECIMAL(10,2)) AS price, l_linenumber AS line_number
+        FROM lineitem JOIN part ON p_partkey = l_partkey""",
     "src_categories": """
         SELECT p_type AS category_name,
                CAST(row_number() OVER (ORDER BY p_type) AS INTEGER) AS category_id
@@ -47,7 +45,7 @@ PARTS: dict[str, str] = {
                r_name AS region, n_name AS city
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "src_inventory": f"""
-        SELECT p * 25 + n AS inventory_id, n AS warehouse_id, p AS product_id,
+        SELECT p * (SELECT count(*) FROM nation) + n AS inventory_id, n AS warehouse_id, p AS product_id,
                CAST((7 * p + 13 * n) % 250 AS INTEGER) AS current_stock,
                CAST(20 + p % 60 AS INTEGER) AS reorder_point,
                CASE WHEN {_RISK} < 60 THEN 'HEALTHY' WHEN {_RISK} < 75 THEN 'LOW'
@@ -60,7 +58,7 @@ PARTS: dict[str, str] = {
         WHERE (p + n) % 10 <> 0""",
     "src_shipments": """
         SELECT k AS shipment_id, k AS order_id, k % (SELECT count(*) FROM supplier) AS supplier_id,
-               CAST(k % 25 AS INTEGER) AS warehouse_id, shipped AS shipment_date,
+               CAST(k % (SELECT count(*) FROM nation) AS INTEGER) AS warehouse_id, shipped AS shipment_date,
                shipped + 3 AS expected_delivery_date, shipped + days AS actual_delivery_date,
                CAST((2500 + k % 6000) * 0.01 AS DECIMAL(10,2)) AS shipping_cost,
                days AS delivery_time_days, days > 3 AS is_late,
@@ -91,7 +89,7 @@ PARTS: dict[str, str] = {
                coalesce(v.stock_status, 'UNKNOWN') AS stock_status,
                coalesce(w.warehouse_name, 'Unknown') AS warehouse_name,
                coalesce(w.region, 'Unknown') AS warehouse_region,
-               i.line_number
+               i.line_number, d.shipment_id, v.inventory_id
         FROM src_orders o
         JOIN src_customers c ON c.customer_id = o.customer_id
         JOIN src_items i ON i.order_id = o.order_id
@@ -219,10 +217,9 @@ PARTS["scorecard"] = f"""
            {_mean('quality_rating')} AS quality_score,
            CAST(count(*) FILTER (WHERE stock_status = 'HEALTHY') AS DOUBLE) / count(*)
                AS availability_score,
-           CAST(40 * sum(delivery_performance_score) + 6 * sum(quality_rating)
-                + 30 * count(*) FILTER (WHERE stock_status = 'HEALTHY') AS DOUBLE) / count(*)
-               AS overall_supplier_score
-    FROM fact GROUP BY ALL"""
+           (delivery_score * CAST(0.4 AS DOUBLE) + quality_score / 5 * CAST(0.3 AS DOUBLE)
+            + availability_score * CAST(0.3 AS DOUBLE)) * 100 AS overall_supplier_score
+    FROM fact GROUP BY supplier_key, supplier_name"""
 PARTS["graded"] = """
     SELECT *, CASE WHEN round(overall_supplier_score, 6) >= 80 THEN 'EXCELLENT'
                    WHEN round(overall_supplier_score, 6) >= 70 THEN 'GOOD'
@@ -237,19 +234,9 @@ PARTS["monthly"] = f"""
            {_mean('supply_chain_risk_score')} AS avg_risk_score
     FROM fact GROUP BY ALL"""
 
-_PLACES = 2**30
-_WEIGHTS = {
-    "order_key": 715827883,
-    "product_key": 459217153,
-    "line_number": 874661021,
-    "order_quantity": 293339479,
-    "unit_price * 100": 634190921,
-}
-_POSITION = " + ".join(
-    f"CAST({column} AS BIGINT) % {_PLACES} * {weight}" for column, weight in _WEIGHTS.items()
-)
 _TIES = (
-    f"({_POSITION}) % {_PLACES}, order_key, product_key, line_number, order_quantity, unit_price"
+    "order_key, line_number, shipment_id NULLS FIRST, inventory_id NULLS FIRST, product_key,"
+    " order_quantity, unit_price"
 )
 
 
@@ -282,6 +269,32 @@ PARTS["enhanced"] = "SELECT *, {} FROM derived".format(
     ", ".join(f"{sql} AS {name}" for name, sql in HISTORIES.items())
 )
 
+PARTS["full_fact"] = _CLEANED.format(source="enhanced")
+PARTS["fan_shipments"] = """
+    SELECT * FROM src_shipments
+    UNION ALL
+    SELECT * REPLACE (shipment_id + 1000000000 AS shipment_id,
+                      delivery_time_days + 1 AS delivery_time_days)
+    FROM src_shipments WHERE order_id % 3 = 0"""
+PARTS["fan_inventory"] = """
+    SELECT * FROM src_inventory
+    UNION ALL
+    SELECT * REPLACE (inventory_id + 1000000000 AS inventory_id, current_stock + 1 AS current_stock)
+    FROM src_inventory WHERE product_id % 4 = 0"""
+# Copies of a line are numbered alike in all three histories.
+PARTS["copied_items"] = """
+    SELECT i.*, n AS copy_number FROM src_items i, range(40) t(n) WHERE n < CASE WHEN order_id % 50 = 0 THEN 40 ELSE 1 END"""
+PARTS["fan_base"] = (
+    PARTS["base"].replace("src_shipments", "fan_shipments").replace("src_inventory", "fan_inventory")
+)
+PARTS["copied_base"] = (
+    PARTS["base"].replace("src_items", "copied_items").replace("i.line_number,", "i.line_number, i.copy_number,")
+)
+for _kind in ("fan", "copied"):
+    PARTS[f"{_kind}_derived"] = _DERIVED.format(source=f"{_kind}_base")
+    PARTS[f"{_kind}_enhanced"] = PARTS["enhanced"].replace("FROM derived", f"FROM {_kind}_derived")
+PARTS["copied_enhanced"] = PARTS["copied_enhanced"].replace(_TIES, f"{_TIES}, copy_number")
+
 PARTS["first_customers"] = """
     SELECT DISTINCT customer_id, customer_name, customer_email FROM src_customers"""
 PARTS["later_customers"] = """
@@ -413,6 +426,18 @@ ORACLE_SQL |= {
                   CASE WHEN shipment_id % 5 = 0 THEN false ELSE is_late END AS is_late
            FROM src_shipments"""
     ),
+    "source_defaults_inventory": _with(
+        """SELECT inventory_id,
+                  CASE WHEN product_id % 3 = 0 THEN '2024-01-01' ELSE '2020-05-01' END
+                      AS effective_start_date,
+                  '9999-12-31' AS effective_end_date, product_id % 4 = 0 AS is_current,
+                  CAST(CASE WHEN warehouse_id % 5 = 0 THEN 1 ELSE 7 END AS INTEGER)
+                      AS record_version,
+                  CASE WHEN warehouse_id % 2 = 0 THEN '2024-01-01 06:00:00'
+                       ELSE '2020-05-01 12:00:00' END AS created_timestamp,
+                  '2024-01-01 06:00:00' AS updated_timestamp
+           FROM src_inventory"""
+    ),
     "join_customers": _cast(
         "order_id, order_date:VARCHAR, customer_id, customer_name",
         "src_orders JOIN src_customers USING (customer_id)",
@@ -468,7 +493,7 @@ _BASE_COLUMNS = (
     " is_late_delivery, shipping_cost:DOUBLE, delivery_performance_score:DOUBLE,"
     " quality_rating:DOUBLE, current_stock_level, reorder_point, stock_out_risk_score:DOUBLE,"
     " days_of_supply, movement_velocity, stock_status, warehouse_name, warehouse_region,"
-    " line_number"
+    " line_number, shipment_id, inventory_id"
 )
 ORACLE_SQL |= {
     "fact_base": _cast(_BASE_COLUMNS, "base"),
@@ -504,7 +529,7 @@ _UNIQUE = {
     "inventory": "inventory_id",
     "shipments": "shipment_id",
     "warehouses": "warehouse_id",
-    "order_items": "order_id || '|' || line_number",
+    "order_items": "order_id, line_number",
 }
 _LOST_ITEM = "CASE WHEN line_number = 5 AND order_id % 9 = 0 THEN -1 - product_id ELSE product_id END"
 _REFERENCES = [
@@ -530,7 +555,38 @@ _LIMITS = [
     ("inventory", "movement_velocity", 5),
 ]
 
+_LONG_NAMES = [
+    ("suppliers", "supplier_name", "S", 95, "supplier_id % 10", 100),
+    ("suppliers", "supplier_email", "e", 97, "supplier_id % 7", 100),
+    ("suppliers", "contact_person", "c", 99, "supplier_id % 3", 100),
+    ("suppliers", "phone", "1", 18, "supplier_id % 5", 20),
+    ("warehouses", "state", "s", 49, "warehouse_id % 3", 50),
+    ("warehouses", "country", "c", 48, "warehouse_id % 4", 50),
+    ("warehouses", "manager_name", "m", 98, "warehouse_id % 5", 100),
+    ("warehouses", "phone", "1", 19, "warehouse_id % 3", 20),
+    ("warehouses", "email", "e", 99, "warehouse_id % 4", 100),
+    ("warehouses", "automation_level", "a", 17, "warehouse_id % 6", 20),
+    ("shipments", "shipment_status", "s", 18, "order_id % 4", 20),
+    ("shipments", "tracking_number", "t", 47, "order_id % 6", 50),
+    ("shipments", "carrier_name", "c", 98, "order_id % 5", 100),
+    ("shipments", "delay_reason", "d", 196, "order_id % 7", 200),
+]
+
+
+def _shown_key(keys: str) -> str:
+    return " || ',' || ".join(f"'\"{k}\":' || {k}" for k in keys.split(", "))
+
+
 ORACLE_SQL |= {
+    "dq_declared_lengths": _with(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS source_name, '{column}' AS column_name,"
+            f" repeat('{letter}', CAST({length} + {more} AS INTEGER)) AS value,"
+            f" CAST({limit} AS INTEGER) AS max_length, count(*) AS row_count"
+            f" FROM {_NAMES[name]} WHERE {length} + {more} > {limit} GROUP BY ALL"
+            for name, column, letter, length, more, limit in _LONG_NAMES
+        )
+    ),
     "dq_null_profile": _with(
         " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count FROM damaged"
@@ -561,8 +617,9 @@ ORACLE_SQL |= {
     ),
     "dq_pk_violations": _with(
         " UNION ALL ".join(
-            f"SELECT '{name}' AS source_name, CAST({key} AS VARCHAR) AS key_value,"
-            f" count(*) AS row_count FROM {_NAMES[name]} GROUP BY ALL HAVING count(*) > 1"
+            f"SELECT '{name}' AS source_name,"
+            f" '{{' || {_shown_key(key)} || '}}' AS key_value,"
+            f" count(*) AS row_count FROM {_NAMES[name]} GROUP BY {key} HAVING count(*) > 1"
             for name, key in _UNIQUE.items()
         )
     ),
@@ -617,6 +674,13 @@ ORACLE_SQL |= {
     ),
 }
 
+for _name, _source in (
+    ("fact_full", "full_fact"), ("fact_fanout", "fan_enhanced"), ("fact_copies", "copied_enhanced")
+):
+    ORACLE_SQL[_name] = _table("supply_chain_fact", _source).replace(
+        "CAST(product_demand_trend AS DOUBLE)", "CAST(product_demand_trend AS BIGINT)"
+    )
+
 # Keys are spread over tasks in other ways, the results are the same.
 for _name in ("fact_base", "fact_enhanced"):
     ORACLE_SQL[f"{_name}_spread"] = ORACLE_SQL[_name]
@@ -698,7 +762,10 @@ _BY_TEAM = f"supplier_key, warehouse_region, {_PERIOD}"
 # NULL warehouses come first, as Spark sorts them.
 _BY_STORE = f"product_key, warehouse_key NULLS FIRST, product_name, category_name, {_PERIOD}"
 _BY_FINANCE = f"supplier_key, category_name, {_PERIOD}"
-_BY_LINE = f"order_key, product_key, order_quantity, unit_price, {_PERIOD}"
+_BY_LINE = (
+    "order_key, product_key, order_quantity, unit_price, warehouse_key NULLS FIRST,"
+    f" current_stock_level, stock_out_risk_score, movement_velocity, stock_status, {_PERIOD}"
+)
 
 
 def _best(by: str, keys: str, rows: int) -> str:

@@ -23,8 +23,9 @@ FIRST_LOAD = (date(2024, 1, 1), datetime(2024, 1, 1, 6, 0))
 SECOND_LOAD = (date(2024, 3, 1), datetime(2024, 3, 1, 6, 0))
 LOOK_UP_DAY = date(2024, 2, 1)
 
-# Sends whole tables the way of skewed data: no key is too small to be heavy, none is broadcast.
-SPREAD = skew.SkewPolicy(min_rows=1, broadcast_rows=0)
+# Sends whole tables the way of skewed data: a key with a few rows is spread already, ranges are
+# short, and nothing is broadcast.
+SPREAD = skew.SkewPolicy(key_rows=4, task_rows=2_000, broadcast_bytes=0)
 
 LINE = ["order_key", "product_key", "line_number", "order_quantity", "unit_price"]
 
@@ -91,6 +92,29 @@ def _shipment_defaults(s: Sources) -> DataFrame:
     return with_defaults(gaps, "shipments")
 
 
+def _inventory_defaults(s: Sources) -> DataFrame:
+    """Defaults as they stand for gaps from the moment a source is loaded."""
+    gaps = s["inventory"].selectExpr(
+        "*",
+        "IF(product_id % 3 = 0, NULL, date'2020-05-01') AS effective_start_date",
+        "CAST(NULL AS date) AS effective_end_date",
+        "IF(product_id % 4 = 0, NULL, false) AS is_current",
+        "IF(warehouse_id % 5 = 0, NULL, 7) AS record_version",
+        "IF(warehouse_id % 2 = 0, NULL, timestamp'2020-05-01 12:00:00') AS created_timestamp",
+        "CAST(NULL AS timestamp) AS updated_timestamp",
+    )
+    loaded = Sources({**s, "inventory": gaps}, load_time=FIRST_LOAD[1])
+    return loaded["inventory"].select(
+        "inventory_id",
+        "effective_start_date",
+        "effective_end_date",
+        "is_current",
+        "record_version",
+        "created_timestamp",
+        "updated_timestamp",
+    )
+
+
 def _join_items(s: Sources) -> DataFrame:
     return fact.items_with_orders(s).select(
         "order_id", "customer_id", "order_date", "product_id", "line_number", "quantity", "price"
@@ -122,6 +146,7 @@ SOURCE_QUERIES: dict[str, Query] = {
     "source_defaults": _on_sources(_supplier_defaults),
     "source_defaults_warehouses": _on_sources(_warehouse_defaults),
     "source_defaults_shipments": _on_sources(_shipment_defaults),
+    "source_defaults_inventory": _on_sources(_inventory_defaults),
     "join_customers": _on_sources(
         lambda s: fact.orders_with_customers(s).select(
             "order_id", "order_date", "customer_id", "customer_name"
@@ -230,11 +255,50 @@ def _length_violations(s: Sources) -> DataFrame:
     found = (
         quality.length_violations(s[name], name, limits) for name, limits in TIGHT_LIMITS.items()
     )
+    return _counted(found)
+
+
+def _counted(found) -> DataFrame:
     return _union(found).groupBy("source_name", "column_name", "value", "max_length").agg(
         F.count(F.lit(1)).alias("row_count")
     )
 
 
+# Names of any length up to a little over the declared ones.
+LONG_NAMES: dict[str, dict[str, str]] = {
+    "suppliers": {
+        "supplier_name": "repeat('S', int(95 + supplier_id % 10))",
+        "supplier_email": "repeat('e', int(97 + supplier_id % 7))",
+        "contact_person": "repeat('c', int(99 + supplier_id % 3))",
+        "phone": "repeat('1', int(18 + supplier_id % 5))",
+    },
+    "warehouses": {
+        "state": "repeat('s', int(49 + warehouse_id % 3))",
+        "country": "repeat('c', int(48 + warehouse_id % 4))",
+        "manager_name": "repeat('m', int(98 + warehouse_id % 5))",
+        "phone": "repeat('1', int(19 + warehouse_id % 3))",
+        "email": "repeat('e', int(99 + warehouse_id % 4))",
+        "automation_level": "repeat('a', int(17 + warehouse_id % 6))",
+    },
+    "shipments": {
+        "shipment_status": "repeat('s', int(18 + order_id % 4))",
+        "tracking_number": "repeat('t', int(47 + order_id % 6))",
+        "carrier_name": "repeat('c', int(98 + order_id % 5))",
+        "delay_reason": "repeat('d', int(196 + order_id % 7))",
+    },
+}
+
+
+def _declared_lengths(s: Sources) -> DataFrame:
+    named = s.replace(
+        **{
+            name: s[name].withColumns({c: F.expr(sql) for c, sql in made.items()})
+            for name, made in LONG_NAMES.items()
+        }
+    )
+    return _counted([warehouse.source_checks(named)["length_violations"]])
+
+
 QUALITY_QUERIES: dict[str, Query] = {
     "dq_null_profile": _on_base(lambda b: quality.null_profile(damaged_lines(b))),
     "dq_valid_lines": _on_base(
@@ -265,6 +329,7 @@ QUALITY_QUERIES: dict[str, Query] = {
     "dq_pk_violations": _on_sources(_key_violations),
     "dq_fk_orphans": _on_sources(_orphans),
     "dq_length_violations": _on_sources(_length_violations),
+    "dq_declared_lengths": _on_sources(_declared_lengths),
 }
 
 # ---------------------------------------------------------------- windows
@@ -274,14 +339,45 @@ def _history(
     key: str, needs: str | None = None, policy: skew.SkewPolicy = warehouse.POLICY, **outputs
 ) -> Query:
     followed = running.History(key, **outputs)
-    needed = dict.fromkeys([*LINE, key, "order_date", *([needs] if needs else [])])
+    shown = dict.fromkeys([*LINE, key, "order_date", *([needs] if needs else [])])
+    named = [n for n in (followed.sequence, followed.rank) if n]
+    named += [*followed.sums, *followed.means, *followed.shares]
+    needed = [*shown, "shipment_id", "inventory_id"]
     return _on_sources(
-        lambda s: warehouse.lines_with_histories(
-            s, followed, policy=policy, needed=list(needed)
+        lambda s: warehouse.lines_with_histories(s, followed, policy=policy, needed=needed).select(
+            *shown, *named
         )
     )
 
 
+def fanned_out(s: Sources) -> Sources:
+    """A third of the orders shipped twice, a quarter of the items stocked twice in a place."""
+    again = s["shipments"].filter("order_id % 3 = 0")
+    second = again.withColumns(
+        {
+            "shipment_id": F.expr("shipment_id + 1000000000"),
+            "delivery_time_days": F.expr("delivery_time_days + 1"),
+        }
+    )
+    stock = s["inventory"].filter("product_id % 4 = 0")
+    other = stock.withColumns(
+        {
+            "inventory_id": F.expr("inventory_id + 1000000000"),
+            "current_stock": F.expr("current_stock + 1"),
+        }
+    )
+    return s.replace(
+        shipments=s["shipments"].unionByName(second), inventory=s["inventory"].unionByName(other)
+    )
+
+
+def with_copies(s: Sources) -> Sources:
+    """Each item of some orders forty times over."""
+    times = F.expr("IF(order_id % 50 = 0, 40, 1)")
+    copied = s["order_items"].withColumn("__n", F.explode(F.sequence(F.lit(1), times)))
+    return s.replace(order_items=copied.drop("__n"))
+
+
 WINDOW_QUERIES: dict[str, Query] = {
     "win_customer_sequence": _history(
         "customer_key", sequence="customer_order_sequence"
@@ -317,6 +413,9 @@ WINDOW_QUERIES: dict[str, Query] = {
     ),
     "fact_enhanced": _on_sources(warehouse.enhanced_fact),
     "fact_enhanced_spread": _on_sources(lambda s: warehouse.enhanced_fact(s, SPREAD)),
+    "fact_full": _on_sources(warehouse.full_fact),
+    "fact_fanout": _on_sources(lambda s: warehouse.enhanced_fact(fanned_out(s), SPREAD)),
+    "fact_copies": _on_sources(lambda s: warehouse.enhanced_fact(with_copies(s), SPREAD)),
 }
 
 # ------------------------------------------------------------- marts, KPIs
@@ -340,13 +439,12 @@ def _mart_columns(mart: Callable[[DataFrame], DataFrame], *columns: str) -> Quer
 
 def _table_counts(s: Sources) -> DataFrame:
     lines = stage(warehouse.plain_fact(s), "plain_fact")
-    tables: Mapping[str, DataFrame] = {
-        "supply_chain_fact": lines,
+    made: Mapping[str, DataFrame] = {
         **{f"{n}_dim": d for n, d in warehouse.dimensions(s, *FIRST_LOAD).items()},
         **warehouse.business_marts(lines),
         **warehouse.indicators(lines),
     }
-    return kpis.table_counts(tables)
+    return kpis.table_counts({"supply_chain_fact": lines, **made})
 
 
 MART_QUERIES: dict[str, Query] = {

@@ -66,7 +66,7 @@ UNKNOWN_TURNOVER = "UNKNOWN_TURNOVER"
 
 
 def turnover_class(velocity: Column) -> Column:
-    chain = F.when(F.lit(False), UNKNOWN_TURNOVER)
+    chain = None
     for seen, name in TURNOVER_CLASSES.items():
-        chain = chain.when(velocity == seen, name)
+        chain = (F.when if chain is None else chain.when)(velocity == seen, name)
     return chain.otherwise(UNKNOWN_TURNOVER)

@@ -33,7 +33,9 @@ LINE_DEFAULTS: dict[str, str] = {
 }
 
 RISK_WEIGHT = Decimal("0.4")
-LATE_RISK = Decimal("0.36")  # a late line adds 0.6 weighted by 0.6
+# A late line adds its risk of 0.6, weighted by 0.6.
+LATE_RISK = Decimal("0.6")
+LATE_WEIGHT = Decimal("0.6")
 
 
 # ------------------------------------------------------------------- joins
@@ -43,90 +45,68 @@ def _heavy(
     sources: Sources, name: str, columns: list[str], policy: SkewPolicy
 ) -> Callable[[], HeavyKeys]:
     """The heavy keys of a source, looked for on the first call."""
-    return cache(lambda: heavy_keys(sources[name], columns, policy, sources.rows(name)[name]))
+    return cache(lambda: heavy_keys(sources.core(name), columns, policy, sources.rows(name)[name]))
 
 
 def orders_with_customers(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
-    heavy = _heavy(sources, "orders", ["customer_id"], policy)
-    return look_up(
-        numbered(sources["orders"], "__order", heavy),
-        sources["customers"],
-        ["customer_id"],
-        sources.rows("orders", "customers")["customers"],
-        policy,
-        left_heavy=heavy,
-    ).drop("__order")
+    rows = sources.rows("orders", "customers")["customers"]
+    return look_up(sources.core("orders"), sources.core("customers"), ["customer_id"], rows, policy)
 
 
 def items_with_orders(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Order items with their order and customer; items rooted, so big rows move once."""
-    heavy = _heavy(sources, "order_items", ["order_id"], policy)
-    return look_up(
-        numbered(sources["order_items"], "__item", heavy),
-        orders_with_customers(sources, policy),
-        ["order_id"],
-        sources.rows("order_items", "orders")["orders"],
-        policy,
-        left_heavy=heavy,
-    ).drop("__item")
+    rows = sources.rows("order_items", "orders")["orders"]
+    right = orders_with_customers(sources, policy)
+    return look_up(sources.core("order_items"), right, ["order_id"], rows, policy)
 
 
 def items_with_products(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
-    heavy = _heavy(sources, "order_items", ["product_id"], policy)
+    rows = sources.rows("order_items", "products")["products"]
     return look_up(
-        numbered(sources["order_items"], "__item", heavy),
-        sources["products"],
-        ["product_id"],
-        sources.rows("order_items", "products")["products"],
-        policy,
-        left_heavy=heavy,
-    ).drop("__item")
+        sources.core("order_items"), sources.core("products"), ["product_id"], rows, policy
+    )
 
 
 def products_with_categories(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
+    rows = sources.rows("products", "categories")["categories"]
     return look_up(
-        sources["products"],
-        sources["categories"],
-        ["category_id"],
-        sources.rows("products", "categories")["categories"],
-        policy,
-        left_heavy=_heavy(sources, "products", ["category_id"], policy),
+        sources.core("products"), sources.core("categories"), ["category_id"], rows, policy
     )
 
 
 def products_with_suppliers(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Products with their own supplier, which need not be the one who shipped the order."""
+    rows = sources.rows("products", "suppliers")["suppliers"]
     return look_up(
         products_with_categories(sources, policy),
-        sources["suppliers"].select("supplier_id", "supplier_name"),
+        sources.core("suppliers").select("supplier_id", "supplier_name"),
         ["supplier_id"],
-        sources.rows("products", "suppliers")["suppliers"],
+        rows,
         policy,
-        left_heavy=_heavy(sources, "products", ["supplier_id"], policy),
     )
 
 
 def orders_with_shipments(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     shipped = _heavy(sources, "shipments", ["order_id"], policy)
+    shipments = numbered(sources.core("shipments"), "__shipment", shipped)
     return look_up(
-        sources["orders"],
-        numbered(sources["shipments"].drop("supplier_id"), "__shipment", shipped),
+        sources.core("orders"),
+        shipments.drop("supplier_id"),
         ["order_id"],
         sources.rows("orders", "shipments")["shipments"],
         policy,
         "left",
-        left_heavy=_heavy(sources, "orders", ["order_id"], policy),
         right_heavy=shipped,
     ).drop("__shipment")
 
 
 def shipments_with_warehouses(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Shipments with their warehouse; an unknown warehouse leaves ``warehouse_key`` NULL."""
-    return _with_warehouses(sources["shipments"], sources, policy)
+    return _with_warehouses(sources.core("shipments"), sources, policy)
 
 
 def _with_warehouses(shipments: DataFrame, sources: Sources, policy: SkewPolicy) -> DataFrame:
-    warehouses = sources["warehouses"].selectExpr(
+    warehouses = sources.core("warehouses").selectExpr(
         "warehouse_id",
         "warehouse_id AS warehouse_key",
         "warehouse_name",
@@ -139,7 +119,6 @@ def _with_warehouses(shipments: DataFrame, sources: Sources, policy: SkewPolicy)
         sources.rows("shipments", "warehouses")["warehouses"],
         policy,
         "left",
-        left_heavy=_heavy(sources, "shipments", ["warehouse_id"], policy),
     ).drop("warehouse_id")
 
 
@@ -147,20 +126,25 @@ def order_lines(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """Nominally one row per order item; further shipments of the order, or stock records of the
     item in the warehouse, multiply it.
 
-    On big data the items are shuffled three times: by order for two joins, by product, and by
+    On big data the items are shuffled three times: by product, by order for two joins, and by
     (product, warehouse) for the stock. Sides that are counted to be small are broadcast instead.
+    Adaptive execution splits the items of a frequent product. The two joins by order share a
+    shuffle, so orders with very many items are spread here, as are shipments and stock records
+    of one key. Row counts, and where a source is large the search for such keys, run at once.
     """
     rows = sources.rows(*sources)
     by_order = _heavy(sources, "order_items", ["order_id"], policy)
-    by_product = _heavy(sources, "order_items", ["product_id"], policy)
     shipped = _heavy(sources, "shipments", ["order_id"], policy)
     stocked = _heavy(sources, "inventory", ["product_id", "warehouse_id"], policy)
 
-    items = numbered(sources["order_items"], "__item", by_order, by_product)
-    shipments = numbered(sources["shipments"], "__shipment", shipped)
-    inventory = numbered(sources["inventory"], "__stock", stocked)
+    items = numbered(sources.core("order_items"), "__item", by_order)
+    shipments = numbered(sources.core("shipments"), "__shipment", shipped)
+    inventory = numbered(sources.core("inventory"), "__stock", stocked)
+    lines = look_up(
+        items, products_with_suppliers(sources, policy), ["product_id"], rows["products"], policy
+    )
     lines = look_up(
-        items,
+        lines,
         orders_with_customers(sources, policy),
         ["order_id"],
         rows["orders"],
@@ -177,14 +161,6 @@ def order_lines(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
         left_heavy=by_order,
         right_heavy=shipped,
     )
-    lines = look_up(
-        lines,
-        products_with_suppliers(sources, policy),
-        ["product_id"],
-        rows["products"],
-        policy,
-        left_heavy=by_product,
-    )
     return look_up(
         lines.withColumnRenamed("warehouse_key", "warehouse_id"),
         inventory,
@@ -192,7 +168,6 @@ def order_lines(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
         rows["inventory"],
         policy,
         "left",
-        left_heavy=by_product,
         right_heavy=stocked,
     ).withColumnRenamed("warehouse_id", "warehouse_key")
 
@@ -207,7 +182,8 @@ def _known(name: str, column: str | None = None) -> str:
 def fact_base(lines: DataFrame) -> DataFrame:
     """Keys, dates, names, measures and defaults of each joined line.
 
-    ``line_number`` is no part of the fact; it only orders lines of equal date.
+    ``line_number``, ``shipment_id`` and ``inventory_id`` are no part of the fact; they order
+    lines of equal date.
     """
     return lines.selectExpr(
         "order_id AS order_key",
@@ -241,11 +217,14 @@ def fact_base(lines: DataFrame) -> DataFrame:
         _known("warehouse_name"),
         _known("warehouse_region"),
         "line_number",
+        "shipment_id",
+        "inventory_id",
     )
 
 
 def with_risk_score(base: DataFrame) -> DataFrame:
-    late = F.when(F.col("is_late_delivery"), F.lit(LATE_RISK)).otherwise(F.lit(Decimal("0.00")))
+    late_risk = F.lit(LATE_RISK) * F.lit(LATE_WEIGHT)
+    late = F.when(F.col("is_late_delivery"), late_risk).otherwise(F.lit(Decimal("0.00")))
     score = F.col("stock_out_risk_score") * F.lit(RISK_WEIGHT) + late
     return base.withColumn("supply_chain_risk_score", score.cast("decimal(6,3)"))
 

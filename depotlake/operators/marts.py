@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depotlake.functions import BANDS, late_share, mean, ratio
+from depotlake.functions import BANDS, Bands, late_share, mean, ratio
 from depotlake.schemas import to_table
 
 PERIOD = ("order_year", "order_month")
@@ -19,7 +21,7 @@ def with_cost_efficiency(df: DataFrame) -> DataFrame:
     )
 
 
-def supply_chain_team_mart(fact: DataFrame) -> DataFrame:
+def supply_chain_team_mart(fact: DataFrame, bands: Mapping[str, Bands] = BANDS) -> DataFrame:
     performance = F.col("delivery_performance_score")
     grouped = fact.groupBy("supplier_key", "supplier_name", "warehouse_region", *PERIOD).agg(
         mean("delivery_time_days").alias("avg_delivery_time"),
@@ -32,11 +34,11 @@ def supply_chain_team_mart(fact: DataFrame) -> DataFrame:
         F.sum(performance).alias("__sum"),
         F.count(performance).alias("__count"),
     )
-    label = BANDS["performance"].label(F.col("__sum"), F.col("__count"))
+    label = bands["performance"].label(F.col("__sum"), F.col("__count"))
     return to_table(grouped.withColumn("performance_category", label), "supply_chain_team_metrics")
 
 
-def store_manager_mart(fact: DataFrame) -> DataFrame:
+def store_manager_mart(fact: DataFrame, bands: Mapping[str, Bands] = BANDS) -> DataFrame:
     risk = F.col("stock_out_risk_score")
     grouped = fact.groupBy(
         "product_key", "product_name", "category_name", "warehouse_key", "warehouse_name", *PERIOD
@@ -51,14 +53,14 @@ def store_manager_mart(fact: DataFrame) -> DataFrame:
     )
     labelled = grouped.withColumns(
         {
-            "stock_health_status": BANDS["stock_health"].label(F.col("__sum"), F.col("__count")),
-            "product_velocity_classification": BANDS["velocity"].label(F.col("total_demand")),
+            "stock_health_status": bands["stock_health"].label(F.col("__sum"), F.col("__count")),
+            "product_velocity_classification": bands["velocity"].label(F.col("total_demand")),
         }
     )
     return to_table(labelled, "store_manager_metrics")
 
 
-def finance_team_mart(fact: DataFrame) -> DataFrame:
+def finance_team_mart(fact: DataFrame, bands: Mapping[str, Bands] = BANDS) -> DataFrame:
     grouped = fact.groupBy("supplier_key", "supplier_name", "category_name", *PERIOD).agg(
         F.sum("order_value").alias("total_purchase_value"),
         mean("unit_price").alias("avg_unit_price"),
@@ -68,6 +70,6 @@ def finance_team_mart(fact: DataFrame) -> DataFrame:
         mean("delivery_time_days").alias("avg_payment_cycle_days"),
         F.sum("order_quantity").alias("total_units_purchased"),
     )
-    tier = BANDS["spend"].label(F.col("total_purchase_value"))
+    tier = bands["spend"].label(F.col("total_purchase_value"))
     labelled = grouped.withColumn("supplier_spend_tier", tier).transform(with_cost_efficiency)
     return to_table(labelled, "finance_team_metrics")

@@ -61,7 +61,7 @@ def clean_fact(df: DataFrame) -> DataFrame:
 
 
 def key_violations(df: DataFrame, source: str, keys: Sequence[str]) -> DataFrame:
-    """Key values that are NULL or not unique, with their number of rows."""
+    """Key values, as JSON, that are NULL or not unique, with their number of rows."""
     broken = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys], F.lit(False))
     return (
         df.groupBy(*keys)
@@ -69,7 +69,7 @@ def key_violations(df: DataFrame, source: str, keys: Sequence[str]) -> DataFrame
         .filter((F.col("row_count") > 1) | broken)
         .select(
             F.lit(source).alias("source_name"),
-            F.concat_ws("|", *[F.col(c).cast("string") for c in keys]).alias("key_value"),
+            F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("key_value"),
             "row_count",
         )
     )

@@ -1,63 +1,69 @@
 """Joins that stay balanced when a few keys hold a large part of the rows.
 
-Adaptive execution splits skewed join partitions by itself, but not where a later operator relies
-on the same partitioning, and not on the right side of a left join. Here the heavy keys are
-found beforehand and their rows spread over several sub-keys.
+Adaptive execution splits skewed join partitions by itself, but not where a later join relies on
+the same partitioning, and not on the right side of a left join. For those, keys with many rows
+are found beforehand and their rows spread over several sub-keys.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from depotlake.operators.staging import stage
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """A key is heavy when it holds ``share`` of the rows, and at least ``min_rows`` of them."""
+    """``key_rows`` is what a task may read of one key, ``task_rows`` of one sorted range.
+
+    A join side is broadcast up to ``broadcast_bytes``, by its counted rows and declared columns.
+    None of these changes a result.
+    """
+
+    key_rows: int = 2_000_000
+    task_rows: int = 2_000_000
+    broadcast_bytes: int = 16_000_000
 
-    share: float = 1 / 2000
-    min_rows: int = 1_000_000
-    sample_rows: int = 5_000_000
-    broadcast_rows: int = 100_000
+
+#: What a string column is taken to need in a broadcast.
+STRING_BYTES = 40
+
+
+def broadcast_size(df: DataFrame, rows: int) -> int:
+    """Bytes that ``rows`` rows of ``df`` need in a hashed broadcast, at a rough estimate."""
+    widths = [STRING_BYTES if isinstance(f.dataType, T.StringType) else 8 for f in df.schema]
+    return rows * (sum(widths) + 40)
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Heavy values of some key columns, each with the number of ways its rows are spread.
+    """Keys with more rows than a task should read, and the number of ways to spread each.
 
-    There are at most ``1 / share`` of them, whatever the size of the data, so they may be kept
-    on the driver and broadcast.
+    They are a stored table, one row per key and no more than rows / ``key_rows`` of them.
     """
 
     columns: tuple[str, ...]
-    ways: dict[tuple, int] = field(default_factory=dict)
+    found: DataFrame | None = None
 
     def __bool__(self) -> bool:
-        return bool(self.ways)
-
-    def without_nulls(self) -> "HeavyKeys":
-        return HeavyKeys(self.columns, {k: n for k, n in self.ways.items() if None not in k})
+        return self.found is not None
 
     def mark(self, df: DataFrame, name: str) -> DataFrame:
         """Add column ``name``: the number of ways of the row's key, 1 for ordinary keys."""
-        columns = self.columns
-        if not self.ways:
+        if self.found is None:
             return df.withColumn(name, F.lit(1))
-        schema = [df.schema[c].dataType.simpleString() for c in columns]
-        marks = df.sparkSession.createDataFrame(
-            [(*key, ways) for key, ways in self.ways.items()],
-            ", ".join([f"__k{i} {t}" for i, t in enumerate(schema)] + ["__ways int"]),
-        )
+        marks = self.found.toDF(*[f"__k{i}" for i in range(len(self.columns))], "__ways")
         same = reduce(
             Column.__and__,
-            [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(columns)],
+            [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(self.columns)],
         )
-        return df.join(F.broadcast(marks), same, "left").select(
+        return df.join(marks, same, "left").select(
             *df.columns, F.coalesce("__ways", F.lit(1)).alias(name)
         )
 
@@ -65,40 +71,26 @@ class HeavyKeys:
 def heavy_keys(
     df: DataFrame, columns: list[str], policy: SkewPolicy, total: int | None = None
 ) -> HeavyKeys:
-    """Find the heavy values of ``columns``; ``total`` is the row count, if it is known.
+    """Find the keys with more than ``key_rows`` rows; ``total`` is the row count, if it is known.
 
-    Big inputs are sampled. Like the sample behind a range partitioning, this decides how rows are
-    placed and never which rows are in the result.
+    Counts are exact and combined in each task before the shuffle.
     """
-    keys = df.select(*columns)
-    if total is None:
-        total = keys.count()
-    floor = max(total * policy.share, policy.min_rows)
-    if total < floor:
+    if total is not None and total <= policy.key_rows:
         return HeavyKeys(tuple(columns))
-    fraction = min(1.0, policy.sample_rows / total)
-    seen = keys if fraction == 1.0 else keys.sample(fraction, seed=17)
-    found = (
-        seen.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("__seen"))
-        .filter(F.col("__seen") >= floor * fraction)
-        .collect()
-    )
-    return HeavyKeys(
-        tuple(columns),
-        {tuple(r)[:-1]: math.ceil(r["__seen"] / fraction / floor) + 1 for r in found},
-    )
-
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__rows"))
+    many = counted.filter(F.col("__rows") > policy.key_rows)
+    ways = (F.ceil(F.col("__rows") / policy.key_rows) + 1).cast("int").alias("__ways")
+    found = stage(many.select(*columns, ways), "heavy_keys")
+    return HeavyKeys(tuple(columns), None if found.isEmpty() else found)
 
-def numbered(df: DataFrame, name: str, *heavy: Callable[[], HeavyKeys]) -> DataFrame:
-    """Number the rows of ``df`` if one of ``heavy`` is found, so that even copies of a row differ
-    and can be spread.
 
-    ``df`` must be a scan of files: a task that is run again then numbers its rows the same way.
+def numbered(df: DataFrame, name: str, heavy: Callable[[], HeavyKeys]) -> DataFrame:
+    """``df``, stored with a number for each row where ``heavy`` is found, so that even copies of
+    a row differ and can be spread, and a task that is run again spreads them the same way.
     """
-    if any(found() for found in heavy):
-        return df.withColumn(name, F.monotonically_increasing_id())
-    return df
+    if not heavy():
+        return df
+    return stage(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
 def spread_over(df: DataFrame, ways: str) -> Column:
@@ -106,11 +98,6 @@ def spread_over(df: DataFrame, ways: str) -> Column:
     return F.pmod(F.xxhash64(*df.columns), F.col(ways)).cast("int")
 
 
-def each_way(ways: str) -> Column:
-    """All sub-keys in [0, ways), one row for each."""
-    return F.explode(F.sequence(F.lit(0), F.col(ways) - 1))
-
-
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -123,7 +110,8 @@ def skew_join(
 
     The rows of a heavy key are spread over sub-keys on the side where the key is heavy, and the
     matching rows of the other side are repeated once per sub-key, so every pair meets exactly
-    once. The left's heavy keys may be given on a subset of ``on``.
+    once. Left rows are repeated only for sub-keys that the right side has, so none of them comes
+    out unmatched besides. The left's heavy keys may be given on a subset of ``on``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
@@ -131,35 +119,24 @@ def skew_join(
         return left.join(right, on, how)
     columns = [*on, *[c for c in left.columns if c not in on]]
     columns += [c for c in right.columns if c not in on]
-    nothing = HeavyKeys(tuple(on))
-    left_heavy, right_heavy = left_heavy or nothing, right_heavy or nothing
+    left_heavy = left_heavy or HeavyKeys(tuple(on))
+    right_heavy = right_heavy or HeavyKeys(tuple(on))
     if right_heavy.columns != tuple(on):
         raise ValueError(f"heavy keys of the right side must be on {on}")
-    right_heavy = right_heavy.without_nulls()  # NULL matches nothing, Spark drops it by itself
-
-    def marked(df: DataFrame) -> DataFrame:
-        return right_heavy.mark(left_heavy.mark(df, "__lw"), "__rw")
-
-    left_rows, right_rows = marked(left), marked(right)
-    left_rows = left_rows.withColumn("__l", spread_over(left, "__lw"))
-    right_rows = right_rows.select(*right.columns, "__rw", each_way("__lw").alias("__l"))
-
-    def spread_right(l_side: DataFrame, r_side: DataFrame) -> DataFrame:
-        l_side = l_side.select(*left.columns, "__l", each_way("__rw").alias("__r"))
-        r_side = r_side.withColumn("__r", spread_over(right, "__rw"))
-        return l_side.join(r_side, [*on, "__l", "__r"], "inner").select(*columns)
-
-    if how == "inner":
-        return spread_right(left_rows, right_rows)
-    # A key that is heavy on the right has matches, so its left rows need no outer join; a
-    # repeated left row of an outer join would come out unmatched for each empty sub-key.
-    light = left_rows.filter("__rw = 1").join(
-        right_rows.filter("__rw = 1").drop("__rw"), [*on, "__l"], "left"
-    )
-    if not right_heavy:
-        return light.select(*columns)
-    heavy = spread_right(left_rows.filter("__rw > 1"), right_rows.filter("__rw > 1"))
-    return light.select(*columns).unionByName(heavy)
+
+    left_rows = left_heavy.mark(left, "__lw").withColumn("__l", spread_over(left, "__lw"))
+    marked = right_heavy.mark(right, "__rw").withColumn("__r", spread_over(right, "__rw"))
+    every = F.explode(F.sequence(F.lit(0), F.col("__lw") - 1)).alias("__l")
+    right_rows = left_heavy.mark(marked, "__lw").select(*right.columns, "__r", every)
+    if right_heavy:
+        # at most ways sub-keys for each heavy key
+        there = marked.filter("__rw > 1").groupBy(*on).agg(F.collect_set("__r").alias("__there"))
+        left_rows = left_rows.join(there, on, "left")
+        sub_keys = F.explode(F.coalesce("__there", F.array(F.lit(0)))).alias("__r")
+        left_rows = left_rows.select(*left.columns, "__l", sub_keys)
+    else:
+        left_rows = left_rows.withColumn("__r", F.lit(0))
+    return left_rows.join(right_rows, [*on, "__l", "__r"], how).select(*columns)
 
 
 def look_up(
@@ -172,13 +149,13 @@ def look_up(
     left_heavy: Callable[[], HeavyKeys] | None = None,
     right_heavy: Callable[[], HeavyKeys] | None = None,
 ) -> DataFrame:
-    """Join a side whose rows have been counted: broadcast if they are few enough for every
+    """Join a side whose rows have been counted: broadcast if they are small enough for every
     executor, else merged after a shuffle, with the heavy keys spread.
 
     Without the hint the planner would go by file sizes, which say little about the rows of a
     compressed file, and less about rows derived from it.
     """
-    if right_rows <= policy.broadcast_rows:
+    if broadcast_size(right, right_rows) <= policy.broadcast_bytes:
         return left.join(F.broadcast(right), on, how)
     return skew_join(
         left,

@@ -45,6 +45,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the written folder ``new`` in the place of ``path``.
+
+    The old folder is moved aside first and removed last, so one of the two is always there.
+    """
+    file_system, there = _located(spark, path)
+    aside = _located(spark, f"{path}__old")[1]
+    file_system.delete(aside, True)
+    if file_system.exists(there) and not file_system.rename(there, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not file_system.rename(_located(spark, new)[1], there):
+        raise OSError(f"cannot move {new} to {path}")
+    file_system.delete(aside, True)
+
+
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
     file_system, hadoop_path = _located(spark, path)
     file_system.deleteOnExit(hadoop_path)

@@ -6,16 +6,29 @@ on every run. ORDER BY with LIMIT keeps the best n rows per task and sorts only
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from depotlake.functions import BANDS
+from depotlake.functions import BANDS, Bands
 
 HIGH_RISK = 0.7
 TEAM_KEYS = ("supplier_key", "warehouse_region")
 STORE_KEYS = ("product_key", "warehouse_key", "product_name", "category_name")
 FINANCE_KEYS = ("supplier_key", "category_name")
-LINE_KEYS = ("order_key", "product_key", "order_quantity", "unit_price")
+# Lines that agree in all of these look the same in the reports.
+LINE_KEYS = (
+    "order_key",
+    "product_key",
+    "order_quantity",
+    "unit_price",
+    "warehouse_key",
+    "current_stock_level",
+    "stock_out_risk_score",
+    "movement_velocity",
+    "stock_status",
+)
 
 
 def _period(df: DataFrame, year: int, month: int | None = None) -> DataFrame:
@@ -34,8 +47,8 @@ def _rounded(column: str, digits: int, name: str, factor: int = 1) -> Column:
     return F.round(value, digits).alias(name)
 
 
-def supplier_grade() -> Column:
-    return BANDS["grade"].label(F.round("overall_supplier_score", 6)).alias("supplier_grade")
+def supplier_grade(bands: Mapping[str, Bands] = BANDS) -> Column:
+    return bands["grade"].label(F.round("overall_supplier_score", 6)).alias("supplier_grade")
 
 
 # -------------------------------------------------------- raw, by year
@@ -89,7 +102,9 @@ def supplier_payment(finance: DataFrame, year: int, rows: int = 10) -> DataFrame
     )
 
 
-def scorecard_raw(scorecard: DataFrame, rows: int = 10) -> DataFrame:
+def scorecard_raw(
+    scorecard: DataFrame, rows: int = 10, bands: Mapping[str, Bands] = BANDS
+) -> DataFrame:
     return _top(
         scorecard,
         "overall_supplier_score",
@@ -100,13 +115,13 @@ def scorecard_raw(scorecard: DataFrame, rows: int = 10) -> DataFrame:
         "quality_score",
         "availability_score",
         "overall_supplier_score",
-        supplier_grade(),
+        supplier_grade(bands),
     )
 
 
-def _high_risk(fact: DataFrame, rows: int, *scores: Column | str) -> DataFrame:
+def _high_risk(fact: DataFrame, rows: int, above: float, *scores: Column | str) -> DataFrame:
     # Compared as doubles, which the stored fact holds: the filter reaches the Parquet scan.
-    risky = fact.filter(F.col("supply_chain_risk_score") > F.lit(HIGH_RISK))
+    risky = fact.filter(F.col("supply_chain_risk_score") > F.lit(above))
     return _top(
         risky,
         "supply_chain_risk_score",
@@ -122,10 +137,11 @@ def _high_risk(fact: DataFrame, rows: int, *scores: Column | str) -> DataFrame:
     )
 
 
-def high_risk_raw(fact: DataFrame, rows: int = 20) -> DataFrame:
+def high_risk_raw(fact: DataFrame, rows: int = 20, above: float = HIGH_RISK) -> DataFrame:
     return _high_risk(
         fact,
         rows,
+        above,
         F.col("stock_out_risk_score").cast("double").alias("stock_out_risk_score"),
         F.col("supply_chain_risk_score").cast("double").alias("supply_chain_risk_score"),
     )
@@ -188,7 +204,9 @@ def supplier_spend(finance: DataFrame, year: int, month: int, rows: int = 10) ->
     )
 
 
-def scorecard_graded(scorecard: DataFrame, rows: int = 10) -> DataFrame:
+def scorecard_graded(
+    scorecard: DataFrame, rows: int = 10, bands: Mapping[str, Bands] = BANDS
+) -> DataFrame:
     return _top(
         scorecard,
         "overall_supplier_score",
@@ -199,17 +217,18 @@ def scorecard_graded(scorecard: DataFrame, rows: int = 10) -> DataFrame:
         _rounded("quality_score", 2, "quality_score", 20),
         _rounded("availability_score", 2, "availability_score", 100),
         _rounded("overall_supplier_score", 2, "overall_score"),
-        supplier_grade(),
+        supplier_grade(bands),
     )
 
 
-def high_risk(fact: DataFrame, rows: int = 20) -> DataFrame:
+def high_risk(fact: DataFrame, rows: int = 20, above: float = HIGH_RISK) -> DataFrame:
     def percent(column: str, name: str) -> Column:
         return F.round(F.col(column) * 100, 2).cast("double").alias(name)
 
     return _high_risk(
         fact,
         rows,
+        above,
         percent("stock_out_risk_score", "stockout_risk_percent"),
         percent("supply_chain_risk_score", "overall_risk_percent"),
     )

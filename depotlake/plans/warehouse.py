@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.functions import monotonically_increasing_id
 
 from depotlake.operators.fact import fact_base, order_lines, with_derived
-from depotlake.operators.history import DIMENSIONS, initial_load
+from depotlake.operators.history import DIMENSIONS, initial_load, merge_snapshot
 from depotlake.operators.kpis import (
     inventory_turnover,
     perfect_order_rate,
@@ -19,18 +19,43 @@ from depotlake.operators.kpis import (
     table_counts,
 )
 from depotlake.operators.marts import finance_team_mart, store_manager_mart, supply_chain_team_mart
-from depotlake.operators.quality import clean_fact
-from depotlake.operators.running import CUSTOMER, PRODUCT, SUPPLIER, History, with_histories
+from depotlake.operators.quality import (
+    clean_fact,
+    key_violations,
+    length_violations,
+    null_profile,
+    orphan_keys,
+)
+from depotlake.operators.running import (
+    CUSTOMER,
+    LINE_ID,
+    PRODUCT,
+    SUPPLIER,
+    History,
+    stored_lines,
+    with_histories,
+)
 from depotlake.operators.skew import SkewPolicy
-from depotlake.operators.staging import stage
+from depotlake.operators.staging import exists, replace_folder
 from depotlake.plans.tables import (
     PARTITIONED_BY,
+    declare_tables,
+    drop_table,
     read_table,
     save_table,
     table_path,
     write_parquet,
 )
-from depotlake.schemas import TABLES, columns, exact_fact, to_table
+from depotlake.plans.views import create_views
+from depotlake.schemas import (
+    FOREIGN_KEYS,
+    LENGTH_LIMITS,
+    PRIMARY_KEYS,
+    TABLES,
+    columns,
+    exact_fact,
+    to_table,
+)
 from depotlake.sources.registry import Sources
 
 POLICY = SkewPolicy()
@@ -53,22 +78,22 @@ def lines_with_histories(
 ) -> DataFrame:
     """The joined lines, cut to the ``needed`` columns, with their histories.
 
-    Big inputs are staged: the joins run once, the histories read the files. Below
-    ``policy.min_rows`` order items there is nothing to spread, and all is one lazy plan.
+    The lines are written to the staging folder at once: the joins run once, the histories read
+    the files.
     """
-    lines, total = base_lines(sources, policy).select(*needed), sources.rows("order_items")
-    if total["order_items"] < policy.min_rows:
-        return with_histories(lines, *histories, policy=policy, total=total["order_items"])
-    told_apart = lines.withColumn("line_id", monotonically_increasing_id())
-    staged = stage(told_apart, "fact_base")
-    return with_histories(staged, *histories, policy=policy, line_id="line_id").drop("line_id")
+    lines = stored_lines(base_lines(sources, policy).select(*needed))
+    return with_histories(lines, *histories, policy=policy).drop(LINE_ID)
 
 
 def enhanced_fact(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     """The fact with all 44 columns before cleaning, in contract order, types still exact."""
-    lines = lines_with_histories(sources, CUSTOMER, SUPPLIER, PRODUCT, policy=policy)
+    return _with_all_columns(stored_lines(base_lines(sources, policy)), policy)
+
+
+def _with_all_columns(lines: DataFrame, policy: SkewPolicy) -> DataFrame:
+    followed = with_histories(lines, CUSTOMER, SUPPLIER, PRODUCT, policy=policy)
     names = [name for name, _ in columns(TABLES["supply_chain_fact"])]
-    return lines.transform(with_derived).select(*names)
+    return followed.transform(with_derived).select(*names)
 
 
 def full_fact(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
@@ -100,6 +125,31 @@ def dimensions(
     }
 
 
+def source_checks(sources: Sources) -> dict[str, DataFrame]:
+    """Rows that break the declared keys, references and lengths of the sources."""
+    checked = [
+        (name, {c: n for c, n in limits.items() if c in sources[name].columns})
+        for name, limits in LENGTH_LIMITS.items()
+    ]
+    return {
+        "key_violations": reduce(
+            DataFrame.unionByName,
+            [key_violations(sources[n], n, keys) for n, keys in PRIMARY_KEYS.items()],
+        ),
+        "orphan_keys": reduce(
+            DataFrame.unionByName,
+            [
+                orphan_keys(sources[c], column, sources[p], key, f"{c}.{column}")
+                for c, column, p, key in FOREIGN_KEYS
+            ],
+        ),
+        "length_violations": reduce(
+            DataFrame.unionByName,
+            [length_violations(sources[name], name, limits) for name, limits in checked if limits],
+        ),
+    }
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """The written tables, and the indicators that are computed from them on demand."""
@@ -109,6 +159,7 @@ class Warehouse:
     inventory_turnover: DataFrame
     summary: DataFrame
     counts: DataFrame
+    quality: dict[str, DataFrame]
 
     @property
     def fact(self) -> DataFrame:
@@ -128,28 +179,53 @@ def build_warehouse(
     """Write the eight tables under ``root``, and register them when a database is named.
 
     The fact is computed once. Marts and indicators read the columns they need back from it.
+    Dimensions that are there already take in the sources as their next snapshot; a second run on
+    a day replaces the first. With a database, both views are created as well. ``quality`` has the
+    null profile of the lines, and what breaks the declared keys, references and lengths.
     """
 
     def save(df: DataFrame, table: str) -> DataFrame:
         path, keys = table_path(root, table), PARTITIONED_BY.get(table, [])
         rows = to_table(df, table)
+        if keys:
+            rows = rows.hint("rebalance", *keys)  # few files for each period, none too large
         if database is None:
             write_parquet(rows, path, partition_by=keys)
         else:
             save_table(rows, table, path, database, partition_by=keys)
         return read_table(spark, root, table)
 
-    tables = {"supply_chain_fact": save(full_fact(sources, policy), "supply_chain_fact")}
-    for name, frame in dimensions(sources, run_date, run_time).items():
-        tables[f"{name}_dim"] = save(frame, f"{name}_dim")
+    def save_dimension(name: str) -> DataFrame:
+        d, path = DIMENSIONS[name], table_path(root, f"{name}_dim")
+        snapshot = sources[d.source]
+        if exists(spark, path):
+            known = read_table(spark, root, d.table)
+            rows = merge_snapshot(known, snapshot, d.keys, d.tracked, run_date, run_time)
+        else:
+            rows = initial_load(snapshot, d.keys, d.tracked, run_date, run_time)
+        write_parquet(to_table(rows, d.table), f"{path}__next")
+        replace_folder(spark, f"{path}__next", path)
+        if database is not None:
+            drop_table(spark, d.table, database)
+            declare_tables(spark, root, database, [d.table])
+        return read_table(spark, root, d.table)
+
+    lines = stored_lines(base_lines(sources, policy))
+    fact_rows = _with_all_columns(lines, policy).transform(clean_fact)
+    tables = {"supply_chain_fact": save(fact_rows, "supply_chain_fact")}
+    for name in DIMENSIONS:
+        tables[f"{name}_dim"] = save_dimension(name)
     fact = exact_fact(tables["supply_chain_fact"])
     for table, frame in business_marts(fact).items():
         tables[table] = save(frame, table)
     tables["supplier_scorecard"] = save(supplier_scorecard(fact), "supplier_scorecard")
+    if database is not None:
+        create_views(spark, database)
     return Warehouse(
         tables=tables,
         perfect_order_rate=perfect_order_rate(fact),
         inventory_turnover=inventory_turnover(fact),
         summary=run_summary(fact),
         counts=table_counts(tables),
+        quality={"null_profile": null_profile(lines), **source_checks(sources)},
     )

@@ -41,6 +41,29 @@ SOURCES: dict[str, str] = {
     ),
 }
 
+# Columns that are declared as well, and kept where a source has them.
+MORE_COLUMNS: dict[str, str] = {
+    "suppliers": "supplier_email string, contact_person string, phone string, address string",
+    "inventory": (
+        "store_id int, max_stock_level int, last_restock_date date, stock_value decimal(12,2),"
+        " last_movement_date date, effective_start_date date, effective_end_date date,"
+        " is_current boolean, record_version int, created_timestamp timestamp,"
+        " updated_timestamp timestamp"
+    ),
+    "shipments": (
+        "shipment_status string, tracking_number string, carrier_name string,"
+        " weight_kg decimal(8,2), volume_cubic_meters decimal(8,2), delay_reason string,"
+        " created_timestamp timestamp, updated_timestamp timestamp"
+    ),
+    "warehouses": (
+        "state string, country string, manager_name string, phone string, email string,"
+        " opening_date date, warehouse_size_sqft int, storage_capacity_units int,"
+        " current_inventory_level int, employee_count int, automation_level string,"
+        " climate_controlled boolean, hazmat_certified boolean, effective_start_date date,"
+        " effective_end_date date, is_current boolean, record_version int"
+    ),
+}
+
 PRIMARY_KEYS: dict[str, list[str]] = {
     "customers": ["customer_id"],
     "orders": ["order_id"],
@@ -68,10 +91,33 @@ FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
 
 # Declared VARCHAR lengths.
 LENGTH_LIMITS: dict[str, dict[str, int]] = {
-    "suppliers": {"supplier_name": 100, "supplier_status": 20},
+    "suppliers": {
+        "supplier_name": 100,
+        "supplier_email": 100,
+        "supplier_status": 20,
+        "contact_person": 100,
+        "phone": 20,
+    },
     "categories": {"category_name": 100},
-    "warehouses": {"warehouse_name": 100, "warehouse_type": 50, "region": 50, "city": 100},
+    "warehouses": {
+        "warehouse_name": 100,
+        "warehouse_type": 50,
+        "region": 50,
+        "city": 100,
+        "state": 50,
+        "country": 50,
+        "manager_name": 100,
+        "phone": 20,
+        "email": 100,
+        "automation_level": 20,
+    },
     "inventory": {"stock_status": 20, "movement_velocity": 20},
+    "shipments": {
+        "shipment_status": 20,
+        "tracking_number": 50,
+        "carrier_name": 100,
+        "delay_reason": 200,
+    },
 }
 
 # Declared column defaults, as SQL literals.

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from depotlake.sources.registry import Sources
@@ -20,34 +20,13 @@ TABLES = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey bigint, c_name string",
     "supplier": "s_suppkey bigint, s_name string",
-    "part": "p_partkey bigint, p_name string, p_type string",
+    "part": "p_partkey bigint, p_name string, p_type string, p_retailprice double",
     "orders": (
         "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz"
     ),
-    "lineitem": (
-        "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double,"
-        " l_extendedprice double"
-    ),
-}
-
-# The six part types in alphabetical order give the category ids 1 to 6.
-CATEGORY_IDS = {
-    "ECONOMY": 1,
-    "LARGE": 2,
-    "MEDIUM": 3,
-    "PROMO": 4,
-    "SMALL": 5,
-    "STANDARD": 6,
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double",
 }
 
-# One warehouse per nation, and there are always 25 nations.
-WAREHOUSES = 25
-
-
-def _category_id(part_type: str) -> str:
-    whens = " ".join(f"WHEN '{name}' THEN {key}" for name, key in CATEGORY_IDS.items())
-    return f"CASE {part_type} {whens} END"
-
 
 def retail_sources(spark: SparkSession, folder: str) -> Sources:
     @cache
@@ -72,32 +51,38 @@ def retail_sources(spark: SparkSession, folder: str) -> Sources:
             "CAST(o_orderdate AS DATE) AS order_date",
         )
 
+    @cache
+    def nation_count() -> int:
+        return max(table("nation").count(), 1)  # likewise
+
     def order_items() -> DataFrame:
-        return table("lineitem").selectExpr(
+        """Lines at the list price of their part."""
+        prices = table("part").selectExpr(
+            "p_partkey AS l_partkey", "CAST(p_retailprice AS DECIMAL(10,2)) AS price"
+        )
+        return table("lineitem").join(prices, "l_partkey").selectExpr(
             "l_orderkey AS order_id",
             "l_partkey AS product_id",
             "CAST(l_quantity AS INT) AS quantity",
-            # The list price of a line covers 50 units. Whole cents stay clear of the slow
-            # conversion of a double's text into a decimal.
-            "CAST(CAST(floor(l_extendedprice * 2 + 0.5D) AS DECIMAL(10,0)) * 0.01BD"
-            " AS DECIMAL(10,2)) AS price",
+            "price",
             "l_linenumber AS line_number",
         )
 
+    def categories() -> DataFrame:
+        """The part types, numbered in alphabetical order; a handful of rows."""
+        kinds = table("part").select(F.col("p_type").alias("category_name")).distinct()
+        number = F.row_number().over(Window.orderBy("category_name"))
+        return kinds.select(number.alias("category_id"), "category_name")
+
     def products() -> DataFrame:
-        return table("part").selectExpr(
+        typed = table("part").join(categories(), F.col("p_type").eqNullSafe(F.col("category_name")))
+        return typed.selectExpr(
             "p_partkey AS product_id",
             "p_name AS product_name",
-            f"{_category_id('p_type')} AS category_id",
+            "category_id",
             f"p_partkey % {supplier_count()} AS supplier_id",
         )
 
-    def categories() -> DataFrame:
-        kinds = table("part").select("p_type").distinct()
-        return kinds.selectExpr(
-            f"{_category_id('p_type')} AS category_id", "p_type AS category_name"
-        )
-
     def suppliers() -> DataFrame:
         return table("supplier").selectExpr(
             "s_suppkey AS supplier_id",
@@ -127,21 +112,24 @@ def retail_sources(spark: SparkSession, folder: str) -> Sources:
             "products": products,
             "categories": categories,
             "suppliers": suppliers,
-            "inventory": lambda: _inventory(table("part")),
-            "shipments": lambda: _shipments(table("orders"), supplier_count()),
+            "inventory": lambda: _inventory(table("part"), nation_count()),
+            "shipments": lambda: _shipments(table("orders"), supplier_count(), nation_count()),
             "warehouses": warehouses,
         }
     )
 
 
-def _inventory(part: DataFrame) -> DataFrame:
-    """Nine in ten (part, warehouse) pairs; each part row fans out to its own 22 or 23 rows."""
+def _inventory(part: DataFrame, warehouses: int) -> DataFrame:
+    """Nine in ten (part, warehouse) pairs; each part row fans out to its own rows.
+
+    There is a warehouse for each nation, and their keys count from 0.
+    """
     stocked = part.select(
         F.col("p_partkey").alias("p"),
-        F.explode(F.sequence(F.lit(0), F.lit(WAREHOUSES - 1))).alias("n"),
+        F.explode(F.sequence(F.lit(0), F.lit(warehouses - 1))).alias("n"),
     ).filter("(p + n) % 10 <> 0")
     return stocked.selectExpr(
-        f"p * {WAREHOUSES} + n AS inventory_id",
+        f"p * {warehouses} + n AS inventory_id",
         "n AS warehouse_id",
         "p AS product_id",
         "CAST((7 * p + 13 * n) % 250 AS INT) AS current_stock",
@@ -154,7 +142,7 @@ def _inventory(part: DataFrame) -> DataFrame:
     )
 
 
-def _shipments(orders: DataFrame, supplier_count: int) -> DataFrame:
+def _shipments(orders: DataFrame, supplier_count: int, warehouses: int) -> DataFrame:
     """One shipment for every order that is not pending, 2 to 5 days under way."""
     sent = orders.filter("o_orderstatus <> 'P'").selectExpr(
         "o_orderkey AS k",
@@ -165,7 +153,7 @@ def _shipments(orders: DataFrame, supplier_count: int) -> DataFrame:
         "k AS shipment_id",
         "k AS order_id",
         f"k % {supplier_count} AS supplier_id",
-        f"CAST(k % {WAREHOUSES} AS INT) AS warehouse_id",
+        f"CAST(k % {warehouses} AS INT) AS warehouse_id",
         "shipped AS shipment_date",
         "date_add(shipped, 3) AS expected_delivery_date",
         "date_add(shipped, days) AS actual_delivery_date",

@@ -9,35 +9,59 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depotlake.schemas import COLUMN_DEFAULTS, LOAD_TIME_DEFAULTS, SOURCES, conform
+from depotlake.schemas import (
+    COLUMN_DEFAULTS,
+    LOAD_TIME_DEFAULTS,
+    MORE_COLUMNS,
+    SOURCES,
+    columns,
+    conform,
+)
 
 
 class Sources(Mapping[str, DataFrame]):
-    """Named source DataFrames with the declared columns, made and read only when asked for."""
+    """Named source DataFrames with the declared columns, made and read only when asked for.
+
+    Declared defaults stand for NULLs from the moment a source is loaded.
+    """
 
     def __init__(
         self,
         frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
         current_only: bool = False,
+        load_time: datetime | None = None,
+        row_counts: Mapping[str, int] | None = None,
     ):
-        """``current_only`` keeps the current versions of sources that carry ``is_current``."""
+        """``current_only`` keeps the current versions of sources that carry ``is_current``.
+
+        ``row_counts`` saves the counting of sources whose size is known. ``load_time`` fills
+        missing audit times.
+        """
         missing = sorted(set(SOURCES) - set(frames))
         if missing:
             raise ValueError(f"sources not given: {missing}")
         self._given = dict(frames)
         self._current_only = current_only
+        self._load_time = load_time
         self._ready: dict[str, DataFrame] = {}
-        self._rows: dict[str, int] = {}
+        self._rows: dict[str, int] = dict(row_counts or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._ready:
             given = self._given[name]
             frame = given if isinstance(given, DataFrame) else given()
+            more = [c for c in columns(MORE_COLUMNS.get(name, "")) if c[0] in frame.columns]
+            ddl = ", ".join([SOURCES[name], *[f"{column} {kind}" for column, kind in more]])
+            frame = with_defaults(conform(frame, ddl), name, self._load_time)
             if self._current_only and "is_current" in frame.columns:
                 frame = frame.filter("is_current")
-            self._ready[name] = conform(frame, SOURCES[name])
+            self._ready[name] = frame
         return self._ready[name]
 
+    def core(self, name: str) -> DataFrame:
+        """The columns that every such source has."""
+        return self[name].select(*[column for column, _ in columns(SOURCES[name])])
+
     def __iter__(self):
         return iter(SOURCES)
 
@@ -45,7 +69,7 @@ class Sources(Mapping[str, DataFrame]):
         return len(SOURCES)
 
     def rows(self, *names: str) -> dict[str, int]:
-        """Row counts, each taken once; those still missing are taken in one job."""
+        """Row counts, each taken once; those still missing are taken in one job, at once."""
         missing = [n for n in names if n not in self._rows]
         if missing:
             counted = source_counts({n: self[n] for n in missing}).collect()
@@ -53,7 +77,8 @@ class Sources(Mapping[str, DataFrame]):
         return {n: self._rows[n] for n in names}
 
     def replace(self, **frames: DataFrame) -> "Sources":
-        return Sources({**self._given, **frames}, self._current_only)
+        kept = {n: rows for n, rows in self._rows.items() if n not in frames}
+        return Sources({**self._given, **frames}, self._current_only, self._load_time, kept)
 
 
 def source_counts(sources: Mapping[str, DataFrame]) -> DataFrame:

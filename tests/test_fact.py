@@ -98,3 +98,23 @@ def test_contract_columns_and_types(spark):
     fact = to_table(enhanced_fact(sources(spark)), "supply_chain_fact")
     assert fact.dtypes == columns(TABLES["supply_chain_fact"])
     assert len(fact.columns) == 44
+
+
+def test_unlisted_part_type_keeps_its_lines(spark, tmp_path):
+    """Categories come from the data, so a new one is numbered like the others."""
+    import shutil
+
+    from depotlake.sources import retail_sources
+
+    given = "/root/testdata/sf0.001"
+    for name in ("region", "nation", "customer", "supplier", "orders", "lineitem"):
+        shutil.copy(f"{given}/{name}.parquet", tmp_path)
+    part = spark.read.parquet(f"{given}/part.parquet")
+    changed = part.selectExpr(
+        *[c if c != "p_type" else "IF(p_partkey % 4 = 0, 'NOVELTY', p_type) AS p_type" for c in part.columns]
+    )
+    changed.write.parquet(str(tmp_path / "part.parquet"))
+    s = retail_sources(spark, str(tmp_path))
+    assert order_lines(s).count() == retail_sources(spark, given)["order_items"].count()
+    names = [r.category_name for r in s["categories"].orderBy("category_id").collect()]
+    assert names == sorted(names) and "NOVELTY" in names

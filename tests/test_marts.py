@@ -89,3 +89,28 @@ def test_perfect_lines_are_counted_per_order(spark):
     items = [(12, 100, 1, Decimal("1.00"), n) for n in (1, 2)]
     row = kpis.perfect_order_rate(plain_fact(sources(spark, shipments=perfect, order_items=items)))
     assert row.first().perfect_order_rate == 2.0
+
+
+def test_scorecard_averages_what_is_there(spark):
+    """A line without scores does not count as a line of score 0."""
+    from depotlake.operators.kpis import supplier_scorecard
+
+    rows = [(7, "S", 1.0, 5.0, "HEALTHY"), (7, "S", None, None, "HEALTHY")]
+    fact = spark.createDataFrame(
+        rows,
+        "supplier_key bigint, supplier_name string, delivery_performance_score double,"
+        " quality_rating double, stock_status string",
+    )
+    assert tuple(supplier_scorecard(fact).first())[2:] == (1.0, 5.0, 1.0, 100.0)
+
+
+def test_bands_of_the_caller(spark):
+    from decimal import Decimal
+
+    from depotlake.functions import BANDS, Bands
+    from depotlake.operators.marts import finance_team_mart
+    from depotlake.plans.warehouse import plain_fact
+
+    mine = {**BANDS, "spend": Bands((("ANY", Decimal("0")),), "NONE")}
+    mart = finance_team_mart(plain_fact(sources(spark)), mine)
+    assert {r.supplier_spend_tier for r in mart.collect()} == {"ANY"}

@@ -45,7 +45,32 @@ def test_null_profile_is_one_row_per_column(spark):
 def test_key_violations(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (None, 3)], "a int, b int")
     found = {r.key_value: r.row_count for r in quality.key_violations(df, "t", ["a", "b"]).collect()}
-    assert found == {"1|1": 2, "3": 1}
+    assert found == {'{"a":1,"b":1}': 2, '{"a":null,"b":3}': 1}
+
+
+def test_key_texts_are_told_apart(spark):
+    rows = [(None, "1"), ("1", None), ("a|b", "c"), ("a|b", "c"), ("a", "b|c"), ("a", "b|c")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    found = [r.key_value for r in quality.key_violations(df, "t", ["a", "b"]).collect()]
+    assert len(set(found)) == len(found) == 4
+
+
+def test_declared_defaults_stand_from_loading(spark):
+    from datetime import date, datetime
+
+    s, now = sources(spark), datetime(2024, 5, 1, 12)
+    gaps = s["inventory"].selectExpr("*", "CAST(NULL AS int) AS record_version", "now() AS x",
+                                     "CAST(NULL AS timestamp) AS created_timestamp",
+                                     "CAST(NULL AS date) AS effective_end_date")
+    row = Sources({**s, "inventory": gaps}, load_time=now)["inventory"].first()
+    assert row.record_version == 1 and row.created_timestamp == now
+    assert row.effective_end_date == date(9999, 12, 31) and not hasattr(row, "x")
+
+
+def test_known_counts_are_not_taken_again(spark):
+    s = sources(spark)
+    told = Sources(dict(s), row_counts={"orders": 77})
+    assert told.rows("orders", "customers") == {"orders": 77, "customers": 2}
 
 
 def test_orphans(spark):

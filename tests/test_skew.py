@@ -6,13 +6,27 @@ from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from depotlake.operators.running import CUSTOMER, PRODUCT, SUPPLIER, with_histories
-from depotlake.operators.skew import HeavyKeys, SkewPolicy, heavy_keys, look_up, skew_join
+from depotlake.operators.running import (
+    CUSTOMER,
+    PRODUCT,
+    SUPPLIER,
+    stored_lines,
+    with_histories,
+)
+from depotlake.operators.skew import (
+    SkewPolicy,
+    broadcast_size,
+    heavy_keys,
+    look_up,
+    numbered,
+    skew_join,
+    spread_over,
+)
 
-EAGER = SkewPolicy(share=0.02, min_rows=1, broadcast_rows=0)
-NEVER = SkewPolicy(min_rows=10**9)
+EAGER = SkewPolicy(key_rows=3, task_rows=20, broadcast_bytes=0)
 
 
 def rows_of(df):
@@ -51,25 +65,44 @@ def test_skew_join_equals_join(sides, how, on, heavy):
         ) == rows_of(left.join(right, on, how))
 
 
-def test_left_rows_are_spread(sides):
-    left, right = sides[0].drop("m"), sides[1]
-    heavy = heavy_keys(left, ["k"], EAGER)
-    assert heavy.ways[(1,)] > 10
-    plan = skew_join(left, right, ["k"], left_heavy=heavy)._jdf.queryExecution().toString()
-    assert "__l" in plan
+def test_copies_of_a_row_are_spread(spark, sides):
+    """Copies differ by the number they are stored with, so they get several sub-keys."""
+    copies = spark.createDataFrame([(1, 5)] * 60, "k int, b int")
+    heavy = heavy_keys(copies, ["k"], EAGER)
+    stored = numbered(copies, "__n", lambda: heavy)
+    marked = heavy.mark(stored, "__w").withColumn("__s", spread_over(stored, "__w"))
+    counts = [r["count"] for r in marked.groupBy("__s").count().collect()]
+    assert len(counts) > 5 and max(counts) < 15
+    left = spark.createDataFrame([(1, n) for n in range(4)] + [(2, 9)], "k int, a int")
+    result = skew_join(left, stored, ["k"], "left", right_heavy=heavy).drop("__n")
+    assert rows_of(result) == rows_of(left.join(copies, ["k"], "left"))
+
+
+def test_left_rows_are_read_once(sides):
+    left, right = sides
+    heavy = heavy_keys(right, ["k", "m"], SkewPolicy(key_rows=1))
+    joined = skew_join(left, right, ["k", "m"], "left", right_heavy=heavy)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Project [k#") <= 4 and "Union" not in plan
 
 
-def test_heavy_keys_are_bounded_and_found(spark):
+def test_heavy_keys_are_a_table_of_exact_counts(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
-    found = heavy_keys(df, ["k"], SkewPolicy(share=0.1, min_rows=1, sample_rows=1000))
-    assert list(found.ways) == [(0,)]
+    found = heavy_keys(df, ["k"], SkewPolicy(key_rows=300))
+    assert [tuple(r) for r in found.found.collect()] == [(0, 5)]
     assert not heavy_keys(df, ["k"], SkewPolicy())
+    assert not heavy_keys(df, ["k"], SkewPolicy(key_rows=300), total=300)
+
+
+def test_broadcast_goes_by_bytes(spark):
+    narrow, wide = spark.range(1), spark.range(1).selectExpr("id", *[f"'x' AS c{n}" for n in range(50)])
+    assert broadcast_size(wide, 1000) > 20 * broadcast_size(narrow, 1000)
 
 
 def test_outer_join_needs_full_key(sides):
     left, right = sides
     with pytest.raises(ValueError):
-        skew_join(left, right, ["k", "m"], "left", right_heavy=HeavyKeys(("k",), {(1,): 2}))
+        skew_join(left, right, ["k", "m"], "left", right_heavy=heavy_keys(right, ["k"], EAGER))
 
 
 LINES = (
@@ -106,43 +139,87 @@ def lines(spark):
     return spark.createDataFrame(rows, LINES)
 
 
+SHORT = SkewPolicy(task_rows=7)
+ONE_RANGE = SkewPolicy()
+
+
+@pytest.fixture(scope="module")
+def stored(lines):
+    return stored_lines(lines)
+
+
 @pytest.mark.parametrize("history", [CUSTOMER, SUPPLIER, PRODUCT], ids=lambda h: h.key)
-def test_spread_history_equals_window(lines, history):
-    spread = with_histories(lines, history, policy=SkewPolicy(share=0.005, min_rows=1))
-    assert "__slot" in spread._jdf.queryExecution().toString()
-    assert rows_of(spread) == rows_of(with_histories(lines, history, policy=NEVER))
+def test_numbers_do_not_depend_on_ranges(stored, history):
+    """Sequences and all: short ranges cut every key, the default cuts none."""
+    short = with_histories(stored, history, policy=SHORT)
+    assert rows_of(short) == rows_of(with_histories(stored, history, policy=ONE_RANGE))
+
+
+def test_numbers_are_those_of_a_plain_window(stored):
+    ties = ["order_key", "line_number", "product_key", "order_quantity", "unit_price", "line_id"]
+    plain = Window.partitionBy("customer_key").orderBy("order_date", *ties)
+    wanted = stored.select("line_id", F.row_number().over(plain).cast("bigint"))
+    found = with_histories(stored, CUSTOMER, policy=SHORT)
+    assert rows_of(found.select("line_id", "customer_order_sequence")) == Counter(
+        map(tuple, wanted.collect())
+    )
+
+
+def test_reversed_input_gives_equal_numbers(spark):
+    """Two shipments and two stock records of one line: their own numbers order them."""
+    schema = LINES + ", shipment_id bigint, inventory_id bigint"
+    line = (1, 2, 3, 4, Decimal("1.00"), Decimal(4), 9, 1, date(2024, 1, 7), 2, True)
+    rows = [(*line, s, i) for s in (5, 6) for i in (7, 8)] + [(*line, None, None)]
+    found = [
+        rows_of(
+            with_histories(
+                stored_lines(spark.createDataFrame(given, schema).coalesce(1)), CUSTOMER, policy=SHORT
+            ).drop("line_id")
+        )
+        for given in (rows, rows[::-1])
+    ]
+    assert found[0] == found[1] and len(found[0]) == 5
 
 
 def test_copies_of_a_line_are_spread(spark):
-    """A third of all lines are one line, over and over."""
+    """A third of all lines are one line, over and over; no range takes them all."""
     line = (1, 2, 3, 4, Decimal("1.00"), Decimal(4), 9, 1, date(2024, 1, 7), 2, True)
     rows = [line] * 200 + [
         (n, n % 7, 1, 1, Decimal(n), Decimal(n), 9, 1, date(2024, 1, 1 + n % 12), 1, False)
         for n in range(400)
     ]
-    df = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], LINES + ", line_id bigint")
-    policy = SkewPolicy(share=0.02, min_rows=1)
-    result = with_histories(df, CUSTOMER, policy=policy, line_id="line_id")
-    assert "__part" in result._jdf.queryExecution().toString()
-    found = sorted(result.collect(), key=lambda r: r.customer_order_sequence)
+    df = stored_lines(spark.createDataFrame(rows, LINES))
+    found = with_histories(df, CUSTOMER, policy=SkewPolicy(task_rows=20)).collect()
+    found = sorted(found, key=lambda r: r.customer_order_sequence)
     assert [r.customer_order_sequence for r in found] == list(range(1, 601))
     assert [r.order_date for r in found] == sorted(r.order_date for r in found)
-    numbered_plainly = with_histories(df, CUSTOMER, policy=NEVER)
-    others = ["customer_total_orders", "customer_cumulative_value", "line_id"]
-    assert rows_of(result.select(others)) == rows_of(numbered_plainly.select(others))
 
 
-def test_all_histories_at_once(lines):
-    spread = with_histories(
-        lines, CUSTOMER, SUPPLIER, PRODUCT, policy=SkewPolicy(share=0.005, min_rows=1)
-    )
-    plain = with_histories(lines, CUSTOMER, SUPPLIER, PRODUCT, policy=NEVER)
-    assert spread.columns == plain.columns
-    assert rows_of(spread) == rows_of(plain)
+def test_even_keys_stay_below_the_bound(spark):
+    """2,500 keys of equal size, none of which stands out: ranges are short all the same."""
+    rows = spark.range(50_000).selectExpr(
+        "id AS order_key", "id AS product_key", "1 AS line_number", "1 AS order_quantity",
+        "CAST(1 AS decimal(10,2)) AS unit_price", "CAST(1 AS decimal(21,2)) AS order_value",
+        "id % 2500 AS customer_key", "id % 2500 AS supplier_key", "date'2024-01-01' AS order_date",
+        "1 AS delivery_time_days", "false AS is_late_delivery",
+    )
+    df = stored_lines(rows)
+    order = ["customer_key", "order_date", "order_key", "line_id"]
+    ranges = df.repartitionByRange(50_000 // 1000, *order).groupBy(F.spark_partition_id()).count()
+    assert ranges.agg(F.max("count")).first()[0] <= 3 * 1000
+    found = with_histories(df, CUSTOMER, policy=SkewPolicy(task_rows=1000))
+    assert found.agg(F.max("customer_order_sequence"), F.count("*")).first() == (20, 50_000)
+
+
+def test_all_histories_at_once(stored):
+    short = with_histories(stored, CUSTOMER, SUPPLIER, PRODUCT, policy=SHORT)
+    plain = with_histories(stored, CUSTOMER, SUPPLIER, PRODUCT, policy=ONE_RANGE)
+    assert short.columns == plain.columns
+    assert rows_of(short) == rows_of(plain)
 
 
-def test_history_against_plain_python(lines):
-    result = with_histories(lines, CUSTOMER, policy=EAGER).collect()
+def test_history_against_plain_python(stored):
+    result = with_histories(stored, CUSTOMER, policy=SHORT).collect()
     first = date(1, 1, 1)
     for row in result:
         mine = [r for r in result if r.customer_key == row.customer_key]
@@ -152,15 +229,10 @@ def test_history_against_plain_python(lines):
         assert row.customer_total_orders == len(before) + 1
         assert row.customer_cumulative_value == sum(r.order_value or 0 for r in reached)
         assert len(before) < row.customer_order_sequence <= len(reached)
-    for key in {r.customer_key for r in result}:
-        numbers = sorted(r.customer_order_sequence for r in result if r.customer_key == key)
-        assert numbers == list(range(1, len(numbers) + 1))
-
-
-def test_no_task_gets_the_crowded_customer(spark, lines):
-    """The crowded customer's lines are shuffled by key, day and slot, never by key alone."""
-    policy = SkewPolicy(share=0.005, min_rows=1)
-    plan = with_histories(lines, CUSTOMER, policy=policy)._jdf.queryExecution().executedPlan()
-    shuffles = [x for x in plan.toString().splitlines() if "Exchange hashpartitioning(customer" in x]
-    by_key_only = [x for x in shuffles if "hashpartitioning(customer_key" in x and "__day" not in x]
-    assert shuffles and len(by_key_only) <= 1  # the one row per key, day and slot
+
+
+def test_windows_hold_a_row_for_each_day(stored):
+    """No window reads lines: only days, and the parts that ranges hold of a key."""
+    plan = with_histories(stored, CUSTOMER, policy=SHORT)._jdf.queryExecution().optimizedPlan()
+    windows = [x for x in plan.toString().splitlines() if "Window [" in x]
+    assert windows and not any("line_id" in x or "order_key" in x for x in windows)

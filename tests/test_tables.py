@@ -96,7 +96,52 @@ def test_insert_overwrite_by_name(spark, tmp_path):
     assert spark.table("temp_supply_chain_fact").count() == 3
 
 
-def test_views(spark, built):
+def test_views_are_in_the_catalog(spark, built):
+    other = spark.newSession()
+    months = other.table("depot_a.monthly_supply_chain_performance").orderBy("order_month")
+    assert [r.total_orders for r in months.collect()] == [2, 1]
+    expected = views.monthly_performance(built[1].fact).collect()
+    assert [tuple(r) for r in months.collect()] == [tuple(r) for r in expected]
+    assert other.table("depot_a.supplier_performance_trends").count() == 2
+
+
+def test_build_reports_quality(built):
+    quality = built[1].quality
+    assert {r.null_count for r in quality["null_profile"].collect()} == {0}
+    assert quality["key_violations"].isEmpty() and quality["length_violations"].isEmpty()
+    assert quality["orphan_keys"].isEmpty()
+
+
+def test_few_files_for_each_month(spark, built):
+    files = [f.split("fact_table/")[1] for f in built[1].tables["supply_chain_fact"].inputFiles()]
+    assert sorted(f.rsplit("/", 1)[0] for f in files) == [
+        "order_year=2024/order_month=1", "order_year=2024/order_month=2",
+    ]
+
+
+def test_second_build_adds_versions(spark, tmp_path):
+    """A renamed customer, on the second day, on the same day again, and an earlier day."""
+    root = str(tmp_path)
+    renamed = [(1, "Anna", "ann@example.com"), (2, "Bob", "bob@example.com")]
+    later = (date(2024, 7, 1), datetime(2024, 7, 1, 8))
+    build_warehouse(spark, sources(spark), root, *RUN)
+
+    def versions():
+        rows = tables.read_table(spark, root, "customer_dim").collect()
+        return sorted((r.customer_id, r.record_version, r.customer_name, r.is_current) for r in rows)
+
+    wanted = [(1, 1, "Ann", False), (1, 2, "Anna", True), (2, 1, "Bob", True)]
+    for _ in range(2):
+        build_warehouse(spark, sources(spark, customers=renamed), root, *later)
+        assert versions() == wanted
+    build_warehouse(spark, sources(spark), root, *later)
+    assert versions() == [(1, 1, "Ann", True), (2, 1, "Bob", True)]
+    with pytest.raises(ValueError):
+        build_warehouse(spark, sources(spark, customers=renamed), root, date(2024, 6, 15), RUN[1])
+        build_warehouse(spark, sources(spark), root, date(2024, 6, 1), RUN[1])
+
+
+def test_session_views(spark, built):
     views.register_views(exact_fact(built[1].tables["supply_chain_fact"]))
     months = spark.sql("SELECT * FROM monthly_supply_chain_performance ORDER BY order_month")
     assert [r.total_orders for r in months.collect()] == [2, 1]
