@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +34,40 @@ def _attempt(number: int) -> np.ndarray:
     return (mix(np.arange(BINS, dtype=np.uint64) + np.uint64(number * BINS + 1)) >> np.uint64(64 - BINS_LOG2)).astype(np.int64)
 
 
+@cache
+def _attempts() -> tuple[np.ndarray, np.ndarray]:
+    """The bins looked at in attempts 0, 1, ..., and the first attempt in which each bin looks at each other."""
+    looked, first = [], np.full((BINS, BINS), -1, np.int32)
+    while (first < 0).any():
+        source = _attempt(len(looked))
+        new = np.flatnonzero(first[np.arange(BINS), source] < 0)
+        first[new, source[new]] = len(looked)
+        looked.append(source)
+    return np.array(looked[:64]), first
+
+
+#: With fewer full bins, the attempts of an empty one are looked up instead of made.
+FEW = 64
+
+
 def densified(bins: np.ndarray) -> np.ndarray:
     """Rows of bins with the empty ones filled; a row without any full bin stays empty."""
-    full = bins != _EMPTY
-    out, left = bins.copy(), ~full & full.any(axis=1, keepdims=True)
-    number = 0
-    while left.any():
-        source = _attempt(number)
-        take = left & full[:, source]
-        out[take] = bins[:, source][take]
-        left &= ~take
-        number += 1
+    looked, first = _attempts()
+    out = bins.copy()
+    for row in out:
+        full = row != _EMPTY
+        left = np.flatnonzero(~full)
+        if not len(left) or len(left) == BINS:
+            continue
+        for source in looked if BINS - len(left) >= FEW else ():
+            found = full[source[left]]
+            row[left[found]] = row[source[left[found]]]
+            left = left[~found]
+            if not len(left):
+                break
+        if len(left):
+            known = np.flatnonzero(full)
+            row[left] = row[known[first[np.ix_(left, known)].argmin(axis=1)]]
     return out
 
 
@@ -98,7 +122,12 @@ def edited(text: str, following: str) -> str:
 def _compared(texts: Sequence[str], following: Sequence[str]) -> list[list]:
     """The columns of FIELDS for texts and the documents after them."""
     changed = [edited(a, b).encode() for a, b in zip(texts, following)]
-    own, other, after = (fingerprints(t) for t in ([t.encode() for t in texts], changed, [t.encode() for t in following]))
+    # mostly the document after one is the next text here
+    inside = all(a is b for a, b in zip(following, texts[1:]))
+    more = following[-1:] if inside else following
+    found = fingerprints([t.encode() for t in (*texts, *more)])
+    own, after = found[: len(texts)], found[1:] if inside else found[len(texts) :]
+    other = fingerprints(changed)
     return [
         [len(t) for t in texts],
         [hashlib.sha256(c).hexdigest() for c in changed],
