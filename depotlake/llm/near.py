@@ -10,11 +10,14 @@ each chunk a document has a key for every symbol left out, so all such pairs sha
 
 Links. Documents that share a key are linked where their whole sets are similar enough. Groups of
 copies may be large, so pairs are never listed. In each key one member is the hub, and the others
-are compared to it first; what that links is one component already. What is left is compared in
-pairs of blocks of at most BLOCK documents: blocks whose members share a key, unless both lie in
-one component. A pair of blocks is filtered by size and signature distance, then by the exact sets,
-and gives a spanning forest of its links. So every pair within DISTANCE that could change a
-component is checked, without a task that holds a whole group.
+are compared to it first: what is within DISTANCE of its hub is one near group, and what the exact
+sets confirm is one component. Left are two kinds of pairs between components.
+Members of different near groups that share a key: the join compares signatures itself and gives
+the few pairs within DISTANCE. In each key, only members outside its largest near group are joined.
+Members of one near group: pairs of blocks of at most BLOCK documents, but for two blocks of one
+large component. Each pair of blocks gives a spanning forest of its links.
+So every pair within DISTANCE that could change a component is checked on its whole sets, without
+a task that holds a whole group.
 """
 
 from __future__ import annotations
@@ -159,13 +162,6 @@ def _sides(table: pa.Table) -> tuple[pa.Table, pa.Table, bool]:
     return first, second if second.num_rows else first, not second.num_rows
 
 
-def _worth_comparing(table: pa.Table) -> pa.Table:
-    """The pair of blocks, if some pair of its rows is a candidate."""
-    first, second, same = _sides(table)
-    found = any(True for _ in _candidates(_Block(first), _Block(second), same))
-    return table.select(["block_a", "block_b"]).slice(0, int(found))
-
-
 def _linked(table: pa.Table, width: int) -> pa.Table:
     """Links between rows whose sets are similar enough: a forest of them, over components."""
     first, second, same = _sides(table)
@@ -209,14 +205,6 @@ def _sets(table: pa.Table, rows: list[int], width: int) -> dict[int, np.ndarray]
     return dict(zip(rows, found))
 
 
-def _pair_rows(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of both blocks of each pair, with the pair and the side."""
-    columns = ["block_a", "block_b", "side", *[c for c in rows.columns if c != "block"]]
-    first = pairs.join(rows, pairs["block_a"] == rows["block"]).withColumn("side", F.lit(0))
-    second = pairs.where("block_a <> block_b").join(rows, F.col("block_b") == rows["block"]).withColumn("side", F.lit(1))
-    return first.select(columns).unionByName(second.select(columns))
-
-
 def _compatible(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= SIMILARITY * F.greatest(a, b)
 
@@ -246,48 +234,84 @@ def link_nodes(nodes: DataFrame, texts_of, width: int, scratch: Scratch) -> Data
     stars = shared.join(hubs, "key").select(F.col("hub.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
     near = scratch.put(_near_pairs(stars, nodes), "near-hubs")
     members = shared.select("node").distinct()
-    full = nodes.join(members, "node", "left_semi").select("node", "n", "signature")
-    texts = scratch.put(texts_of(nodes.join(members, "node", "left_semi")), "texts")
-    full = scratch.put(full.join(texts, "node"), "members")
+    some = nodes.join(members, "node", "left_semi")
+    texts = scratch.put(texts_of(some), "texts")
+    full = scratch.put(some.select("node", "n", "signature").join(texts, "node"), "members")
     scratch.drop("texts")
-
-    # each hub with some of its members
-    counts = near.groupBy("a").agg(F.count(F.lit(1)).alias("count"))
-    spread = near.join(counts, "a").select(F.col("a").alias("hub"), "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("count") / BLOCK))).alias("block"))
-    hub_rows = spread.select("hub", "block").distinct().join(full, F.col("hub") == full["node"]).withColumn("side", F.lit(0))
-    member_rows = spread.join(full, F.col("b") == full["node"]).withColumn("side", F.lit(1))
+    first = scratch.put(_star_links(near, full, width), "hub-links")
+
+    groups = components(near, scratch, "near").withColumnRenamed("component", "near_group")
+    linked = components(first, scratch, "linked")
+    placed = full.select("node", "n", "signature").join(groups, "node", "left").join(linked, "node", "left")
+    placed = placed.select("node", "n", "signature", F.coalesce("near_group", "node").alias("near_group"), F.coalesce("component", "node").alias("component"))
+    placed = scratch.put(placed, "placed")
+    across = scratch.put(_pairs_across(shared, placed), "pairs-across")
+    second = scratch.put(_star_links(across, full, width), "links-across")
+    third = _block_links(placed.drop("n", "signature"), full, width, scratch)
+    return first.unionByName(second).unionByName(third)
+
+
+def _star_links(pairs: DataFrame, full: DataFrame, width: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar, but for those that others imply: a with some b at a time."""
+    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("count"))
+    spread = pairs.join(counts, "a").select("a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("count") / BLOCK))).alias("block"))
     columns = ["block", "side", "node", F.col("node").alias("component"), "n", "signature", "text"]
-    star_rows = hub_rows.select(columns).unionByName(member_rows.select(columns))
-    first = scratch.put(star_rows.groupBy("block").applyInArrow(lambda table: _linked(table, width), "a long, b long"), "hub-links")
-
-    # blocks of nodes that are near each other; a large component has blocks of its own
-    near_groups = components(near, scratch, "near").withColumnRenamed("component", "near_group")
-    groups = components(first, scratch, "linked")
-    placed = (
-        members.join(near_groups, "node", "left")
-        .join(groups, "node", "left")
-        .select("node", F.coalesce("near_group", "node").alias("near_group"), F.coalesce("component", "node").alias("component"))
+    centres = spread.select("a", "block").distinct().join(full, F.col("a") == full["node"]).withColumn("side", F.lit(0))
+    others = spread.join(full, F.col("b") == full["node"]).withColumn("side", F.lit(1))
+    rows = centres.select(columns).unionByName(others.select(columns))
+    return rows.groupBy("block").applyInArrow(lambda table: _linked(table, width), "a long, b long")
+
+
+def _differing(a: Column, b: Column) -> Column:
+    """In how many symbols two signatures differ."""
+    size = SYMBOL_BITS // 8
+
+    def symbol(signature: Column, place: Column) -> Column:
+        return F.substring(signature, place * size + 1, F.lit(size))
+
+    places = F.sequence(F.lit(0), F.lit(SYMBOLS - 1))
+    return F.aggregate(places, F.lit(0), lambda count, i: count + F.when(symbol(a, i) == symbol(b, i), 0).otherwise(1))
+
+
+def _pairs_across(shared: DataFrame, placed: DataFrame) -> DataFrame:
+    """Pairs (a, b) within DISTANCE that share a key, in different near groups and components."""
+    rows = shared.join(placed.select("node", "near_group"), "node")
+    held = rows.groupBy("key", "near_group").agg(F.count(F.lit(1)).alias("members"))
+    largest = held.groupBy("key").agg(F.count(F.lit(1)).alias("groups"), F.max(F.struct("members", "near_group")).alias("largest"))
+    several = largest.where("groups > 1").select("key", F.col("largest.near_group").alias("largest"))
+    full = rows.join(several, "key").drop("near_group").join(placed, "node")
+    one, two = (
+        full.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "signature", "near_group", "component")], (F.col("near_group") == F.col("largest")).alias(f"in_largest_{side}"))
+        for side in "ab"
     )
-    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= BLOCK).select(F.col("component").alias("large"))
-    apart = placed.join(sizes, placed["component"] == sizes["large"], "left")
+    different = (F.col("near_group_a") != F.col("near_group_b")) & (F.col("component_a") != F.col("component_b"))
+    once = F.col("in_largest_b") | (F.col("node_a") < F.col("node_b"))
+    close = _differing(F.col("signature_a"), F.col("signature_b")) <= DISTANCE
+    pairs = one.where("not in_largest_a").join(two, "key").where(different & once & _compatible(F.col("n_a"), F.col("n_b")) & close)
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def _block_links(placed: DataFrame, full: DataFrame, width: int, scratch: Scratch) -> DataFrame:
+    """Links within near groups of several components."""
+    mixed = placed.groupBy("near_group").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("near_group")
+    inside = placed.join(mixed, "near_group", "left_semi")
+    large = inside.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= BLOCK).select(F.col("component").alias("large"))
+    apart = inside.join(large, inside["component"] == large["large"], "left")  # a large component has blocks of its own
     counts = apart.groupBy("near_group", "large").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     counts = counts.withColumnsRenamed({"near_group": "of_group", "large": "of_large"})
-    block = F.xxhash64("near_group", "large", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    placed = scratch.put(
-        apart.join(counts, (F.col("near_group") == F.col("of_group")) & F.col("large").eqNullSafe(F.col("of_large"))).select("node", "component", block.alias("block")),
-        "blocks",
-    )
-    in_keys = shared.join(placed, "node").groupBy("key", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    in_keys = scratch.put(in_keys, "keys-of-blocks")
-    one, two = (in_keys.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("block", "low", "high")]) for side in "ab")
-    several = (F.least("low_a", "low_b") < F.greatest("high_a", "high_b")) & (F.col("block_a") <= F.col("block_b"))
-    pairs = one.join(two, "key").where(several).select("block_a", "block_b").distinct()
-    rows = full.drop("text").join(placed, "node")
-    pair_groups = _pair_rows(scratch.put(pairs, "block-pairs"), rows).groupBy("block_a", "block_b")
-    worth = scratch.put(pair_groups.applyInArrow(_worth_comparing, "block_a long, block_b long"), "worth-comparing")
-    full_rows = _pair_rows(worth, full.join(placed, "node"))
-    second = full_rows.groupBy("block_a", "block_b").applyInArrow(lambda table: _linked(table, width), "a long, b long")
-    return first.unionByName(second)
+    same = (F.col("near_group") == F.col("of_group")) & F.col("large").eqNullSafe(F.col("of_large"))
+    block = F.xxhash64("near_group", "large", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block")
+    blocked = scratch.put(apart.join(counts, same).select("node", "near_group", "large", "component", block), "blocks")
+    blocks = blocked.select("near_group", "block", "large").distinct()
+    one, two = (blocks.select("near_group", F.col("block").alias(f"block_{side}"), F.col("large").alias(f"large_{side}")) for side in "ab")
+    needed = (F.col("block_a") <= F.col("block_b")) & (F.col("large_a").isNull() | ~F.col("large_a").eqNullSafe(F.col("large_b")))
+    pairs = scratch.put(one.join(two, "near_group").where(needed).select("block_a", "block_b"), "block-pairs")
+    rows = scratch.put(full.join(blocked.select("node", "component", "block"), "node"), "block-rows")
+    columns = ["block_a", "block_b", "side", "node", "component", "n", "signature", "text"]
+    left = pairs.join(rows, pairs["block_a"] == rows["block"]).withColumn("side", F.lit(0))
+    right = pairs.where("block_a <> block_b").join(rows, F.col("block_b") == rows["block"]).withColumn("side", F.lit(1))
+    both = left.select(columns).unionByName(right.select(columns))
+    return both.groupBy("block_a", "block_b").applyInArrow(lambda table: _linked(table, width), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
