@@ -39,6 +39,7 @@ MAGIC, VERSION = b"TOKP", 1
 BLOCK = 4096
 #: A shard ends with the document that reaches this many ids.
 SHARD_IDS = 1 << 20
+WHOLE_BYTES = {8: "u1", 16: "<u2", 32: "<u4"}
 _HEAD = struct.Struct("<4s3I3Q")
 
 
@@ -52,6 +53,10 @@ def pack(ids: np.ndarray, bits: int) -> np.ndarray:
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError(f"an id needs more than {bits} bits")
     groups = -(-len(ids) // 8)
+    if bits in WHOLE_BYTES:  # the same bytes, without shifting
+        plain = np.zeros(8 * groups, WHOLE_BYTES[bits])
+        plain[: len(ids)] = ids
+        return plain.view(np.uint8)
     eight = np.zeros((groups, 8), np.uint64)
     eight.reshape(-1)[: len(ids)] = ids
     out = np.zeros((groups, bits), np.uint8)
@@ -65,6 +70,8 @@ def pack(ids: np.ndarray, bits: int) -> np.ndarray:
 
 def unpack(data: np.ndarray, bits: int, count: int) -> np.ndarray:
     """The first count ids of packed groups."""
+    if bits in WHOLE_BYTES:
+        return np.ascontiguousarray(data).view(WHOLE_BYTES[bits])[:count].astype(np.uint32)
     groups = data.reshape(-1, bits)
     out = np.empty((len(groups), 8), np.uint32)
     mask = np.uint64((1 << bits) - 1)
