@@ -36,6 +36,7 @@ class Bpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = MEMORY):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.shown = {rank: str(rank) for rank in ranks.values()}
         self.words = regex.compile(pattern)
         self.memory = memory
         self.pairs: dict[tuple[int, int], bool] = {}
@@ -181,7 +182,7 @@ def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for part in pieces.encode(text or ""):
             ids = np.frombuffer(part, "<u4").tolist()
             if ids:
-                ids_hash.update((("," if count else "") + ",".join(map(str, ids))).encode())
+                ids_hash.update((("," if count else "") + ",".join(map(bpe.shown.__getitem__, ids))).encode())
                 data_hash.update(bpe.decode(ids))
                 count += len(ids)
         return count, ids_hash.hexdigest(), data_hash.hexdigest()
