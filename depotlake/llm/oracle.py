@@ -1,5 +1,94 @@
 """SQL for DuckDB of the queries that SQL can express, over the same tables."""
 
+_ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_ACCESS, _HEX, _RUN = "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}", "[A-Za-z0-9+/_=-]{16,}"
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
+
+
+def _found(kind: int, pattern: str) -> str:
+    """Matches with their places, from the lengths of what lies between them."""
+    return f"""
+    SELECT doc_id, {kind} AS kind, found, start, start + length(found) AS stop FROM (
+        SELECT doc_id, found, sum(length(gap)) OVER every + coalesce(sum(length(found)) OVER before, 0) AS start
+        FROM (
+            SELECT doc_id, unnest(range(1, len(matches) + 1)) AS place, unnest(matches) AS found,
+                   unnest(gaps[1:len(matches)]) AS gap
+            FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS matches,
+                         regexp_split_to_array(text, '{pattern}') AS gaps FROM texts)
+        )
+        WINDOW every AS (PARTITION BY doc_id ORDER BY place ROWS UNBOUNDED PRECEDING),
+               before AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    )"""
+
+
+_SIGNS = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(digest, {2 * k + 1}, 2))::INTEGER % 32) + 1, 1)"
+    for k in range(32)
+)
+
+SECRET_SCANS = f"""
+WITH texts AS MATERIALIZED (
+    SELECT doc_id, coalesce(text, '') AS text FROM documents
+), sample AS (
+    SELECT text FROM texts
+    WHERE ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 1000000
+          < ceil(1000000 * least(1.0, 1000.0 / (SELECT greatest(count(*), 1) FROM texts)))
+), words AS (
+    SELECT unnest(regexp_extract_all(
+        regexp_replace(regexp_replace(regexp_replace(text, '{_ASSIGN}', ' ', 'g'), '{_ACCESS}', ' ', 'g'), '{_HEX}', ' ', 'g'),
+        '[A-Za-z_][A-Za-z0-9_-]{{3,}}')) AS word
+    FROM sample
+), digests AS (
+    SELECT sha256(CAST(id AS VARCHAR)) AS digest FROM range(2000) t(id)
+), samples AS (
+    SELECT unnest([word, upper(word) || '_' || upper(word),
+                   lower(word) || upper(substr(word, 1, 1)) || lower(substr(word, 2))]) AS text, false AS random FROM words
+    UNION ALL
+    SELECT value, true FROM (
+        SELECT unnest(regexp_extract_all(text, '{_ASSIGN}', 2) || regexp_extract_all(text, '{_ACCESS}')
+                      || regexp_extract_all(text, '{_HEX}')) AS value FROM sample
+    ) WHERE length(value) >= 12
+    UNION ALL
+    SELECT unnest([base64(unhex(digest)), {_SIGNS}, substr(digest, 1, 40)]), true FROM digests
+), pairs AS (
+    SELECT random, instr('{_ALPHABET}', substr(text, i, 1)) AS first, instr('{_ALPHABET}', substr(text, i + 1, 1)) AS second
+    FROM (SELECT random, text, unnest(range(1, length(text))) AS i FROM samples)
+), counts AS (
+    SELECT first, second, count(*) FILTER (WHERE random) AS r, count(*) FILTER (WHERE NOT random) AS o
+    FROM pairs GROUP BY first, second
+), model AS MATERIALIZED (
+    SELECT a.i AS first, b.i AS second,
+           ln((coalesce(r, 0) + 0.5::DOUBLE) / (coalesce(sum(r) OVER x, 0) + 0.5::DOUBLE * 67))
+           - ln((coalesce(o, 0) + 0.5::DOUBLE) / (coalesce(sum(o) OVER x, 0) + 0.5::DOUBLE * 67)) AS ratio
+    FROM range(67) a(i), range(67) b(i) LEFT JOIN counts ON counts.first = a.i AND counts.second = b.i
+    WINDOW x AS (PARTITION BY a.i)
+), base AS MATERIALIZED (
+    SELECT doc_id, kind, start, stop FROM ({_found(0, _ASSIGN)}) WHERE length(regexp_extract(found, '{_ASSIGN}', 2)) >= 12
+    UNION ALL
+    SELECT doc_id, kind, start, stop FROM ({_found(1, _ACCESS)})
+    UNION ALL
+    SELECT doc_id, kind, start, stop FROM ({_found(2, _HEX)})
+), runs AS (
+    SELECT row_number() OVER () AS run, * FROM ({_found(3, _RUN)})
+), scored AS (
+    SELECT run, sum(ratio) AS score
+    FROM (SELECT run, instr('{_ALPHABET}', substr(found, i, 1)) AS first, instr('{_ALPHABET}', substr(found, i + 1, 1)) AS second
+          FROM (SELECT run, found, unnest(range(1, length(found))) AS i FROM runs))
+    JOIN model USING (first, second) GROUP BY run
+), likely AS (
+    SELECT doc_id, kind, start, stop FROM runs JOIN scored USING (run) WHERE score >= 15
+      AND NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = runs.doc_id AND base.start < runs.stop AND runs.start < base.stop)
+), spans AS (
+    SELECT *, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS shown
+    FROM (SELECT * FROM base UNION ALL SELECT * FROM likely)
+)
+SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+       count(*) FILTER (WHERE kind = 2) AS n_hex, count(*) FILTER (WHERE kind = 3) AS n_random,
+       sha256(coalesce(string_agg(shown, ',' ORDER BY start, kind) FILTER (WHERE kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(shown, ',' ORDER BY start, kind), '') AS spans
+FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+"""
+
 EXACT_DEDUP = r"""
 WITH normal AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS content FROM documents
@@ -115,6 +204,7 @@ FROM numbered JOIN stepped USING (source_key)
 """
 
 ORACLE_SQL = {
+    "op1_secret_scans": SECRET_SCANS,
     "op3_minhash_near_dedup": NEAR_DEDUP,
     "op4_source_mixing": SOURCE_MIXING,
     "op7_exact_dedup": EXACT_DEDUP,

@@ -144,7 +144,8 @@ def labelled_samples(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, strings
     """
     rows = max(docs.count(), 1)
     part = math.ceil(1_000_000 * min(1.0, documents / rows))
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < part).select(text_of(docs).alias("text"))
+    place = F.conv(F.substring(F.md5(docs["doc_id"].cast("string")), 1, 8), 16, 10).cast("long") % 1_000_000
+    chosen = docs.where(place < part).select(text_of(docs).alias("text"))
     cut = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), ACCESS, " "), HEX, " ")
     found = chosen.select(F.explode(F.regexp_extract_all(cut, F.lit(r"[A-Za-z_][A-Za-z0-9_-]{3,}"), F.lit(0))).alias("word"))
     forms = F.array("word", F.concat_ws("_", F.upper("word"), F.upper("word")), F.concat(F.lower("word"), F.initcap("word")))
@@ -152,7 +153,12 @@ def labelled_samples(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, strings
     joined = F.concat(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
     values = chosen.select(F.explode(joined).alias("text")).where(F.length("text") >= ASSIGN_VALUE)
     digest = F.sha2(F.col("id").cast("string"), 256)
-    base_32 = F.concat(*[F.substr(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), F.pmod(F.xxhash64("id", F.lit(k)), F.lit(32)).cast("int") + 1, F.lit(1)) for k in range(32)])
+
+    def base_32_sign(k: int) -> Column:
+        value = F.conv(F.substr(digest, F.lit(2 * k + 1), F.lit(2)), 16, 10).cast("int")
+        return F.substr(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), value % 32 + 1, F.lit(1))
+
+    base_32 = F.concat(*[base_32_sign(k) for k in range(32)])
     made = docs.sparkSession.range(strings).select(F.explode(F.array(F.base64(F.unhex(digest)), base_32, F.substring(digest, 1, 40))).alias("text"))
     random = values.unionByName(made).withColumn("random", F.lit(True))
     return words.withColumn("random", F.lit(False)).unionByName(random)
