@@ -82,6 +82,16 @@ def term_buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(found_rows), np.concatenate(found_buckets)) if found_rows else (empty, empty)
 
 
+def _places(texts: list[str | None], buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place in buckets of each known term of each text, by row."""
+    row, bucket = term_buckets(texts)
+    if not len(buckets):
+        return row[:0], bucket[:0]
+    place = np.minimum(np.searchsorted(buckets, bucket), len(buckets) - 1)
+    known = buckets[place] == bucket
+    return row[known], place[known]
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are not learned from: crc32 of the id as text has the remainder 1 by 3."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -135,25 +145,25 @@ def train(sample: DataFrame, terms: int = TERMS, seed: int = 7) -> Machine:
     best = counted.select("bucket", g.alias("g")).where(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "bucket").limit(terms)
     buckets = np.sort(np.array([r["bucket"] for r in best.collect()], np.int64))  # TERMS at most
 
-    def fitted(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, kinds, rows, places, base = [], [], [], [], 0
+    def known_terms(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
-            row, bucket = term_buckets(batch.column(1).to_pylist())
-            place = np.searchsorted(buckets, bucket)
-            known = (place < len(buckets)) & (buckets[np.minimum(place, len(buckets) - 1)] == bucket) if len(buckets) else np.zeros(len(bucket), bool)
-            rows.append(row[known] + base)
-            places.append(place[known])
-            ids += batch.column(0).to_pylist()
-            kinds += batch.column(2).to_pylist()
-            base += batch.num_rows
-        if base:
-            order = np.lexsort((np.array(kinds, bool), np.array(ids)))  # the same in any partitioning
-            place_of = np.empty(base, np.int64)
-            place_of[order] = np.arange(base)
-            bias, weights, vectors = _fit(place_of[np.concatenate(rows)], np.concatenate(places), np.array(kinds, float)[order], len(buckets), seed)
+            row, place = _places(batch.column(1).to_pylist(), buckets)
+            ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], ["doc_id", "toxic", "places"])
+
+    def fitted(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in given for r in batch.to_pylist()]
+        rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["places"]))  # the same in any partitioning
+        if rows:
+            row = np.repeat(np.arange(len(rows)), [len(r["places"]) for r in rows])
+            place = np.array([p for r in rows for p in r["places"]], np.int64)
+            bias, weights, vectors = _fit(row, place, np.array([r["toxic"] for r in rows], float), len(buckets), seed)
             yield pa.RecordBatch.from_arrays([pa.array([bias]), pa.array([weights.tolist()], pa.list_(pa.float64())), pa.array([vectors.reshape(-1).tolist()], pa.list_(pa.float64()))], ["bias", "weights", "vectors"])
 
-    fit = sample.coalesce(1).mapInArrow(fitted, "bias double, weights array<double>, vectors array<double>").collect()
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    terms_of = sample.mapInArrow(known_terms, f"doc_id {kind}, toxic boolean, places array<int>")
+    fit = terms_of.repartition(1).mapInArrow(fitted, "bias double, weights array<double>, vectors array<double>").collect()
     if not fit:
         return Machine(buckets, 0.0, np.zeros(len(buckets)), np.zeros((len(buckets), FACTORS)))
     return Machine(buckets, fit[0]["bias"], np.array(fit[0]["weights"]), np.array(fit[0]["vectors"]).reshape(len(buckets), FACTORS))
@@ -206,12 +216,8 @@ def scored(docs: DataFrame, machine: Machine, *carried: Column) -> DataFrame:
         for batch in given_batches:
             for start in range(0, batch.num_rows, 512):
                 some = batch.slice(start, 512)
-                row, bucket = term_buckets(some.column(some.num_columns - 1).to_pylist())
-                place = np.searchsorted(machine.buckets, bucket)
-                known = np.zeros(len(bucket), bool)
-                if len(machine.buckets):
-                    known = (place < len(machine.buckets)) & (machine.buckets[np.minimum(place, len(machine.buckets) - 1)] == bucket)
-                scores = machine.scores(row[known], place[known], some.num_rows)
+                row, place = _places(some.column(some.num_columns - 1).to_pylist(), machine.buckets)
+                scores = machine.scores(row, place, some.num_rows)
                 yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.array(scores)], [*some.schema.names[:-1], "score"])
 
     return given.mapInArrow(run, shown.add("score", "double"))
