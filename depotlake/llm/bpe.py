@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 
 from depotlake.llm.pieces import Pieces
 
-#: Pairs of tokens, and words, remembered by a worker.
-MEMORY = 1 << 19
+#: Pieces of text, words and pairs of tokens remembered by a worker: about 160 MB together.
+PIECES, WORDS, PAIRS = 400_000, 200_000, 250_000
+_RANK_BITS = 32
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -33,19 +34,20 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Bpe:
     """Encoder and decoder for one rank file and the pattern that cuts text into words."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = MEMORY):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, words: int = WORDS, pairs: int = PAIRS):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.shown = {rank: str(rank) for rank in ranks.values()}
         self.words = regex.compile(pattern)
-        self.memory = memory
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.size = {rank: len(token) for rank, token in self.tokens.items()}
+        self.most_words, self.most_pairs = words, pairs
+        self.pairs: dict[int, bool] = {}  # by the two ranks in one number
         self.encoded: dict[str, bytes] = {}
         self.shorter: dict[int, int] = {}
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             if self.merged(token) == [rank]:  # others are found as whole words only
-                self.automaton.add_word(token.decode("latin-1"), rank)
+                self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
         self.automaton.make_automaton()
 
     def merged(self, data: bytes) -> list[int]:
@@ -61,46 +63,55 @@ class Bpe:
         return [self.ranks[p] for p in parts]
 
     def compatible(self, left: int, right: int) -> bool:
-        pair = (left, right)
-        if pair not in self.pairs:
-            if len(self.pairs) >= self.memory:
+        """Whether two tokens can stand side by side."""
+        pair = left << _RANK_BITS | right
+        known = self.pairs.get(pair)
+        if known is None:
+            if len(self.pairs) >= self.most_pairs:
                 self.pairs.clear()
-            self.pairs[pair] = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
-        return self.pairs[pair]
+            known = self.pairs[pair] = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
+        return known
 
     def prefix(self, token: int) -> int:
         """The longest token that the token's bytes begin with, itself left out; -1 if there is none."""
-        if token not in self.shorter:
+        found = self.shorter.get(token)
+        if found is None:
             text = self.tokens[token].decode("latin-1")
-            self.shorter[token] = next((self.automaton.get(text[:n]) for n in range(len(text) - 1, 0, -1) if text[:n] in self.automaton), -1)
-        return self.shorter[token]
+            begins = (text[:n] for n in range(len(text) - 1, 0, -1))
+            found = self.shorter[token] = next((self.automaton.get(t)[0] for t in begins if t in self.automaton), -1)
+        return found
 
     def word(self, data: bytes) -> list[int]:
         """The ids of one word."""
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        longest = [-1] * len(data)  # longer tokens at a place end later
-        for end, token in self.automaton.iter(data.decode("latin-1")):
-            longest[end + 1 - len(self.tokens[token])] = token
-        dead = set()  # places that no valid sequence passes
+        count, size, known = len(data), self.size, self.pairs.get
+        longest = [-1] * count
+        for end, (token, length) in self.automaton.iter(data.decode("latin-1")):
+            longest[end + 1 - length] = token  # longer tokens at a place end later
+        dead: set[int] = set()  # places that no valid sequence passes
         ids: list[int] = []
-        place, token = 0, longest[0]
-        while place < len(data):
+        last, place, token = -1, 0, longest[0]
+        while place < count:
             while token >= 0:
-                end = place + len(self.tokens[token])
-                if end not in dead and (not ids or self.compatible(ids[-1], token)):
-                    break
+                end = place + size[token]
+                if end not in dead:
+                    if last < 0:
+                        break
+                    fits = known(last << _RANK_BITS | token)
+                    if fits or fits is None and self.compatible(last, token):
+                        break
                 token = self.prefix(token)
             if token >= 0:
                 ids.append(token)
-                place = end
-                token = longest[place] if place < len(data) else -1
+                last, place = token, end
+                token = longest[place] if place < count else -1
             else:
                 dead.add(place)
-                last = ids.pop()
-                place -= len(self.tokens[last])
-                token = self.prefix(last)
+                token = self.prefix(ids[-1])
+                place -= size[ids.pop()]
+                last = ids[-1] if ids else -1
         return ids
 
     def encode_many(self, texts: Sequence[str]) -> list[bytes]:
@@ -111,7 +122,7 @@ class Bpe:
             for word in self.words.findall(text):
                 ids = self.encoded.get(word)
                 if ids is None:
-                    if len(self.encoded) >= self.memory:
+                    if len(self.encoded) >= self.most_words:
                         self.encoded.clear()
                     ids = self.encoded[word] = np.array(self.word(word.encode()), "<u4").tobytes()
                 parts.append(ids)
@@ -129,7 +140,7 @@ def loaded(path: str, pattern: str) -> tuple[Bpe, Pieces]:
     """The encoder of a rank file, once in each worker."""
     if (path, pattern) not in _loaded:
         bpe = Bpe(read_ranks(path), pattern)
-        _loaded[path, pattern] = bpe, Pieces(bpe.encode_many)
+        _loaded[path, pattern] = bpe, Pieces(bpe.encode_many, PIECES)
     return _loaded[path, pattern]
 
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 
-#: Pieces remembered by a worker; beyond it, the memory starts anew.
+#: Pieces remembered by a worker at most, in two generations: if the younger has half of them, it
+#: becomes the older, and what is used from the older moves to the younger.
 MEMORY = 1_000_000
 #: Characters handled at once; a longer text is cut at single spaces.
 CHUNK = 1 << 18
@@ -37,6 +38,7 @@ class Pieces:
         self.encode_many = encode_many
         self.memory = memory
         self.known: dict[str, bytes] = {}  # by the piece without its space; none has white space at an end
+        self.older: dict[str, bytes] = {}
 
     def encode(self, text: str) -> Iterator[bytes]:
         """The ids of a text, part by part."""
@@ -76,9 +78,10 @@ class Pieces:
             new.update(missing)
             rows.append((first, ids, pieces if missing else (), last))
         edges = [x for first, _, _, last in rows for x in (first, last) if x]
-        ordered = list(new)
+        fresh = {p: self.older[p] for p in new if p in self.older}
+        ordered = [p for p in new if p not in fresh]
         made = self.encode_many(edges + [" " + p for p in ordered])
-        fresh = dict(zip(ordered, made[len(edges) :]))
+        fresh.update(zip(ordered, made[len(edges) :]))
         of_edge = iter(made)
         out = []
         for first, ids, pieces, last in rows:
@@ -87,8 +90,8 @@ class Pieces:
             if pieces:
                 ids = [fresh[p] if found is None else found for p, found in zip(pieces, ids)]
             out.append(head + b"".join(ids) + tail)
-        if len(known) + len(fresh) > self.memory:
-            known.clear()
-        if len(fresh) <= self.memory:
-            known.update(fresh)
+        if len(known) + len(fresh) > self.memory // 2:
+            self.older, self.known = known, {}
+        if len(fresh) <= self.memory // 2:
+            self.known.update(fresh)
         return out
