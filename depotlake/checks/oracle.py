@@ -25,7 +25,7 @@ PARTS: dict[str, str] = {
         SELECT l_orderkey AS order_id, l_partkey AS product_id,
                CAST(l_quantity AS INTEGER) AS quantity,
                CAST(p_retailprice AS DECIMAL(10,2)) AS price, l_linenumber AS line_number
-        FROM lineitem JOIN part ON p_partkey = l_partkey""",
+        FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",
     "src_categories": """
         SELECT p_type AS category_name,
                CAST(row_number() OVER (ORDER BY p_type) AS INTEGER) AS category_id

@@ -56,11 +56,11 @@ def retail_sources(spark: SparkSession, folder: str) -> Sources:
         return max(table("nation").count(), 1)  # likewise
 
     def order_items() -> DataFrame:
-        """Lines at the list price of their part."""
+        """Lines at the list price of their part; a line of an unknown part has none."""
         prices = table("part").selectExpr(
             "p_partkey AS l_partkey", "CAST(p_retailprice AS DECIMAL(10,2)) AS price"
         )
-        return table("lineitem").join(prices, "l_partkey").selectExpr(
+        return table("lineitem").join(prices, "l_partkey", "left").selectExpr(
             "l_orderkey AS order_id",
             "l_partkey AS product_id",
             "CAST(l_quantity AS INT) AS quantity",
@@ -115,7 +115,8 @@ def retail_sources(spark: SparkSession, folder: str) -> Sources:
             "inventory": lambda: _inventory(table("part"), nation_count()),
             "shipments": lambda: _shipments(table("orders"), supplier_count(), nation_count()),
             "warehouses": warehouses,
-        }
+        },
+        counted_by={"order_items": lambda: table("lineitem"), "products": lambda: table("part")},
     )
 
 
