@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 
 from depotlake.llm.pieces import Pieces
 
-#: Pieces of text, words and pairs of tokens remembered by a worker: about 160 MB together.
-PIECES, WORDS, PAIRS = 400_000, 200_000, 250_000
+#: Pieces of text, words and pairs of tokens remembered by a worker: about 80 MB together.
+PIECES, WORDS, PAIRS = 200_000, 100_000, 120_000
 _RANK_BITS = 32
 
 

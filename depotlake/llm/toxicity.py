@@ -92,6 +92,13 @@ def _places(texts: list[str | None], buckets: np.ndarray) -> tuple[np.ndarray, n
     return row[known], place[known]
 
 
+def _slices(given: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of a few rows: a worker holds the terms of these only."""
+    for batch in given:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are not learned from: crc32 of the id as text has the remainder 1 by 3."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -117,16 +124,16 @@ def train(sample: DataFrame, terms: int = TERMS, seed: int = 7) -> Machine:
     sample = sample.repartition(8, F.xxhash64("doc_id")).select("doc_id", "text", "toxic")
 
     def term_rows(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, BUCKETS), np.int64)
-        for batch in given:
+        counts = np.zeros((2, BUCKETS), np.int32)
+        for batch in _slices(given):
             toxic = np.array(batch.column(2).to_pylist(), bool)
             row, bucket = term_buckets(batch.column(1).to_pylist())
             for side in (0, 1):
-                counts[side] += np.bincount(bucket[toxic[row] == side], minlength=BUCKETS)
+                np.add.at(counts[side], bucket[toxic[row] == side], 1)
         seen = np.flatnonzero(counts.sum(axis=0))
         for start in range(0, len(seen), 50_000):
             some = seen[start : start + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[0, some]), pa.array(counts[1, some])], ["bucket", "clean", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[0, some].astype(np.int64)), pa.array(counts[1, some].astype(np.int64))], ["bucket", "clean", "toxic"])
 
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     clean, toxic = (float(max(sizes.get(side, 0), 1)) for side in (False, True))
@@ -146,7 +153,7 @@ def train(sample: DataFrame, terms: int = TERMS, seed: int = 7) -> Machine:
     buckets = np.sort(np.array([r["bucket"] for r in best.collect()], np.int64))  # TERMS at most
 
     def known_terms(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in given:
+        for batch in _slices(given):
             row, place = _places(batch.column(1).to_pylist(), buckets)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place, pa.int32()))
@@ -213,12 +220,10 @@ def scored(docs: DataFrame, machine: Machine, *carried: Column) -> DataFrame:
     shown = given.drop("scored_text").schema
 
     def run(given_batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in given_batches:
-            for start in range(0, batch.num_rows, 512):
-                some = batch.slice(start, 512)
-                row, place = _places(some.column(some.num_columns - 1).to_pylist(), machine.buckets)
-                scores = machine.scores(row, place, some.num_rows)
-                yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.array(scores)], [*some.schema.names[:-1], "score"])
+        for some in _slices(given_batches):
+            row, place = _places(some.column(some.num_columns - 1).to_pylist(), machine.buckets)
+            scores = machine.scores(row, place, some.num_rows)
+            yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.array(scores)], [*some.schema.names[:-1], "score"])
 
     return given.mapInArrow(run, shown.add("score", "double"))
 
