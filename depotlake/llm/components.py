@@ -8,7 +8,7 @@ each task before the shuffle, and Spark splits its side of the join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from depotlake.llm.tables import Scratch
@@ -17,9 +17,12 @@ from depotlake.llm.tables import Scratch
 MOST_ROUNDS = 60
 
 
-def _summary(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _put(edges: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, tuple]:
+    """The stored edges, with their number and a sum of their hashes, which tell whether a round changed any."""
+    seen = Observation()
+    counted = edges.observe(seen, F.count(F.lit(1)).alias("count"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum"))
+    stored = scratch.put(counted, name)
+    return stored, (seen.get["count"], seen.get["sum"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -41,14 +44,12 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     Links to itself and repeated links change nothing, and an empty table gives no rows.
     """
     start = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    edges = scratch.put(start, f"{name}-0")
-    before = _summary(edges)
+    edges, before = _put(start, scratch, f"{name}-0")
     for number in range(1, MOST_ROUNDS):
         if not before[0]:
             break
-        edges = scratch.put(_small_star(_large_star(edges)), f"{name}-{number}")
+        edges, now = _put(_small_star(_large_star(edges)), scratch, f"{name}-{number}")
         scratch.drop(f"{name}-{number - 1}")
-        now = _summary(edges)
         if now == before:
             break
         before = now

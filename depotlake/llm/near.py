@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,8 +158,8 @@ def _candidates(a: _Block, b: _Block, same: bool) -> Iterator[tuple[int, np.ndar
 
 
 def _sides(table: pa.Table) -> tuple[pa.Table, pa.Table, bool]:
-    first = table.filter(pa.compute.equal(table["side"], 0))
-    second = table.filter(pa.compute.equal(table["side"], 1))
+    first = table.filter(pc.equal(table["side"], 0))
+    second = table.filter(pc.equal(table["side"], 1))
     return first, second if second.num_rows else first, not second.num_rows
 
 
@@ -230,7 +231,8 @@ def link_nodes(nodes: DataFrame, texts_of, width: int, scratch: Scratch) -> Data
     texts_of gives node and text for a table of nodes.
     """
     shared = scratch.put(shared_keys(nodes, scratch), "shared-keys")
-    hubs = shared.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("rank"), "node")).alias("hub"))
+    # tables of a row for each key or hub are stored, so that Spark can split the many rows they are joined to
+    hubs = scratch.put(shared.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("rank"), "node")).alias("hub")), "hubs")
     stars = shared.join(hubs, "key").select(F.col("hub.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
     near = scratch.put(_near_pairs(stars, nodes), "near-hubs")
     members = shared.select("node").distinct()
@@ -238,22 +240,22 @@ def link_nodes(nodes: DataFrame, texts_of, width: int, scratch: Scratch) -> Data
     texts = scratch.put(texts_of(some), "texts")
     full = scratch.put(some.select("node", "n", "signature").join(texts, "node"), "members")
     scratch.drop("texts")
-    first = scratch.put(_star_links(near, full, width), "hub-links")
+    first = scratch.put(_star_links(near, full, width, scratch, "hubs"), "hub-links")
 
     groups = components(near, scratch, "near").withColumnRenamed("component", "near_group")
     linked = components(first, scratch, "linked")
     placed = full.select("node", "n", "signature").join(groups, "node", "left").join(linked, "node", "left")
     placed = placed.select("node", "n", "signature", F.coalesce("near_group", "node").alias("near_group"), F.coalesce("component", "node").alias("component"))
     placed = scratch.put(placed, "placed")
-    across = scratch.put(_pairs_across(shared, placed), "pairs-across")
-    second = scratch.put(_star_links(across, full, width), "links-across")
+    across = scratch.put(_pairs_across(shared, placed, scratch), "pairs-across")
+    second = scratch.put(_star_links(across, full, width, scratch, "across"), "links-across")
     third = _block_links(placed.drop("n", "signature"), full, width, scratch)
     return first.unionByName(second).unionByName(third)
 
 
-def _star_links(pairs: DataFrame, full: DataFrame, width: int) -> DataFrame:
+def _star_links(pairs: DataFrame, full: DataFrame, width: int, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar, but for those that others imply: a with some b at a time."""
-    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("count"))
+    counts = scratch.put(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("count")), f"counts-{name}")
     spread = pairs.join(counts, "a").select("a", "b", F.xxhash64("a", F.pmod(F.xxhash64("b"), F.ceil(F.col("count") / BLOCK))).alias("block"))
     columns = ["block", "side", "node", F.col("node").alias("component"), "n", "signature", "text"]
     centres = spread.select("a", "block").distinct().join(full, F.col("a") == full["node"]).withColumn("side", F.lit(0))
@@ -273,12 +275,12 @@ def _differing(a: Column, b: Column) -> Column:
     return F.aggregate(places, F.lit(0), lambda count, i: count + F.when(symbol(a, i) == symbol(b, i), 0).otherwise(1))
 
 
-def _pairs_across(shared: DataFrame, placed: DataFrame) -> DataFrame:
+def _pairs_across(shared: DataFrame, placed: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) within DISTANCE that share a key, in different near groups and components."""
     rows = shared.join(placed.select("node", "near_group"), "node")
     held = rows.groupBy("key", "near_group").agg(F.count(F.lit(1)).alias("members"))
     largest = held.groupBy("key").agg(F.count(F.lit(1)).alias("groups"), F.max(F.struct("members", "near_group")).alias("largest"))
-    several = largest.where("groups > 1").select("key", F.col("largest.near_group").alias("largest"))
+    several = scratch.put(largest.where("groups > 1").select("key", F.col("largest.near_group").alias("largest")), "several-groups")
     full = rows.join(several, "key").drop("near_group").join(placed, "node")
     one, two = (
         full.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "signature", "near_group", "component")], (F.col("near_group") == F.col("largest")).alias(f"in_largest_{side}"))
