@@ -53,7 +53,8 @@ def exact_duplicates(docs: DataFrame, digest_bytes: int = DIGEST_BYTES, files_pe
         ),
         "rows",
     )
-    groups = _stream_groups(scratch, rows, files_per_batch)
+    # stored, so that Spark can split the rows of a very frequent digest where they are joined
+    groups = scratch.put(_stream_groups(scratch, rows, files_per_batch), "groups")
     repeated = groups.where("group_size > 1")
     hits = rows.join(repeated.select("digest"), "digest", "left_semi")
     texts = _texts(docs, hits)
