@@ -39,6 +39,8 @@ MAGIC, VERSION = b"TOKP", 1
 BLOCK = 4096
 #: A shard ends with the document that reaches this many ids.
 SHARD_IDS = 1 << 20
+#: Pieces of text that a worker remembers, about 250 MB.
+PIECES = 1_500_000
 WHOLE_BYTES = {8: "u1", 16: "<u2", 32: "<u4"}
 _HEAD = struct.Struct("<4s3I3Q")
 
@@ -166,7 +168,7 @@ _loaded: dict[str, Pieces] = {}
 def tokenizer(path: str, pattern: str) -> Pieces:
     """The encoder of a tokenizer file, once in each worker."""
     if path not in _loaded:
-        _loaded[path] = Pieces(Words(path, pattern))
+        _loaded[path] = Pieces(Words(path, pattern), PIECES)
     return _loaded[path]
 
 
