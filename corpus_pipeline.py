@@ -14,6 +14,10 @@ from depotlake.llm import bpe, exact, mixing, near, toxicity
 from depotlake.llm.tables import Scratch, documents
 
 
+#: Pieces that a worker remembers in the last stage. Its workers serve the other stages, too.
+ENCODER_MEMORY = 200_000
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the machine trained on labels does not reject."""
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -37,7 +41,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def byte_bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of each document that the mix has, once for each time."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe.token_digests(docs, ranks, public_tokenizers.PATTERN)
+    return bpe.token_digests(docs, ranks, public_tokenizers.PATTERN, memory=ENCODER_MEMORY)
 
 
 STAGES = [

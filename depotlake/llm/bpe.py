@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 
 from depotlake.llm.pieces import Pieces
 
-#: Pieces of text, words and pairs of tokens remembered by a worker: about 80 MB together.
-PIECES, WORDS, PAIRS = 200_000, 100_000, 120_000
+#: Pieces of text that a worker remembers; half as many words and pairs of tokens. About 160 MB.
+MEMORY = 400_000
 _RANK_BITS = 32
 
 
@@ -34,7 +34,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Bpe:
     """Encoder and decoder for one rank file and the pattern that cuts text into words."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, words: int = WORDS, pairs: int = PAIRS):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, words: int = MEMORY // 2, pairs: int = MEMORY // 2):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.shown = {rank: str(rank) for rank in ranks.values()}
@@ -133,15 +133,15 @@ class Bpe:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_loaded: dict[tuple[str, str], tuple[Bpe, Pieces]] = {}
+_loaded: dict[tuple[str, str, int], tuple[Bpe, Pieces]] = {}
 
 
-def loaded(path: str, pattern: str) -> tuple[Bpe, Pieces]:
+def loaded(path: str, pattern: str, memory: int = MEMORY) -> tuple[Bpe, Pieces]:
     """The encoder of a rank file, once in each worker."""
-    if (path, pattern) not in _loaded:
-        bpe = Bpe(read_ranks(path), pattern)
-        _loaded[path, pattern] = bpe, Pieces(bpe.encode_many, PIECES)
-    return _loaded[path, pattern]
+    if (path, pattern, memory) not in _loaded:
+        bpe = Bpe(read_ranks(path), pattern, memory // 2, memory // 2)
+        _loaded[path, pattern, memory] = bpe, Pieces(bpe.encode_many, memory)
+    return _loaded[path, pattern, memory]
 
 
 def _rows(docs: DataFrame, column: str, make: Callable[[str], tuple], schema: str, fields: pa.Schema, size: int = 256) -> DataFrame:
@@ -180,15 +180,16 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return _rows(encoded, "ids", make, "data binary", pa.schema([("data", pa.binary())]), 16)
 
 
-def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def token_digests(docs: DataFrame, path: str, pattern: str, memory: int = MEMORY) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (of the decimal ids, joined by commas), decoded_sha256.
 
     One row for each row, also where doc_ids repeat or are null; null texts count as empty. Long
-    texts are encoded, decoded and hashed part by part. Other columns are not read.
+    texts are encoded, decoded and hashed part by part. Other columns are not read. memory bounds
+    what a worker remembers; less of it takes longer.
     """
 
     def make(text: str | None) -> tuple:
-        bpe, pieces = loaded(path, pattern)
+        bpe, pieces = loaded(path, pattern, memory)
         count, ids_hash, data_hash = 0, hashlib.sha256(), hashlib.sha256()
         for part in pieces.encode(text or ""):
             ids = np.frombuffer(part, "<u4").tolist()
