@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 
 from depotlake.llm.pieces import Pieces
 
-#: Pieces of text that a worker remembers; half as many words and pairs of tokens. About 160 MB.
-MEMORY = 400_000
+#: Pieces of text that a worker remembers; half as many words and pairs of tokens. About 320 MB.
+MEMORY = 800_000
 _RANK_BITS = 32
 
 
