@@ -43,6 +43,8 @@ GROUP_ROWS, GROUP_BYTES = 50_000, 24_000_000
 IN_MEMORY = 256_000_000
 #: Keys with more different segments are dealt anew by PART places of the string's start, under longer keys.
 MANY_SEGMENTS, PART = 2000, 32
+#: Groups that still have more different parts are dealt anew by fewer places, at last by single strings.
+SHORTER = (8, 1)
 #: A key is hot if this part of a sample of documents has it, and HOT_LEAST of them; one in HOT_SAMPLE is looked at.
 HOT_SHARE, HOT_LEAST, HOT_SAMPLE, SALTS = 0.01, 10, 50, 1024
 
@@ -148,6 +150,7 @@ CUT = pa.schema([
     ("group", pa.int64()), ("key", pa.int64()), ("segment", pa.int64()), ("weight", pa.int64()),
     ("shift", pa.int32()), ("starts", pa.int32()), ("anchor", pa.int32()), ("data", pa.binary()),
 ])
+CUT_SCHEMA = "group long, key long, segment long, weight long, shift int, starts int, anchor int, data binary"
 
 
 def cut_segments(places: DataFrame, docs: DataFrame, length: int) -> DataFrame:
@@ -157,33 +160,39 @@ def cut_segments(places: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     wanted = wanted.withColumnsRenamed({"doc_id": "its_id", "text_key": "its_key"})
     same = texts["doc_id"].eqNullSafe(wanted["its_id"]) & (texts["text_key"] == wanted["its_key"])
     both = texts.join(wanted, same).select("packed", "wanted")
+    most, part = MANY_SEGMENTS, PART
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for whole in given:
             for number in range(whole.num_rows):
                 text = unpack(whole.column(0)[number].as_py())
-                rows = [cut for asked in whole.column(1)[number].as_py() for cut in _cut(text, asked, length)]
+                rows = [cut for asked in whole.column(1)[number].as_py() for cut in _cut(text, asked, length, most, part)]
                 columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), CUT)]
                 yield pa.RecordBatch.from_arrays(columns, CUT.names)
 
-    schema = "group long, key long, segment long, weight long, shift int, starts int, anchor int, data binary"
-    return both.mapInArrow(run, schema)
+    return both.mapInArrow(run, CUT_SCHEMA)
 
 
-def _cut(text: bytes, asked: dict, length: int) -> Iterator[tuple]:
+def _cut(text: bytes, asked: dict, length: int, most: int | None = None, part: int | None = None) -> Iterator[tuple]:
     key, segment, weight, place, starts, anchor = (asked[c] for c in ("key", "segment", "weight", "place", "starts", "anchor"))
-    if asked["variants"] <= MANY_SEGMENTS:
-        yield key, key, segment, weight, 0, starts, anchor, text[place : place + starts - 1 + length]
-        return
-    # by distance to the anchor, in parts; the bytes that all strings of a part hold are its key
+    data = text[place : place + starts - 1 + length]
+    if asked["variants"] <= (MANY_SEGMENTS if most is None else most):
+        yield key, key, segment, weight, 0, starts, anchor, data
+    else:
+        yield from _parts(data, key, segment, weight, starts, anchor, PART if part is None else part, length)
+
+
+def _parts(text: bytes, key: int, segment: int, weight: int, starts: int, anchor: int, size: int, length: int) -> Iterator[tuple]:
+    """By distance to the anchor, in parts of size places; the bytes that all strings of a part hold are its key."""
+    size = min(size, length)
     shift = 0
     while shift < starts:
-        part = (anchor - shift) // PART
-        end = min(starts, anchor - part * PART + 1)
-        held = text[place + anchor - part * PART : place + anchor - part * PART - PART + 1 + length]
+        part = (anchor - shift) // size
+        end = min(starts, anchor - part * size + 1)
+        held = text[anchor - part * size : anchor - part * size - size + 1 + length]
         group = int.from_bytes(hashlib.blake2b(held, digest_size=8, key=(key ^ part).to_bytes(8, "little", signed=True)).digest(), "little", signed=True)
-        yield group, key, segment, weight, shift, end - shift, anchor - shift, text[place + shift : place + end - 1 + length]
+        yield group, key, segment, weight, shift, end - shift, anchor - shift, text[shift : end - 1 + length]
         shift = end
 
 
@@ -284,6 +293,49 @@ def ordered_segments(cut: DataFrame, length: int) -> DataFrame:
     return ordered.mapInArrow(run, "key long, segment long, ranges array<struct<start:int,end:int>>")
 
 
+def shorter_parts(cut: DataFrame, size: int, length: int) -> DataFrame:
+    """The rows of cut in parts of size places: rows of CUT."""
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in given:
+            for start in range(0, whole.num_rows, 1024):
+                asked = zip(*[column.to_pylist() for column in whole.slice(start, 1024).columns])
+                rows = [part for data, *row in asked for part in _parts(data, *row, size, length)]
+                columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), CUT)]
+                yield pa.RecordBatch.from_arrays(columns, CUT.names)
+
+    return cut.select("data", "key", "segment", "weight", "starts", "anchor").mapInArrow(run, CUT_SCHEMA)
+
+
+def repeated_parts(cut: DataFrame, length: int, shorter: tuple[int, ...], scratch: Scratch) -> DataFrame:
+    """What ordered_segments gives, for segments cut in parts, with no bound on the rows of a group.
+
+    Parts of equal bytes at one distance from the anchor are one with a weight. A group that still
+    has more than MANY_SEGMENTS different parts is dealt anew by the next of shorter; after the
+    last, parts are single strings, which their weights decide.
+    """
+    level = len(shorter)
+    known = cut.withColumn("part", F.xxhash64("anchor", "starts", "data"))
+    owners = scratch.put(known.select("group", "part", "key", "segment", "shift"), f"owners-{level}")
+    alike = known.groupBy("group", "part", "anchor", "starts", "data").agg(F.sum("weight").alias("weight"))
+    named = {"key": F.col("group"), "segment": F.col("part"), "shift": F.lit(0)}
+    parts = scratch.put(alike.withColumns(named).select(*CUT.names), f"parts-{level}")
+    if not shorter:
+        once = F.array(F.struct(F.lit(0).alias("start"), F.col("starts").alias("end"))).alias("ranges")
+        told = parts.where("weight > 1").select("key", "segment", once)
+    else:
+        sizes = parts.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+        # at most (parts) / MANY_SEGMENTS groups
+        crowded = scratch.put(sizes.where(F.col("n") > MANY_SEGMENTS).select("group"), f"crowded-{level}")
+        told = ordered_segments(parts.join(F.broadcast(crowded), "group", "left_anti").select(*CUT.names), length)
+        if not crowded.isEmpty():
+            again = shorter_parts(parts.join(F.broadcast(crowded), "group", "left_semi"), shorter[0], length)
+            told = told.unionByName(repeated_parts(again, length, shorter[1:], scratch))
+    told = told.withColumnsRenamed({"key": "group", "segment": "part"})
+    moved = F.transform("ranges", lambda r: F.struct((r["start"] + F.col("shift")).alias("start"), (r["end"] + F.col("shift")).alias("end")))
+    return owners.join(told, ["group", "part"]).select("key", "segment", moved.alias("ranges"))
+
+
 def repeated_ranges(docs: DataFrame, length: int, spread: int, scratch: Scratch) -> DataFrame:
     """doc_id, text_key and hits: for each segment there its places and the ranges of repeated starts."""
     found = scratch.put(repeated_segments(docs, length, spread, scratch), "repeated-segments")
@@ -296,7 +348,13 @@ def repeated_ranges(docs: DataFrame, length: int, spread: int, scratch: Scratch)
     everywhere = F.array(F.struct(F.lit(0).alias("start"), F.col("starts").alias("end"))).alias("ranges")
     equal = counted.where("variants = 1 and weight > 1").select("key", "segment", everywhere)
     cut = cut_segments(counted.where("variants > 1"), docs, length)
-    ranges = scratch.put(equal.unionByName(ordered_segments(cut, length)), "ranges")
+    if variants.where(F.col("variants") > MANY_SEGMENTS).isEmpty():
+        told = ordered_segments(cut, length)
+    else:
+        cut = scratch.put(cut, "cut")
+        told = ordered_segments(cut.where("group = key"), length)
+        told = told.unionByName(repeated_parts(cut.where("group <> key"), length, SHORTER, scratch))
+    ranges = scratch.put(equal.unionByName(told), "ranges")
     hits = found.select("doc_id", "text_key", "key", "segment", "places").join(ranges, ["key", "segment"])
     return hits.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("places", "ranges")).alias("hits"))
 

@@ -122,3 +122,34 @@ def test_parts_of_a_segment(monkeypatch):
         for _, key, _, _, shift, many, anchor, data in parts:
             assert key == n - 100 and anchor == 19 - shift
             assert data == text[place + shift : place + shift + many - 1 + 25]
+
+
+@pytest.mark.parametrize("shorter", [(3, 1), (1,)])
+def test_crowded_groups_are_dealt_until_they_are_small(spark, monkeypatch, shorter):
+    """A notice in all documents, with different text around it: no group holds all documents."""
+    pick = random.Random(9)
+
+    def signs(n):
+        return "".join(pick.choice("abcdefgh ") for _ in range(n))
+
+    notice = signs(80)
+    rows = [(n, signs(100) + notice[: pick.choice([63, 64, 70, 80])] + signs(100)) for n in range(60)]
+    docs = spark.createDataFrame(rows + rows[:2], "doc_id long, text string")
+    monkeypatch.setattr(passages, "MANY_SEGMENTS", 4)
+    monkeypatch.setattr(passages, "PART", 16)
+    monkeypatch.setattr(passages, "SHORTER", shorter, raising=False)
+    sizes, ordered = [], passages.ordered_segments
+
+    def noted(cut, length):
+        sizes.extend(r["count"] for r in cut.groupBy("group").count().collect())
+        return ordered(cut, length)
+
+    monkeypatch.setattr(passages, "ordered_segments", noted)
+    check(docs, 64)
+    assert 1 < max(sizes) <= 4
+
+
+def test_crowded_groups_of_odd_texts(corpus, monkeypatch):
+    for name, value in (("MANY_SEGMENTS", 1), ("PART", 8)):
+        monkeypatch.setattr(passages, name, value)
+    check(corpus, 40)
