@@ -27,8 +27,20 @@ EITHER = ("Dr", "Prof", "Professor", "Доктор", "доктор")
 MALE_AFTER, FEMALE_AFTER = "先生", "女士"
 
 _GENDER = {**dict.fromkeys(MALE, "m"), **dict.fromkeys(FEMALE, "f"), **dict.fromkeys(EITHER, "n")}
-_NAME = r"\p{Lu}[\p{L}\p{M}]+(?:[-'’]\p{Lu}[\p{L}\p{M}]+)*"
-_PERSON = regex.compile(rf"(?<!\w)({'|'.join(sorted(_GENDER, key=len, reverse=True))})\.?[  ]({_NAME})(?:[  ]({_NAME}))?")
+#: Between the parts of a name, left as they are.
+PARTICLES = ("von", "vom", "van", "zu", "zum", "zur", "de", "der", "den", "des", "del", "della", "di", "da", "do", "dos", "das", "du", "la", "le", "las", "los", "ten", "ter", "te", "af", "av", "bin", "ibn", "al", "el", "y", "e", "фон", "де")
+#: After a name.
+SUFFIXES = ("Jr", "II", "III", "IV")
+
+_TITLE = "|".join(sorted(_GENDER, key=len, reverse=True))
+_NAME = r"(?:\p{Lu}['’])?\p{Lu}[\p{L}\p{M}]+(?:[-'’]\p{Lu}[\p{L}\p{M}]+)*"
+_PART = rf"(?!(?:{_TITLE}|{'|'.join(SUFFIXES)})(?![\p{{L}}\p{{M}}]))(?:[dl]['’])?"
+#: Titles, then given names, initials and particles in any number; the last name is the family's.
+_PERSON = regex.compile(
+    rf"(?<!\w)({_TITLE})\.?[  ](?:(?:{_TITLE})\.?[  ]){{0,3}}"
+    rf"(?:(?P<initial>\p{{Lu}})(?:\.(?:-|[  ])?|[  ])|(?:{'|'.join(PARTICLES)})[  ]|{_PART}(?P<given>{_NAME})[  ])*"
+    rf"{_PART}(?P<family>{_NAME})"
+)
 _HAN = regex.compile(rf"(\p{{Han}}{{2,3}})({MALE_AFTER}|{FEMALE_AFTER})")
 _DOMAIN = regex.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.\p{L}{2,}")
 _LOCAL = regex.compile(r"[\w.%+-]")
@@ -41,6 +53,14 @@ _PATTERNS = [
     ("ip", regex.compile(rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)")),
     ("phone", regex.compile(r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\w)")),
     ("phone", regex.compile(r"(?<![\w+])\+[0-9]{8,15}(?!\w)")),
+    # France in pairs, Spain, and other countries (8 to 15 digits), after + or 00
+    ("phone", regex.compile(r"(?<![\w+])(?:(?:\+|00)33[ .-]?(?:\(0\)[ .-]?)?[1-9]|0[1-9])(?:[ .-]?[0-9]{2}){4}(?!\w)")),
+    ("phone", regex.compile(r"(?<![\w+])(?:\+|00)34(?:[ .-]?[0-9]){9}(?!\w)")),
+    ("phone", regex.compile(r"(?<![\w+])(?:\+|00)(?!1|33|34)[1-9](?:[ ./()-]{0,2}[0-9]){7,14}(?!\w)")),
+    # Spain in pairs; an area code with 0, of 8 to 13 digits with the number; ten digits or more without signs
+    ("phone", regex.compile(r"(?<![\w+])(?:[6-9][0-9]{2}[ .-][0-9]{2}|[89][0-9][ .-][0-9]{3})(?:[ .-][0-9]{2}){2}(?!\w)")),
+    ("phone", regex.compile(r"(?<![\w+])(?=(?:[ /()-]*[0-9]){8,13}(?!\w|[/-]?[0-9]))\(?0[1-9][0-9]{1,4}\)?(?: ?[/-] ?| )[0-9]{3,9}(?:-[0-9]{1,5}|(?: [0-9]{2,4}){1,3})?(?!\w)")),
+    ("phone", regex.compile(r"(?<![\w+])(?:1?[2-9][0-9]{9}|0[1-9][0-9]{7,10})(?!\w)")),
 ]
 #: Java pattern of all texts in which something can be found.
 _ASCII = "|".join(t for t in (*MALE, *FEMALE, *EITHER) if t[0].isascii())
@@ -79,15 +99,18 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             if kind in DIGITS:
                 country = regex.match(r"\+([0-9]{1,3})[ .-]", entity)  # stays
                 entity = "".join(c for c in entity[country.end() if country else 0 :] if c.isalnum())
+                if kind == "phone" and entity.startswith("0"):  # stays too
+                    entity = f"0|{entity[1:]}"
                 entity = f"{country.group(1)}|{entity}" if country else entity
             found.append((match.start(), match.end(), kind, entity))
     names: dict[str, str] = {}
     for match in _PERSON.finditer(text):
         gender = _GENDER[match.group(1)]
-        parts = [(2, f"given-{gender}"), (3, "family")] if match.group(3) else [(2, "family")]
-        for number, kind in parts:
-            found.append((match.start(number), match.end(number), kind, _small(match.group(number))))
-            names.setdefault(match.group(number), kind)
+        for group, kind in (("given", f"given-{gender}"), ("family", "family")):
+            for start, end in match.spans(group):
+                found.append((start, end, kind, _small(text[start:end])))
+                names.setdefault(text[start:end], kind)
+        found += [(start, end, "initial", _small(text[start:end])) for start, end in match.spans("initial")]
     for match in _HAN.finditer(text):
         kind = "han-m" if match.group(2) == MALE_AFTER else "han-f"
         found.append((match.start(1), match.end(1), kind, match.group(1)))
@@ -186,6 +209,10 @@ def surrogate(kind: str, entity: str, key: bytes, draw: int = 0) -> str:
         return permuted(head, key, tweak) + dot + top
     if kind in DIGITS:
         return permuted(entity, key, tweak)
+    if kind == "initial":  # another letter of the alphabet
+        number, place = _PLACE.get(entity, (1, 0))
+        letters = ALPHABETS[number]
+        return letters[(place + 1 + next(_numbers(key, kind)) % (len(letters) - 1)) % len(letters)]
     stream = _numbers(key, tweak, entity)
     if kind.startswith("han"):
         return "".join(chr(0x4E00 + next(stream) % 0x4000) for _ in entity)
@@ -203,7 +230,7 @@ def rendered(kind: str, mention: str, plain: str) -> str:
         return "".join(next(signs) if c.isalnum() else c for c in mention)
     if kind == "email":
         return "".join(p.upper() if m.isupper() and len(p.upper()) == 1 else p for m, p in zip(mention, plain))
-    if kind.startswith(("given", "family")):
+    if kind.startswith(("given", "family", "initial")):
         return plain.upper() if mention.isupper() else plain[:1].upper() + plain[1:]
     return plain
 
@@ -246,7 +273,12 @@ def _drawn(entities: DataFrame, key: bytes, draw: int) -> DataFrame:
 
 
 def distinct_surrogates(entities: DataFrame, key: bytes, scratch: Scratch) -> DataFrame:
-    """kind, entity, surrogate: within a kind no two entities share one, and none is an entity."""
+    """kind, entity, surrogate: within a kind no two entities share one, and none is an entity.
+
+    Initials are too few for that: theirs are other letters only.
+    """
+    initials = _drawn(entities.where("kind = 'initial'"), key, 0)
+    entities = entities.where("kind <> 'initial'")
     chosen = scratch.put(_drawn(entities, key, 0), "draw-0")
     for draw in range(1, MOST_DRAWS):
         shared = chosen.groupBy("kind", "surrogate").agg(F.min("entity").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -255,7 +287,7 @@ def distinct_surrogates(entities: DataFrame, key: bytes, scratch: Scratch) -> Da
         taken = chosen.join(known, ["kind", "surrogate"], "left_semi").select("kind", "entity")
         redrawn = scratch.put(again.unionByName(taken).distinct(), f"again-{draw}")
         if redrawn.isEmpty():
-            return chosen
+            return chosen.unionByName(initials)
         rest = chosen.join(redrawn, ["kind", "entity"], "left_anti")
         chosen = scratch.put(rest.unionByName(_drawn(redrawn, key, draw)), f"draw-{draw}")
     raise RuntimeError(f"surrogates still clash after {MOST_DRAWS} draws")

@@ -113,3 +113,45 @@ def test_repeated_rows_with_entities(spark):
     docs = spark.createDataFrame([(1, "call 017-555-7713"), (1, "call 017-555-7713"), (None, "call 017-555-7713")], "doc_id long, text string")
     found = pii.replace_private(docs, KEY).collect()
     assert len(found) == 3 and len({r.text for r in found}) == 1 and all(r.n_mentions == 1 for r in found)
+
+
+@pytest.mark.parametrize("text, wanted", [
+    ("Dr. Martin Luther King spoke. King left.", ["given-n:Martin", "given-n:Luther", "family:King", "family:King"]),
+    ("Mr. J. Smith, then Smith", ["initial:J", "family:Smith", "family:Smith"]),
+    ("Prof. J.R.R. Tolkien and Dr J Doe", ["initial:J", "initial:R", "initial:R", "family:Tolkien", "initial:J", "family:Doe"]),
+    ("Frau von Stein kam; Frau Anna von der Leyen", ["family:Stein", "given-f:Anna", "family:Leyen"]),
+    ("Herr Dr. Hans Müller ging", ["given-m:Hans", "family:Müller"]),
+    ("Mr. O'Brien, Monsieur d'Artagnan", ["family:O'Brien", "family:Artagnan"]),
+    ("Mr. John Smith Jr. met Mrs. Smith", ["given-m:John", "family:Smith", "family:Smith"]),
+    ("Господин Иван Петрович Сидоров", ["given-m:Иван", "given-m:Петрович", "family:Сидоров"]),
+])
+def test_names_of_any_number_of_parts(text, wanted):
+    assert [f"{kind}:{text[a:b]}" for a, b, kind, _ in pii.find(text)] == wanted
+
+
+PHONES = [
+    "01 23 45 67 89", "01.23.45.67.89", "0123456789", "+33 1 23 45 67 89", "+33 (0)1 23 45 67 89", "0033 1 23 45 67 89",
+    "030/1234567", "030 / 123 45 67", "(030) 1234567", "0171-12345678", "+49 (0)30 1234567", "+49 30/1234567",
+    "5551234567", "15551234567", "612 34 56 78", "91 234 56 78", "+34 612 34 56 78", "+34 912 345 678",
+]
+
+
+@pytest.mark.parametrize("number", PHONES)
+def test_national_phone_formats(number):
+    text = f"tel: {number}, thanks"
+    assert [(kind, text[a:b]) for a, b, kind, _ in pii.find(text)] == [("phone", number)]
+
+
+@pytest.mark.parametrize("text", ["on 01/02/2024", "012/2024", "2024-01-02 10:20", "1700000000 s", "10 20 30 40 50", "0.12345678", "part 123456789"])
+def test_other_numbers_are_no_phones(text):
+    assert pii.find(text) == []
+
+
+def test_new_forms_are_replaced_in_their_format(spark):
+    (out,) = replaced(spark, "Dr. Martin Luther King and Mr. J. Smith at 01 23 45 67 89 or 030/1234567. King spoke to Smith.")
+    found = re.fullmatch(r"Dr\. (\w+) (\w+) (\w+) and Mr\. ([A-Z])\. (\w+) at 0\d \d\d \d\d \d\d \d\d or 0\d\d/\d{7}\. (\w+) spoke to (\w+)\.", out).groups()
+    assert not {"Martin", "Luther", "King", "J", "Smith"} & set(found) and found[2] == found[5] and found[4] == found[6]
+
+
+def test_long_runs_of_titles_and_digits():
+    assert pii.find("Mr. " * 50_000 + "de " * 50_000 + "00" + "1 " * 50_000) == []
