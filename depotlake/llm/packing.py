@@ -125,7 +125,7 @@ class Shard:
 class Words:
     """Ids by a byte-level BPE tokenizer of the tokenizers library, each word encoded once and remembered.
 
-    Strings of special tokens are ordinary text. The pattern cuts text as the byte-level
+    Texts hold no added tokens (see Texts). The pattern cuts text as the byte-level
     pre-tokenizer does. As versions of Unicode may differ about letters, texts with characters
     beyond the Latin blocks go through the whole tokenizer instead.
     """
@@ -133,7 +133,6 @@ class Words:
     def __init__(self, path: str, pattern: str, memory: int = 1 << 19):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         self.bpe = self.whole.model.tokenize
         letters = ByteLevel.alphabet()
         plain = [b for b in range(256) if chr(b) in letters]
@@ -162,13 +161,38 @@ class Words:
         return out
 
 
-_loaded: dict[str, Pieces] = {}
+class Texts(Pieces):
+    """Texts by their pieces; those with the content of an added token go whole through the library, as it does by default."""
 
+    def __init__(self, words: Words, memory: int):
+        super().__init__(words, memory)
+        self.whole = words.whole
+        self.added = [token.content for token in self.whole.get_added_tokens_decoder().values()]
 
-def tokenizer(path: str, pattern: str) -> Pieces:
+    def _has_added(self, text: str) -> bool:
+        return any(token in text for token in self.added)
+
+    def _by_library(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(self, text: str) -> Iterator[bytes]:
+        return iter([self._by_library(text)]) if self._has_added(text) else super().encode(text)
+
+    def encode_all(self, texts: Sequence[str]) -> list[bytes]:
+        whole = {n: self._by_library(text) for n, text in enumerate(texts) if self._has_added(text)}
+        if not whole:
+            return super().encode_all(texts)
+        rest = iter(super().encode_all([text for n, text in enumerate(texts) if n not in whole]))
+        return [whole[n] if n in whole else next(rest) for n in range(len(texts))]
+
+
+_loaded: dict[str, Texts] = {}
+
+
+def tokenizer(path: str, pattern: str) -> Texts:
     """The encoder of a tokenizer file, once in each worker."""
     if path not in _loaded:
-        _loaded[path] = Pieces(Words(path, pattern), PIECES)
+        _loaded[path] = Texts(Words(path, pattern), PIECES)
     return _loaded[path]
 
 

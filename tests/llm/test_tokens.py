@@ -142,3 +142,13 @@ def test_ids_as_columns(spark):
     encoded = bpe.encode_documents(docs, RANKS, PATTERN)
     decoded = {r.doc_id: bytes(r.data) for r in bpe.decode_documents(encoded, RANKS, PATTERN).collect()}
     assert decoded == {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+
+
+def test_added_tokens_are_the_library():
+    """Without any flag: the content of an added token has the token's id."""
+    own, plain = packing.tokenizer(WHOLE, PATTERN), Tokenizer.from_file(WHOLE)
+    texts = ["foo <|endoftext|> bar", "no token", "<|endoftext|>", "a<|endoftext|> <|endoftext|>  b 中文", "word " * 60_000 + "<|endoftext|> x", ""]
+    wanted = [plain.encode(text, add_special_tokens=False).ids for text in texts]
+    assert wanted[0].count(50256) == 1
+    assert [ids(i) for i in own.encode_all(texts)] == wanted
+    assert [ids(b"".join(own.encode(text))) for text in texts] == wanted
