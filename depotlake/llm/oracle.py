@@ -203,10 +203,36 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM numbered JOIN stepped USING (source_key)
 """
 
+_DRAWS = ", ".join(f"('0x' || substr(digest, {8 * k + 1}, 8))::BIGINT AS h{k + 1}" for k in range(4))
+
+FILL_IN_MIDDLE = f"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+           sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+    FROM documents
+), drawn AS (
+    SELECT *, {_DRAWS} FROM texts
+), cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+), parts AS (
+    SELECT *, substr(text, 1, a) AS prefix, substr(text, a + 1, b - a) AS middle, substr(text, b + 1) AS suffix FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 ORACLE_SQL = {
     "op1_secret_scans": SECRET_SCANS,
     "op3_minhash_near_dedup": NEAR_DEDUP,
     "op4_source_mixing": SOURCE_MIXING,
     "op7_exact_dedup": EXACT_DEDUP,
     "op8_suffix_dedup": SUFFIX_DEDUP,
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

@@ -6,8 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from depotlake.llm import bpe, exact, fingerprints, mixing, near, packing, passages, pii, secrets, toxicity
+from depotlake.llm import bpe, exact, fingerprints, infill, mixing, near, packing, passages, pii, secrets, toxicity
 from depotlake.llm.tables import Query, documents
 
 #: Only for this query; a real corpus has a secret key.
@@ -63,6 +62,20 @@ def op10_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return pii.replace_private(documents(spark, folder), PII_KEY)
 
 
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = infill.fill_in_middle(documents(spark, folder))
+    text = infill.restored(made["output"], made["form"])
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_token_files": op2_token_files,
@@ -74,5 +87,5 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_pii_surrogates": op10_pii_surrogates,
-    "pipeline": corpus_pipeline.run,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }

@@ -8,7 +8,8 @@ import random
 CLASHING = {
     "kept": "'x'", "size": "true", "row": "1", "copies": "'c'", "text_key": "'t'", "digest": "2.5", "node": "'n'",
     "key": "array(1)", "hash": "'h'", "first": "'f'", "score": "'s'", "packed": "'p'", "row_id": "'r'", "spans": "7",
-    "n_shingles": "'n'", "component": "'c'", "block": "'b'", "content": "3", "class": "'k'", "number": "'n'", "target": "'t'",
+    "n_shingles": "'n'", "component": "'c'", "block": "'b'", "content": "3", "class": "'k'", "number": "'n'", "target": "'t'", "form": "'f'", "output": "8", "n": "'n'", "links": "'l'",
+    "labels": "9", "words": "'w'", "pair": "'p'", "copies_of": "1", "total": "'t'", "place": "'p'",
 }
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"

@@ -37,10 +37,11 @@ def test_against_sql(spark, duck, name):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(entries.queries()) and set(ORACLE_SQL) <= set(entries.oracle_sql())
-    assert [n.split("_")[0] for n in QUERIES] == [*[f"op{n}" for n in range(1, 11)], "pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [*[f"op{n}" for n in range(1, 11)], "op13"]
+    assert entries.queries()["pipeline"] is corpus_pipeline.run
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLE_SQL and n != "pipeline"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLE_SQL])
 def test_every_document_has_its_row(spark, name):
     small = "/root/testdata/sf0.001"
     found = QUERIES[name](spark, small)
