@@ -18,10 +18,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from depotlake.llm.pieces import Pieces
+from depotlake.llm.pieces import MEMORY, Memory, Pieces
 
-#: Pieces of text that a worker remembers; half as many words and pairs of tokens. About 320 MB.
-MEMORY = 800_000
+#: What a remembered pair of tokens takes.
+_PAIR_BYTES = 128
 _RANK_BITS = 32
 
 
@@ -34,15 +34,16 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Bpe:
     """Encoder and decoder for one rank file and the pattern that cuts text into words."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, words: int = MEMORY // 2, pairs: int = MEMORY // 2):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = MEMORY // 2):
+        """memory: bytes for words and, half of it, for pairs."""
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.shown = {rank: str(rank) for rank in ranks.values()}
         self.words = regex.compile(pattern)
         self.size = {rank: len(token) for rank, token in self.tokens.items()}
-        self.most_words, self.most_pairs = words, pairs
+        self.most_pairs = memory // 2 // _PAIR_BYTES
         self.pairs: dict[int, bool] = {}  # by the two ranks in one number
-        self.encoded: dict[str, bytes] = {}
+        self.encoded = Memory(memory // 2)
         self.shorter: dict[int, int] = {}
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
@@ -122,9 +123,8 @@ class Bpe:
             for word in self.words.findall(text):
                 ids = self.encoded.get(word)
                 if ids is None:
-                    if len(self.encoded) >= self.most_words:
-                        self.encoded.clear()
-                    ids = self.encoded[word] = np.array(self.word(word.encode()), "<u4").tobytes()
+                    ids = np.array(self.word(word.encode()), "<u4").tobytes()
+                    self.encoded.put(word, ids)
                 parts.append(ids)
             out.append(b"".join(parts))
         return out
@@ -139,8 +139,8 @@ _loaded: dict[tuple[str, str, int], tuple[Bpe, Pieces]] = {}
 def loaded(path: str, pattern: str, memory: int = MEMORY) -> tuple[Bpe, Pieces]:
     """The encoder of a rank file, once in each worker."""
     if (path, pattern, memory) not in _loaded:
-        bpe = Bpe(read_ranks(path), pattern, memory // 2, memory // 2)
-        _loaded[path, pattern, memory] = bpe, Pieces(bpe.encode_many, memory)
+        bpe = Bpe(read_ranks(path), pattern, memory // 2)
+        _loaded[path, pattern, memory] = bpe, Pieces(bpe.encode_many, memory // 2)
     return _loaded[path, pattern, memory]
 
 
@@ -184,8 +184,8 @@ def token_digests(docs: DataFrame, path: str, pattern: str, memory: int = MEMORY
     """doc_id, n_tokens, ids_sha256 (of the decimal ids, joined by commas), decoded_sha256.
 
     One row for each row, also where doc_ids repeat or are null; null texts count as empty. Long
-    texts are encoded, decoded and hashed part by part. Other columns are not read. memory bounds
-    what a worker remembers; less of it takes longer.
+    texts are encoded, decoded and hashed part by part. Other columns are not read. memory is
+    how many bytes a worker remembers; fewer take longer. An empty table gives an empty result.
     """
 
     def make(text: str | None) -> tuple:

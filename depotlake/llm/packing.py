@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from depotlake.llm.pieces import Pieces
+from depotlake.llm.pieces import Memory, Pieces
 from depotlake.llm.tables import Scratch, row_key
 
 MAGIC, VERSION = b"TOKP", 1
@@ -39,8 +39,8 @@ MAGIC, VERSION = b"TOKP", 1
 BLOCK = 4096
 #: A shard ends with the document that reaches this many ids.
 SHARD_IDS = 1 << 20
-#: Pieces of text that a worker remembers, about 250 MB.
-PIECES = 1_500_000
+#: Bytes that a worker remembers of pieces of text, and half as many of words.
+MEMORY = 224 << 20
 WHOLE_BYTES = {8: "u1", 16: "<u2", 32: "<u4"}
 _HEAD = struct.Struct("<4s3I3Q")
 
@@ -125,22 +125,23 @@ class Shard:
 class Words:
     """Ids by a byte-level BPE tokenizer of the tokenizers library, each word encoded once and remembered.
 
-    Texts hold no added tokens (see Texts). The pattern cuts text as the byte-level
+    Texts hold no added tokens (see Texts), or they are ordinary text. The pattern cuts text as the byte-level
     pre-tokenizer does. As versions of Unicode may differ about letters, texts with characters
     beyond the Latin blocks go through the whole tokenizer instead.
     """
 
-    def __init__(self, path: str, pattern: str, memory: int = 1 << 19):
+    def __init__(self, path: str, pattern: str, memory: int = MEMORY // 2, special: bool = True):
+        """special: added tokens in a text get their own ids, as the library does by default."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = not special
         self.bpe = self.whole.model.tokenize
         letters = ByteLevel.alphabet()
         plain = [b for b in range(256) if chr(b) in letters]
         others = [b for b in range(256) if chr(b) not in letters]
         self.letter = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
         self.words = regex.compile(pattern).findall
-        self.memory = memory
-        self.known: dict[str, bytes] = {}
+        self.known = Memory(memory)
 
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
         out = []
@@ -152,10 +153,9 @@ class Words:
             for word in self.words(text):
                 ids = self.known.get(word)
                 if ids is None:
-                    if len(self.known) >= self.memory:
-                        self.known.clear()
                     tokens = self.bpe("".join(map(self.letter.__getitem__, word.encode())))
-                    ids = self.known[word] = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+                    ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+                    self.known.put(word, ids)
                 parts.append(ids)
             out.append(b"".join(parts))
         return out
@@ -192,7 +192,7 @@ _loaded: dict[str, Texts] = {}
 def tokenizer(path: str, pattern: str) -> Texts:
     """The encoder of a tokenizer file, once in each worker."""
     if path not in _loaded:
-        _loaded[path] = Texts(Words(path, pattern), PIECES)
+        _loaded[path] = Texts(Words(path, pattern), MEMORY)
     return _loaded[path]
 
 

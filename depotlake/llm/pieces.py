@@ -8,11 +8,15 @@ pieces in order, each piece with the space before it.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
-#: Pieces remembered by a worker at most, in two generations: if the younger has half of them, it
-#: becomes the older, and what is used from the older moves to the younger.
-MEMORY = 1_000_000
+#: Bytes that a worker's memory of pieces takes at most.
+MEMORY = 256 << 20
+#: Strings of more characters are not remembered; there are too many of them, and each is rare.
+LONGEST = 64
+#: What a dictionary takes for an entry, besides its key and value.
+_ENTRY = 100
 #: Characters handled at once; a longer text is cut at single spaces.
 CHUNK = 1 << 18
 
@@ -31,14 +35,42 @@ def cuts(text: str, size: int = CHUNK) -> Iterator[tuple[bool, str]]:
     yield after_space, text[start:]
 
 
+class Memory:
+    """Bytes by short strings, in at most about limit bytes, keys and entries counted.
+
+    There are two generations: if the younger has half of the limit, it becomes the older, and what
+    is used from the older moves to the younger.
+    """
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.held = 0  # by the younger
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(key) > LONGEST:
+            return
+        cost = sys.getsizeof(key) + sys.getsizeof(value) + _ENTRY
+        if self.held + cost > self.limit // 2:
+            self.old, self.young, self.held = self.young, {}, 0
+        if cost <= self.limit // 2:
+            self.young[key] = value
+            self.held += cost
+
+
 class Pieces:
     """Encodes texts with encode_many, which gives the ids of each of some strings as bytes."""
 
     def __init__(self, encode_many: Callable[[Sequence[str]], list[bytes]], memory: int = MEMORY):
         self.encode_many = encode_many
-        self.memory = memory
-        self.known: dict[str, bytes] = {}  # by the piece without its space; none has white space at an end
-        self.older: dict[str, bytes] = {}
+        self.memory = Memory(memory)  # by the piece without its space; none has white space at an end
 
     def encode(self, text: str) -> Iterator[bytes]:
         """The ids of a text, part by part."""
@@ -58,7 +90,7 @@ class Pieces:
         return out
 
     def _encoded(self, parts: Sequence[tuple[bool, str]]) -> list[bytes]:
-        known = self.known
+        known = self.memory.young
         rows = []  # first piece, ids of the pieces (None where new), pieces, last piece
         new: set[str] = set()
         for after_space, part in parts:
@@ -78,10 +110,12 @@ class Pieces:
             new.update(missing)
             rows.append((first, ids, pieces if missing else (), last))
         edges = [x for first, _, _, last in rows for x in (first, last) if x]
-        fresh = {p: self.older[p] for p in new if p in self.older}
+        fresh = {p: found for p in new if (found := self.memory.get(p)) is not None}
         ordered = [p for p in new if p not in fresh]
         made = self.encode_many(edges + [" " + p for p in ordered])
-        fresh.update(zip(ordered, made[len(edges) :]))
+        for p, ids in zip(ordered, made[len(edges) :]):
+            fresh[p] = ids
+            self.memory.put(p, ids)
         of_edge = iter(made)
         out = []
         for first, ids, pieces, last in rows:
@@ -90,8 +124,4 @@ class Pieces:
             if pieces:
                 ids = [fresh[p] if found is None else found for p, found in zip(pieces, ids)]
             out.append(head + b"".join(ids) + tail)
-        if len(known) + len(fresh) > self.memory // 2:
-            self.older, self.known = known, {}
-        if len(fresh) <= self.memory // 2:
-            self.known.update(fresh)
         return out

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -79,11 +80,33 @@ def test_words_are_the_library(tokenizer):
 
 def test_long_texts_are_cut_at_single_spaces(monkeypatch, tokenizer):
     monkeypatch.setattr(pieces, "CHUNK", 17)
-    own = pieces.Pieces(packing.Words(WHOLE, PATTERN), memory=50)
+    own = pieces.Pieces(packing.Words(WHOLE, PATTERN), memory=5000)
     texts = odd_texts(1500, 3)
     whole = tokenizer.encode_batch(texts, add_special_tokens=False)
     assert [ids(i) for i in own.encode_all(texts)] == [w.ids for w in whole]
-    assert len(own.known) <= 50
+    assert 0 < len(own.memory.young) <= 25
+
+
+def test_memory_is_bounded_in_bytes():
+    """Unspaced texts, each a piece of its own, and many short ones."""
+    own = bpe.Bpe(bpe.read_ranks(RANKS), PATTERN, memory=1 << 20)
+    encoder = pieces.Pieces(own.encode_many, memory=1 << 20)
+    pick = random.Random(5)
+    for n in range(300):
+        encoder.encode_all(["".join(pick.choice("天地玄黄宇宙洪荒") for _ in range(2000)), " ".join(f"{n}x{k}" for k in range(300))])
+        for memory in (encoder.memory, own.encoded):
+            held = [sum(map(sys.getsizeof, [*part, *part.values()])) + sys.getsizeof(part) for part in (memory.young, memory.old)]
+            assert sum(held) <= 1 << 20 and memory.held <= memory.limit // 2
+            assert max(map(len, [*memory.young, *memory.old]), default=0) <= pieces.LONGEST
+
+
+def test_what_is_used_stays_remembered():
+    memory = pieces.Memory(20 * 1024)
+    for n in range(2000):
+        memory.put(f"rare {n}", b"1")
+        assert memory.get("often") == b"2" or not n
+        memory.put("often", b"2") if not n else None
+    assert memory.get("rare 1") is None and memory.get("rare 1999") == b"1"
 
 
 @settings(max_examples=60, deadline=None)
