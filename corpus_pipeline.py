@@ -14,8 +14,8 @@ from depotlake.llm import bpe, exact, mixing, near, toxicity
 from depotlake.llm.tables import Scratch, documents
 
 
-#: Pieces that a worker remembers in the last stage. Its workers serve the other stages, too.
-ENCODER_MEMORY = 200_000
+#: Bytes that a worker remembers in the last stage. Its workers serve the other stages, too.
+ENCODER_MEMORY = 80 << 20
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
