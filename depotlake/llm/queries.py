@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlake.llm import bpe, exact, fingerprints, infill, mixing, near, packing, passages, pii, secrets, toxicity
+from depotlake.llm import alignment, bpe, exact, fingerprints, infill, mixing, near, packing, passages, pii, secrets, toxicity
 from depotlake.llm.tables import Query, documents
 
 #: Only for this query; a real corpus has a secret key.
@@ -62,6 +62,11 @@ def op10_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return pii.replace_private(documents(spark, folder), PII_KEY)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_documents(documents(spark, folder), *paths, public_tokenizers.PATTERN)
+
+
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     made = infill.fill_in_middle(documents(spark, folder))
     text = infill.restored(made["output"], made["form"])
@@ -87,5 +92,6 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
