@@ -25,7 +25,7 @@ def _plain(value):
 def sorted_rows(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
     plain = [tuple(_plain(r[i]) for i in order) for r in rows]
-    return sorted(plain, key=lambda r: tuple((v is None, str(type(v)), v or 0) if v is not None else (True, "", 0) for v in r))
+    return sorted(plain, key=lambda r: tuple((False, str(type(v)), v) if v is not None else (True, "", 0) for v in r))
 
 
 KINDS = {
