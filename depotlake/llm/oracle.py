@@ -1,5 +1,7 @@
 """SQL for DuckDB of the queries that SQL can express, over the same tables."""
 
+from depotlake.llm import licenses
+
 _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 _ACCESS, _HEX, _RUN = "AKIA[A-Z0-9]{14,}", "[0-9a-f]{16,}", "[A-Za-z0-9+/_=-]{16,}"
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
@@ -228,11 +230,75 @@ SELECT doc_id, n, form,
 FROM parts
 """
 
+_LICENCES = (*licenses.BASE, *licenses.NOTICES)
+
+
+def _values(rows) -> str:
+    return "VALUES " + ", ".join(f"({', '.join(repr(v) for v in row)})" for row in rows)
+
+
+_LICENCE_WORDS = _values((n, q, w.decode()) for n, t in enumerate(_LICENCES) for q, w in enumerate(t.words))
+_LICENCE_LABELS = _values((n, t.label, len(t.words), len(t.phrases), int(t.base)) for n, t in enumerate(_LICENCES))
+_KEY_WORDS = _values((n, k, len(p), i, w.decode()) for n, t in enumerate(_LICENCES) for k, p in enumerate(t.phrases) for i, w in enumerate(p))
+
+LICENSE_SCANS = f"""
+WITH rows_ AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+    FROM documents
+), licence_words(t, q, word) AS ({_LICENCE_WORDS}
+), licences(t, label, size, phrases, base) AS ({_LICENCE_LABELS}
+), key_words(t, k, size, i, word) AS ({_KEY_WORDS}
+), postings AS MATERIALIZED (
+    SELECT r, p, word FROM (SELECT r, unnest(words) AS word, unnest(range(len(words))) AS p FROM rows_)
+    WHERE word IN (SELECT word FROM licence_words)
+), present AS MATERIALIZED (
+    SELECT DISTINCT r, word FROM postings
+), counts AS (
+    SELECT word, count(*) AS documents FROM present GROUP BY word
+), looked_up AS (
+    SELECT r, t FROM present JOIN (SELECT DISTINCT t, word FROM key_words) USING (word)
+    JOIN (SELECT t, count(DISTINCT word) AS needed FROM key_words GROUP BY t) USING (t)
+    GROUP BY r, t HAVING count(*) = any_value(needed)
+), rarest AS (
+    SELECT r, t, word FROM present JOIN (SELECT DISTINCT t, word FROM licence_words) USING (word) JOIN counts USING (word)
+    QUALIFY row_number() OVER (PARTITION BY r, t ORDER BY documents, word) <= {licenses.RARE}
+), candidates AS MATERIALIZED (
+    SELECT r, t, p - q AS start FROM rarest JOIN looked_up USING (r, t) JOIN postings USING (r, word) JOIN licence_words USING (t, word)
+    GROUP BY r, t, start HAVING count(*) >= {licenses.VOTES}
+), matched AS MATERIALIZED (
+    SELECT c.r, c.t, c.start, count(*) AS matched
+    FROM candidates c JOIN licence_words w USING (t) JOIN postings p ON p.r = c.r AND p.p = c.start + w.q AND p.word = w.word
+    GROUP BY c.r, c.t, c.start
+), phrases AS MATERIALIZED (
+    SELECT r, t, k, p - i AS s, any_value(size) AS size
+    FROM key_words JOIN (SELECT DISTINCT r, t FROM candidates) USING (t) JOIN postings USING (r, word)
+    GROUP BY r, t, k, s HAVING count(*) = any_value(size)
+), found AS MATERIALIZED (
+    SELECT m.r, label, m.start, m.matched, l.size, base
+    FROM matched m JOIN licences l USING (t)
+    WHERE CASE WHEN base = 1 THEN matched = l.size ELSE l.phrases = (
+        SELECT count(DISTINCT k) FROM phrases p WHERE p.r = m.r AND p.t = m.t
+        AND p.s BETWEEN m.start - {licenses.SLACK} AND m.start + l.size + {licenses.SLACK} - p.size) END
+), summed AS (
+    SELECT r, count(*) FILTER (WHERE base = 1) AS n_base, min(start) FILTER (WHERE base = 1) AS first_word,
+           max(start) FILTER (WHERE base = 1) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base = 1) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(matched / size) AS score
+    FROM found GROUP BY r
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM rows_ LEFT JOIN summed USING (r)
+"""
+
 ORACLE_SQL = {
     "op1_secret_scans": SECRET_SCANS,
     "op3_minhash_near_dedup": NEAR_DEDUP,
     "op4_source_mixing": SOURCE_MIXING,
     "op7_exact_dedup": EXACT_DEDUP,
     "op8_suffix_dedup": SUFFIX_DEDUP,
+    "op12_license_scans": LICENSE_SCANS,
     "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotlake.llm import alignment, bpe, exact, fingerprints, infill, mixing, near, packing, passages, pii, secrets, toxicity
+from depotlake.llm import alignment, bpe, exact, fingerprints, infill, licenses, mixing, near, packing, passages, pii, secrets, toxicity
 from depotlake.llm.tables import Query, documents
 
 #: Only for this query; a real corpus has a secret key.
@@ -67,6 +67,10 @@ def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align_documents(documents(spark, folder), *paths, public_tokenizers.PATTERN)
 
 
+def op12_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_labels(licenses.find_licenses(documents(spark, folder)))
+
+
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     made = infill.fill_in_middle(documents(spark, folder))
     text = infill.restored(made["output"], made["form"])
@@ -93,5 +97,6 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_pii_surrogates": op10_pii_surrogates,
     "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_license_scans": op12_license_scans,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
