@@ -681,6 +681,9 @@ for _name, _source in (
         "CAST(product_demand_trend AS DOUBLE)", "CAST(product_demand_trend AS BIGINT)"
     )
 
+# The published table, with its declared types.
+ORACLE_SQL["fact_published"] = _table("supply_chain_fact", "full_fact")
+
 # Keys are spread over tasks in other ways, the results are the same.
 for _name in ("fact_base", "fact_enhanced"):
     ORACLE_SQL[f"{_name}_spread"] = ORACLE_SQL[_name]
@@ -886,6 +889,7 @@ ORACLE_SQL |= {
         "warehouse_id, warehouse_name, warehouse_type, region, city", "src_warehouses"
     ),
     "scd2_merge": _with("SELECT * FROM merged"),
+    "scd2_published": _with("SELECT * FROM merged"),
     "scd2_as_of": _with(
         """SELECT * FROM merged
            WHERE '2024-02-01' BETWEEN effective_start_date AND effective_end_date"""

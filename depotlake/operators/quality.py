@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlake.functions.measures import clamp_unit
@@ -26,9 +26,13 @@ FILL_VALUES: dict[str, int | Decimal] = {
 }
 
 
+def null_counts(columns: Sequence[str] = CRITICAL_COLUMNS) -> list[Column]:
+    return [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
+
+
 def null_profile(df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS) -> DataFrame:
     """Number of NULLs of each column, in one pass; one row per column."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counts = df.agg(*null_counts(columns))
     return counts.unpivot([], list(columns), "column_name", "null_count")
 
 

@@ -40,32 +40,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    file_system, hadoop_path = _located(spark, path)
-    return file_system.exists(hadoop_path)
-
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A folder of its own, removed with all it holds when the application ends."""
+    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _remove_at_exit(spark, path)
+    return path
 
-def replace_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Put the written folder ``new`` in the place of ``path``.
 
-    The old folder is moved aside first and removed last, so one of the two is always there.
-    """
-    file_system, there = _located(spark, path)
-    aside = _located(spark, f"{path}__old")[1]
-    file_system.delete(aside, True)
-    if file_system.exists(there) and not file_system.rename(there, aside):
-        raise OSError(f"cannot move {path} aside")
-    if not file_system.rename(_located(spark, new)[1], there):
-        raise OSError(f"cannot move {new} to {path}")
-    file_system.delete(aside, True)
+def exists(spark: SparkSession, path: str) -> bool:
+    file_system, hadoop_path = located(spark, path)
+    return file_system.exists(hadoop_path)
 
 
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
-    file_system, hadoop_path = _located(spark, path)
+    file_system, hadoop_path = located(spark, path)
     file_system.deleteOnExit(hadoop_path)
 
 
-def _located(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path as it takes it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     configuration = spark._jsparkSession.sessionState().newHadoopConf()
     return hadoop_path.getFileSystem(configuration), hadoop_path

@@ -2,55 +2,53 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from depotlake.operators.fact import fact_base, order_lines, with_derived
-from depotlake.operators.history import DIMENSIONS, initial_load, merge_snapshot
+from depotlake.operators.history import DIMENSIONS, initial_load
 from depotlake.operators.kpis import (
     inventory_turnover,
     perfect_order_rate,
     run_summary,
+    summary_measures,
     supplier_scorecard,
     table_counts,
 )
 from depotlake.operators.marts import finance_team_mart, store_manager_mart, supply_chain_team_mart
 from depotlake.operators.quality import (
+    CRITICAL_COLUMNS,
     clean_fact,
     key_violations,
     length_violations,
-    null_profile,
+    null_counts,
     orphan_keys,
 )
 from depotlake.operators.running import (
-    CUSTOMER,
+    HISTORIES,
     LINE_ID,
-    PRODUCT,
-    SUPPLIER,
     History,
+    carried_totals,
     stored_lines,
+    totals_by_month,
     with_histories,
 )
 from depotlake.operators.skew import SkewPolicy
-from depotlake.operators.staging import exists, replace_folder
-from depotlake.plans.tables import (
-    PARTITIONED_BY,
-    declare_tables,
-    drop_table,
-    read_table,
-    save_table,
-    table_path,
-    write_parquet,
-)
+from depotlake.plans.dimensions import next_dimension
+from depotlake.plans.published import NextRun, Published, period_folders
+from depotlake.plans.tables import PARTITIONED_BY, check_periods, read_table, show_publication
 from depotlake.plans.views import create_views
 from depotlake.schemas import (
     FOREIGN_KEYS,
     LENGTH_LIMITS,
     PRIMARY_KEYS,
+    TABLE_FOLDERS,
     TABLES,
     columns,
     exact_fact,
@@ -90,8 +88,10 @@ def enhanced_fact(sources: Sources, policy: SkewPolicy = POLICY) -> DataFrame:
     return _with_all_columns(stored_lines(base_lines(sources, policy)), policy)
 
 
-def _with_all_columns(lines: DataFrame, policy: SkewPolicy) -> DataFrame:
-    followed = with_histories(lines, CUSTOMER, SUPPLIER, PRODUCT, policy=policy)
+def _with_all_columns(
+    lines: DataFrame, policy: SkewPolicy, carried: DataFrame | None = None
+) -> DataFrame:
+    followed = with_histories(lines, *HISTORIES, policy=policy, carried=carried)
     names = [name for name, _ in columns(TABLES["supply_chain_fact"])]
     return followed.transform(with_derived).select(*names)
 
@@ -150,9 +150,24 @@ def source_checks(sources: Sources) -> dict[str, DataFrame]:
     }
 
 
+#: What each key of each history has added up in each month, so that a later run can go on from there.
+STATE = "history_totals"
+STATE_KEYS = ["order_year", "order_month"]
+STATE_COLUMNS = (
+    "__history string, __key bigint, __lines bigint, __sum_order_value decimal(31,2),"
+    " __sum_delivery_time_days bigint, __sum_order_quantity bigint, __num_delivery_time_days bigint,"
+    " __hit_is_late_delivery bigint, order_year int, order_month int"
+)
+#: Folders of everything a publication has.
+FOLDERS = {**TABLE_FOLDERS, STATE: STATE}
+
+
 @dataclass(frozen=True)
 class Warehouse:
-    """The written tables, and the indicators that are computed from them on demand."""
+    """The published tables, and the indicators that are computed from them on demand.
+
+    Where the run wrote all lines, ``summary`` and the null profile were measured while it wrote.
+    """
 
     tables: dict[str, DataFrame]
     perfect_order_rate: DataFrame
@@ -160,6 +175,7 @@ class Warehouse:
     summary: DataFrame
     counts: DataFrame
     quality: dict[str, DataFrame]
+    published: Published
 
     @property
     def fact(self) -> DataFrame:
@@ -175,57 +191,107 @@ def build_warehouse(
     run_time: datetime,
     database: str | None = None,
     policy: SkewPolicy = POLICY,
+    since: date | None = None,
 ) -> Warehouse:
-    """Write the eight tables under ``root``, and register them when a database is named.
-
-    The fact is computed once. Marts and indicators read the columns they need back from it.
-    Dimensions that are there already take in the sources as their next snapshot; a second run on
-    a day replaces the first. With a database, both views are created as well. ``quality`` has the
-    null profile of the lines, and what breaks the declared keys, references and lengths.
+    """Write the eight tables under ``root`` and publish them together (see ``published``).
+
+    Readers see the last publication until all tables of this one are there; a build that fails
+    leaves it as it was. The fact is computed once. Marts and indicators read the columns they need
+    back from it. Dimensions take in the sources as their next snapshot and write the changes only; a
+    second run on a day replaces the first, and a day before the last run is an error. With a
+    database, its tables and both views show the new publication afterwards. ``quality`` has the null
+    profile of the lines, and what breaks the declared keys, references and lengths.
+
+    ``since`` says that orders changed from that day on only. Then the lines of its month and all
+    later ones are computed, going on from what each key had reached before; earlier months stay as
+    they are published, with the names and stock levels of their time.
     """
+    run = NextRun(spark, root, run_date, FOLDERS)
+    if STATE not in run.before.folders:
+        since = None
+    missing, summary = Observation(), Observation()
+    carried = None
+    if since is not None:
+        first = since.replace(day=1)
+        sources = sources.replace(orders=sources["orders"].filter(F.col("order_date") >= F.lit(first)))
+        for name in ("supply_chain_fact", STATE):
+            run.keep(name, period_folders(run.before.folders[name], first))
+        carried = carried_totals(_read_state(run), first)
+
+    base = base_lines(sources, policy)
+    lines = stored_lines(base.observe(missing, *null_counts()))
+    clean = _with_all_columns(lines, policy, carried).transform(clean_fact)
+    keys = PARTITIONED_BY["supply_chain_fact"]
+    # few files for each period, none too large; measured after the shuffle, where no task counts twice
+    rows = clean.hint("rebalance", *keys).observe(summary, *summary_measures())
+    run.write(to_table(rows, "supply_chain_fact"), "supply_chain_fact", keys)
+    run.write(totals_by_month(lines, *HISTORIES).hint("rebalance", *STATE_KEYS), STATE, STATE_KEYS)
+
+    for d in DIMENSIONS.values():
+        next_dimension(run, d, sources[d.source], run_time)
+    fact = exact_fact(_in_order(run.read("supply_chain_fact", _schema("supply_chain_fact")), "supply_chain_fact"))
+    changed = fact
+    if since is not None:  # whole years, as the marts are kept by year
+        changed = fact.filter(F.col("order_year") >= since.year)
+    for table, mart in business_marts(changed).items():
+        if since is not None:
+            run.keep(table, period_folders(run.before.folders[table], since.replace(month=1, day=1)))
+        keys = PARTITIONED_BY[table]
+        run.write(to_table(mart, table).hint("rebalance", *keys), table, keys)
+    run.write(to_table(supplier_scorecard(fact), "supplier_scorecard"), "supplier_scorecard")
+    published = run.publish()
 
-    def save(df: DataFrame, table: str) -> DataFrame:
-        path, keys = table_path(root, table), PARTITIONED_BY.get(table, [])
-        rows = to_table(df, table)
-        if keys:
-            rows = rows.hint("rebalance", *keys)  # few files for each period, none too large
-        if database is None:
-            write_parquet(rows, path, partition_by=keys)
-        else:
-            save_table(rows, table, path, database, partition_by=keys)
-        return read_table(spark, root, table)
-
-    def save_dimension(name: str) -> DataFrame:
-        d, path = DIMENSIONS[name], table_path(root, f"{name}_dim")
-        snapshot = sources[d.source]
-        if exists(spark, path):
-            known = read_table(spark, root, d.table)
-            rows = merge_snapshot(known, snapshot, d.keys, d.tracked, run_date, run_time)
-        else:
-            rows = initial_load(snapshot, d.keys, d.tracked, run_date, run_time)
-        write_parquet(to_table(rows, d.table), f"{path}__next")
-        replace_folder(spark, f"{path}__next", path)
-        if database is not None:
-            drop_table(spark, d.table, database)
-            declare_tables(spark, root, database, [d.table])
-        return read_table(spark, root, d.table)
-
-    lines = stored_lines(base_lines(sources, policy))
-    fact_rows = _with_all_columns(lines, policy).transform(clean_fact)
-    tables = {"supply_chain_fact": save(fact_rows, "supply_chain_fact")}
-    for name in DIMENSIONS:
-        tables[f"{name}_dim"] = save_dimension(name)
-    fact = exact_fact(tables["supply_chain_fact"])
-    for table, frame in business_marts(fact).items():
-        tables[table] = save(frame, table)
-    tables["supplier_scorecard"] = save(supplier_scorecard(fact), "supplier_scorecard")
     if database is not None:
+        show_publication(spark, root, database)
         create_views(spark, database)
+    tables = {table: read_table(spark, root, table, published) for table in TABLES}
+    fact = exact_fact(tables["supply_chain_fact"])
+    measured = run_summary(fact)
+    if since is None:
+        measured = spark.createDataFrame([tuple(summary.get[c] for c in measured.columns)], measured.schema)
+    counts = [(name, missing.get[name]) for name in CRITICAL_COLUMNS]
     return Warehouse(
         tables=tables,
         perfect_order_rate=perfect_order_rate(fact),
         inventory_turnover=inventory_turnover(fact),
-        summary=run_summary(fact),
+        summary=measured,
         counts=table_counts(tables),
-        quality={"null_profile": null_profile(lines), **source_checks(sources)},
+        quality={
+            "null_profile": spark.createDataFrame(counts, "column_name string, null_count bigint"),
+            **source_checks(sources),
+        },
+        published=published,
     )
+
+
+def _schema(table: str) -> T.StructType:
+    return T.StructType.fromDDL(TABLES[table])
+
+
+def _in_order(df: DataFrame, table: str) -> DataFrame:
+    return df.select(*[name for name, _ in columns(TABLES[table])])
+
+
+def _read_state(run: NextRun) -> DataFrame:
+    """The totals by month that the run goes on from."""
+    return run.read(STATE, T.StructType.fromDDL(STATE_COLUMNS)).drop("run")
+
+
+def replace_periods(
+    spark: SparkSession, root: str, table: str, df: DataFrame, run_date: date, periods: Iterable[Sequence[int]] | None = None
+) -> Published:
+    """Publish a table with the periods that ``df`` has replaced; all else stays as published.
+
+    With ``periods`` (values of the table's partition columns), rows of any other period are an
+    error, and periods that ``df`` has no rows of become empty.
+    """
+    keys = PARTITIONED_BY[table]
+    if periods is not None:
+        check_periods(df, keys, periods)
+    run = NextRun(spark, root, run_date, FOLDERS)
+    written = run.write(to_table(df, table), table, keys)
+    named = {"/".join(f"{key}={value}" for key, value in zip(keys, p)) for p in periods or ()}
+    replaced = named | {folder.split("/", 1)[1] for folder in written}
+    for name, folders in run.before.folders.items():
+        run.keep(name, [f for f in folders if name != table or f.split("/", 1)[1] not in replaced])
+    return run.publish()
