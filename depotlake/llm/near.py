@@ -12,27 +12,33 @@ Links. Documents that share a key are linked where their whole sets are similar
 copies may be large, so pairs are never listed. In each key one member is the hub, and the others
 are compared to it first: what is within DISTANCE of its hub is one near group, and what the exact
 sets confirm is one component. Left are two kinds of pairs between components.
-Members of different near groups that share a key: the join compares signatures itself and gives
-the few pairs within DISTANCE. In each key, only members outside its largest near group are joined.
+Members of different near groups that share a key: a key has one row for each near group, so a large
+group of copies counts once. Single documents are compared by the join itself, which gives the few
+pairs within DISTANCE; two groups are compared once, whatever number of keys they share, by blocks.
 Members of one near group: pairs of blocks of at most BLOCK documents, but for two blocks of one
 large component. Each pair of blocks gives a spanning forest of its links.
 So every pair within DISTANCE that could change a component is checked on its whole sets, without
 a task that holds a whole group.
+
+Candidates are found by hashes of words; links are confirmed on the words themselves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotlake.llm.components import components
 from depotlake.llm.tables import Scratch, keep_rows, row_key, same_row
-from depotlake.llm.words import batches, buffer, mix, shingles, word_hashes
+from depotlake.llm.words import batches, mix, shingles
 
 WIDTH = 5
 #: Least similarity of linked documents, in hundredths.
@@ -67,12 +73,39 @@ def signature(shingle_set: np.ndarray) -> np.ndarray:
     return (mix(least) >> np.uint64(64 - SYMBOL_BITS)).astype("<u2")
 
 
+class _WordHashes(dict):
+    """64-bit hashes of words, by the word."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 def shingle_sets(text: pa.Array, width: int) -> Iterator[np.ndarray]:
-    """The set of each text of a large_binary column, as sorted hashes. Letters A-Z count as a-z."""
-    data, offsets = buffer(text)
-    hashes, begins = shingles(*word_hashes(data, offsets, lower=True), width)
+    """The set of each text of a binary column, as sorted hashes. Letters A-Z count as a-z."""
+    words = [t.lower().split() for t in text.to_pylist()]  # of bytes: ASCII letters and white space only
+    known = _WordHashes()
+    hashes = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.uint64)
+    found, begins = shingles(hashes, np.cumsum([0, *map(len, words)]), width)
     for start, end in zip(begins[:-1], begins[1:]):
-        yield np.unique(hashes[start:end])
+        yield np.unique(found[start:end])
+
+
+def exact_sets(texts: Sequence[bytes], width: int) -> list[np.ndarray]:
+    """The set of each text as sorted numbers; two shingles have one number if their words are equal."""
+    known: dict[bytes, int] = {}
+    words = [[known.setdefault(w, len(known)) for w in t.lower().split()] for t in texts]
+    none = len(known)  # fills up the only shingle of a short text
+    words = [w + [none] * (width - len(w)) if 0 < len(w) < width else w for w in words]
+    flat = np.fromiter(chain.from_iterable(words), np.int64)
+    counts = np.array([max(len(w) - width + 1, 0) for w in words], np.int64)
+    firsts = np.cumsum([0, *map(len, words)])[:-1]
+    ends = np.cumsum(counts)
+    at = np.arange(counts.sum()) + np.repeat(firsts - (ends - counts), counts)
+    numbers = flat[at]
+    for k in range(1, width):  # both factors are below 2**31
+        numbers = np.unique(numbers * (none + 1) + flat[at + k], return_inverse=True)[1]
+    return [np.unique(numbers[end - count : end]) for end, count in zip(ends, counts)]
 
 
 SKETCH = [("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("signature", pa.binary())]
@@ -88,16 +121,22 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             for batch in batches(whole):
                 rows = []
                 for found in shingle_sets(batch.column(2), width):
-                    names = [int(mix(found + np.uint64(salt)).sum().astype(np.int64)) for salt in (0, 0x5851F42D4C957F2D)]
-                    rows.append((len(found), *names, signature(found).tobytes() if len(found) else b""))
+                    name = np.frombuffer(hashlib.blake2b(found, digest_size=16).digest(), "<i8").tolist()
+                    rows.append((len(found), *name, signature(found).tobytes() if len(found) else b""))
                 columns = [pa.array(values, kind_of) for values, (_, kind_of) in zip(zip(*rows), SKETCH)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "text_key", *[n for n, _ in SKETCH]])
 
     return named.mapInArrow(run, f"doc_id {kind}, text_key long, n_shingles long, set_a long, set_b long, signature binary")
 
 
-def chunk_keys(nodes: DataFrame) -> DataFrame:
-    """key and node: for each chunk of a node's signature and each symbol left out of it."""
+def chunk_keys(
+    nodes: DataFrame, column: str, only: np.ndarray | None = None, without: np.ndarray | None = None, hubs: np.ndarray | None = None
+) -> DataFrame:
+    """key and a column of the node: for each chunk of its signature and each symbol left out of it.
+
+    ``only`` and ``without`` are sorted keys to take or to leave out. With ``hubs``, one for each key of
+    ``only``, the hub stands in the place of the key.
+    """
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in given:
@@ -112,25 +151,41 @@ def chunk_keys(nodes: DataFrame) -> DataFrame:
                         if place != left_out:
                             key = mix(key * np.uint64(0x9FB21C651E98DF25) + symbols[:, place])
                     keys[:, left_out] = key
-                node = np.repeat(batch.column(0).to_numpy(), SYMBOLS)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).astype(np.int64)), pa.array(node)], ["key", "node"])
-
-    return nodes.where(F.col("n") >= LEAST_SET).select("node", "signature").mapInArrow(run, "key long, node long")
+                key, node = keys.reshape(-1).astype(np.int64), np.repeat(batch.column(0).to_numpy(), SYMBOLS)
+                for chosen, wanted in ((only, True), (without, False)):
+                    if chosen is not None:
+                        kept = np.isin(key, chosen) == wanted
+                        key, node = key[kept], node[kept]
+                shown = key if hubs is None else hubs[np.searchsorted(only, key)]
+                yield pa.RecordBatch.from_arrays([pa.array(shown), pa.array(node)], ["key", column])
 
+    return nodes.where(F.col("n") >= LEAST_SET).select(column, "signature").mapInArrow(run, f"key long, {column} long")
 
-def shared_keys(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of chunk_keys whose key several nodes have.
 
-    Keys are grouped in one shuffle. Hot keys, found in a sample of nodes, go around it: that they
-    are shared is known. At most SYMBOLS / HOT_SHARE keys can be hot.
-    """
+def hot_keys(nodes: DataFrame) -> np.ndarray:
+    """Keys that many nodes have, found in a sample of nodes; sorted, SYMBOLS / HOT_SHARE at most."""
     sample = nodes.where(F.pmod(F.xxhash64("node"), F.lit(HOT_SAMPLE)) == 0)
     least = max(HOT_LEAST, int(HOT_SHARE * sample.count()))
-    hot = scratch.put(chunk_keys(sample).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("key"), "hot-keys")
-    keys, some_hot = chunk_keys(nodes), not hot.isEmpty()
-    cold = keys.join(F.broadcast(hot), "key", "left_anti") if some_hot else keys
-    together = cold.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("members > 1").select("key", "node")
-    return together.unionByName(keys.join(F.broadcast(hot), "key", "left_semi")) if some_hot else together
+    found = chunk_keys(sample, "node").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    return np.sort(np.array([r["key"] for r in found.select("key").collect()], np.int64))
+
+
+def hub_pairs(nodes: DataFrame, hot: np.ndarray) -> DataFrame:
+    """(a, b), distinct: a is the hub of a key that b has as well.
+
+    Keys are grouped in one shuffle. Hot keys go around it: their hubs are found by combining in each
+    task, and each node looks them up.
+    """
+    rank = F.struct(F.xxhash64("node").alias("rank"), "node")
+    of_key = Window.partitionBy("key")
+    cold = chunk_keys(nodes, "node", without=hot).select("node", F.min(rank).over(of_key).alias("hub"))
+    pairs = cold.select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+    if len(hot):
+        hubs = chunk_keys(nodes, "node", only=hot).groupBy("key").agg(F.min(rank).alias("hub"))
+        of_hot = {r["key"]: r["hub"]["node"] for r in hubs.collect()}
+        found = chunk_keys(nodes, "node", only=hot, hubs=np.array([of_hot[k] for k in hot.tolist()], np.int64))
+        pairs = pairs.unionByName(found.select(F.col("key").alias("a"), F.col("node").alias("b")))
+    return pairs.where("a <> b").distinct()
 
 
 class _Block:
@@ -178,9 +233,10 @@ def _linked(table: pa.Table, width: int) -> pa.Table:
     candidates = list(_candidates(a, b, same))
     links: list[tuple[int, int]] = []
     if candidates:
-        needed_b = np.unique(np.concatenate([rows for _, rows in candidates]))
-        sets_a = _sets(first, [i for i, _ in candidates], width)
-        sets_b = _sets(second, needed_b.tolist(), width)
+        needed_a, needed_b = [i for i, _ in candidates], np.unique(np.concatenate([rows for _, rows in candidates]))
+        texts = [*first["text"].take(pa.array(needed_a)).to_pylist(), *second["text"].take(pa.array(needed_b)).to_pylist()]
+        sets = exact_sets(texts, width)
+        sets_a, sets_b = dict(zip(needed_a, sets)), dict(zip(needed_b.tolist(), sets[len(needed_a) :]))
         words, ids = np.unique(np.concatenate([sets_b[int(j)] for j in needed_b]), return_inverse=True)
         ends = np.cumsum([len(sets_b[int(j)]) for j in needed_b])
         of = {int(j): ids[end - len(sets_b[int(j)]) : end] for j, end in zip(needed_b, ends)}
@@ -200,12 +256,6 @@ def _linked(table: pa.Table, width: int) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
-def _sets(table: pa.Table, rows: list[int], width: int) -> dict[int, np.ndarray]:
-    batch = pa.RecordBatch.from_arrays([table["text"].take(pa.array(rows)).combine_chunks()], ["text"])
-    found = (s for part in batches(batch) for s in shingle_sets(part.column(0), width))
-    return dict(zip(rows, found))
-
-
 def _compatible(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= SIMILARITY * F.greatest(a, b)
 
@@ -230,12 +280,10 @@ def link_nodes(nodes: DataFrame, texts_of, width: int, scratch: Scratch) -> Data
 
     texts_of gives node and text for a table of nodes.
     """
-    shared = scratch.put(shared_keys(nodes, scratch), "shared-keys")
-    # tables of a row for each key or hub are stored, so that Spark can split the many rows they are joined to
-    hubs = scratch.put(shared.groupBy("key").agg(F.min(F.struct(F.xxhash64("node").alias("rank"), "node")).alias("hub")), "hubs")
-    stars = shared.join(hubs, "key").select(F.col("hub.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
+    hot = hot_keys(nodes)
+    stars = scratch.put(hub_pairs(nodes, hot), "hub-pairs")
     near = scratch.put(_near_pairs(stars, nodes), "near-hubs")
-    members = shared.select("node").distinct()
+    members = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     some = nodes.join(members, "node", "left_semi")
     texts = scratch.put(texts_of(some), "texts")
     full = scratch.put(some.select("node", "n", "signature").join(texts, "node"), "members")
@@ -247,7 +295,8 @@ def link_nodes(nodes: DataFrame, texts_of, width: int, scratch: Scratch) -> Data
     placed = full.select("node", "n", "signature").join(groups, "node", "left").join(linked, "node", "left")
     placed = placed.select("node", "n", "signature", F.coalesce("near_group", "node").alias("near_group"), F.coalesce("component", "node").alias("component"))
     placed = scratch.put(placed, "placed")
-    across = scratch.put(_pairs_across(shared, placed, scratch), "pairs-across")
+    scratch.drop("hub-pairs", "near-hubs")
+    across = scratch.put(_pairs_across(placed, hot, scratch), "pairs-across")
     second = scratch.put(_star_links(across, full, width, scratch, "across"), "links-across")
     third = _block_links(placed.drop("n", "signature"), full, width, scratch)
     return first.unionByName(second).unionByName(third)
@@ -275,22 +324,50 @@ def _differing(a: Column, b: Column) -> Column:
     return F.aggregate(places, F.lit(0), lambda count, i: count + F.when(symbol(a, i) == symbol(b, i), 0).otherwise(1))
 
 
-def _pairs_across(shared: DataFrame, placed: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) within DISTANCE that share a key, in different near groups and components."""
-    rows = shared.join(placed.select("node", "near_group"), "node")
-    held = rows.groupBy("key", "near_group").agg(F.count(F.lit(1)).alias("members"))
-    largest = held.groupBy("key").agg(F.count(F.lit(1)).alias("groups"), F.max(F.struct("members", "near_group")).alias("largest"))
-    several = scratch.put(largest.where("groups > 1").select("key", F.col("largest.near_group").alias("largest")), "several-groups")
-    full = rows.join(several, "key").drop("near_group").join(placed, "node")
-    one, two = (
-        full.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "signature", "near_group", "component")], (F.col("near_group") == F.col("largest")).alias(f"in_largest_{side}"))
+def _pairs_across(placed: DataFrame, hot: np.ndarray, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) within DISTANCE in different near groups and components, of groups that share a key."""
+    of_key = Window.partitionBy("key")
+    cold = chunk_keys(placed, "near_group", without=hot).distinct()
+    several = cold.withColumn("groups", F.count(F.lit(1)).over(of_key)).where("groups > 1").select("key", "near_group")
+    if len(hot):
+        several = several.unionByName(chunk_keys(placed, "near_group", only=hot).distinct())
+    several = scratch.put(several, "several-groups")
+    one_of = F.first(F.struct("node", "n", "signature", "component")).alias("one")
+    groups = scratch.put(placed.groupBy("near_group").agg(F.count(F.lit(1)).alias("members"), one_of), "near-groups")
+    rows = several.join(groups, "near_group")
+    sides = [
+        rows.select("key", F.col("near_group").alias(f"group_{side}"), (F.col("members") == 1).alias(f"single_{side}"), F.col("one").alias(f"one_{side}"))
         for side in "ab"
-    )
-    different = (F.col("near_group_a") != F.col("near_group_b")) & (F.col("component_a") != F.col("component_b"))
-    once = F.col("in_largest_b") | (F.col("node_a") < F.col("node_b"))
-    close = _differing(F.col("signature_a"), F.col("signature_b")) <= DISTANCE
-    pairs = one.where("not in_largest_a").join(two, "key").where(different & once & _compatible(F.col("n_a"), F.col("n_b")) & close)
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    ]
+    close = _differing(F.col("one_a.signature"), F.col("one_b.signature")) <= DISTANCE
+    single = F.col("single_a") & F.col("single_b")
+    allowed = ~single | (_compatible(F.col("one_a.n"), F.col("one_b.n")) & (F.col("one_a.component") != F.col("one_b.component")) & close)
+    pairs = sides[0].join(sides[1], "key").where((F.col("group_a") < F.col("group_b")) & allowed)
+    pairs = scratch.put(pairs.select("group_a", "group_b", single.alias("single"), F.col("one_a.node").alias("a"), F.col("one_b.node").alias("b")).distinct(), "group-pairs")
+    return pairs.where("single").select("a", "b").unionByName(_pairs_of_groups(pairs.where("not single").select("group_a", "group_b"), placed, scratch))
+
+
+def _pairs_of_groups(pairs: DataFrame, placed: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of nodes within DISTANCE, in different components, of pairs of near groups."""
+    used = pairs.select(F.explode(F.array("group_a", "group_b")).alias("near_group")).distinct()
+    some = scratch.put(placed.join(used, "near_group", "left_semi"), "compared")
+    blocks = some.groupBy("near_group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = some.join(blocks, "near_group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    held = dealt.groupBy("near_group", "block").agg(F.collect_list(F.struct("node", "n", "component", "signature")).alias("rows"))
+    held = scratch.put(held, "compared-blocks")  # of about BLOCK nodes each
+    left, right = (held.select(F.col("near_group").alias(f"group_{side}"), F.col("rows").alias(f"rows_{side}")) for side in "ab")
+    both = pairs.join(left, "group_a").join(right, "group_b").select("rows_a", "rows_b")
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in given:
+            for one, two in zip(batch.column(0), batch.column(1)):
+                a, b = (_Block(pa.Table.from_struct_array(rows.values)) for rows in (one, two))
+                found = list(_candidates(a, b, False))
+                pairs_a = np.repeat(a.node[[i for i, _ in found]], [len(rows) for _, rows in found])
+                pairs_b = np.concatenate([b.node[rows] for _, rows in found]) if found else pairs_a
+                yield pa.RecordBatch.from_arrays([pa.array(pairs_a), pa.array(pairs_b)], ["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long")
 
 
 def _block_links(placed: DataFrame, full: DataFrame, width: int, scratch: Scratch) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from corpora import as_rows, edge_docs, edge_rows, empty_docs
 
@@ -105,3 +106,65 @@ def test_chain_of_links(spark, tmp_path):
     found = dict(components(df, Scratch(spark, "test"), "chain").collect())
     assert found == {**dict.fromkeys(range(61), 0), 90: 90, 95: 90, 100: 90}
     assert components(df.limit(0), Scratch(spark, "test"), "none").count() == 0
+
+
+def complement_words(rounds=10):
+    """Two words of 2**rounds letters whose sums of letter times power are equal for any odd base, modulo 2**64."""
+    one, two = "a", "b"
+    for _ in range(rounds):
+        one, two = one + two, two + one
+    return one, two
+
+
+def test_words_that_collide_in_polynomial_hashes(spark):
+    one, two = complement_words(11)
+    rows = [(1, f"{one} x y"), (2, f"{two} x y"), (3, one), (4, two), (5, f"{one}  x\ty")]
+    found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2)
+    assert {r.doc_id: r.component_id for r in found.collect()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_links_are_confirmed_on_words(monkeypatch):
+    """Also where the hashes of all words are equal."""
+    monkeypatch.setattr(near.xxhash, "xxh3_64_intdigest", lambda word: 7)
+    texts = [b"a b c d e f g", b"a b c d e f g h", b"p q r s t u v", b"", b"a", b"a a a"]
+    sets = near.exact_sets(texts, 2)
+    assert [len(s) for s in sets] == [6, 7, 6, 0, 1, 1]
+    assert len(np.intersect1d(sets[0], sets[1])) == 6 and not len(np.intersect1d(sets[0], sets[2]))
+    assert sets[4].tolist() != sets[5].tolist()
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 5])
+def test_exact_sets(width):
+    pick = random.Random(width)
+    texts = [" ".join(pick.choice("aAbc") for _ in range(pick.randrange(12))) for _ in range(60)]
+    sets = near.exact_sets([t.encode() for t in texts], width)
+    for a, left in zip(texts, sets):
+        for b, right in zip(texts, sets):
+            assert len(np.intersect1d(left, right)) == len(shingle_set(a, width) & shingle_set(b, width))
+
+
+@pytest.mark.parametrize("hot_keys", [0, 40])
+def test_pairs_across_groups(spark, monkeypatch, hot_keys):
+    """Groups whose members are within the distance, single nodes too; all pairs compared here."""
+    monkeypatch.setattr(near, "BLOCK", 4)
+    pick = np.random.default_rng(3)
+    base = pick.integers(0, 1 << 16, near.SYMBOLS)
+    rows = []
+    for node in range(90):
+        symbols = base.copy()
+        changed = pick.choice(near.SYMBOLS, pick.integers(0, 45), replace=False)
+        symbols[changed] = pick.integers(0, 1 << 16, len(changed))
+        group = int(node if node % 3 else node % 5)
+        rows.append((node, int(pick.integers(10, 14)), symbols.astype("<u2").tobytes(), group, int(group if node % 7 else -1)))
+    placed = spark.createDataFrame(rows, "node long, n long, signature binary, near_group long, component long")
+    keys = sorted({r["key"] for r in near.chunk_keys(placed, "node").collect()})
+    hot = np.array(sorted(pick.choice(keys, hot_keys, replace=False).tolist()), np.int64)
+    found = near._pairs_across(placed, hot, Scratch(spark, "test")).collect()
+    signatures = {r[0]: np.frombuffer(r[2], "<u2") for r in rows}
+    wanted = set()
+    for a, n_a, _, group_a, c_a in rows:
+        for b, n_b, _, group_b, c_b in rows:
+            close = (signatures[a] != signatures[b]).sum() <= near.DISTANCE
+            if a < b and group_a != group_b and c_a != c_b and close and 100 * min(n_a, n_b) >= 80 * max(n_a, n_b):
+                wanted.add((a, b))
+    assert {tuple(sorted((r.a, r.b))) for r in found} == wanted and len(wanted) > 100
