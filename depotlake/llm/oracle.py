@@ -131,24 +131,31 @@ SELECT sets.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, s
 FROM sets JOIN (SELECT start AS doc_id, min(node) AS component_id FROM reached GROUP BY start) USING (doc_id)
 """
 
-SUFFIX_DEDUP = """
-WITH docs AS (
-    SELECT doc_id, hex(encode(coalesce(text, ''))) AS bytes, octet_length(encode(coalesce(text, ''))) AS n FROM documents
-), strings AS MATERIALIZED (
-    SELECT doc_id, start, md5_number(substr(bytes, 2 * start + 1, 800)) AS string
-    FROM (SELECT doc_id, bytes, unnest(range(0, greatest(n - 399, 0))) AS start FROM docs)
-), repeated AS (
-    SELECT doc_id, start FROM strings
-    WHERE string IN (SELECT string FROM strings GROUP BY string HAVING count(*) > 1)
-), marked AS (
+
+def _spans(length: int, name: str) -> str:
+    """Maximal runs of the bytes that repeated strings of a length cover."""
+    return f"""
+strings_{name} AS MATERIALIZED (
+    SELECT doc_id, start, md5_number(substr(bytes, 2 * start + 1, {2 * length})) AS string
+    FROM (SELECT doc_id, bytes, unnest(range(0, greatest(n - {length - 1}, 0))) AS start FROM docs)
+), repeated_{name} AS (
+    SELECT doc_id, start FROM strings_{name}
+    WHERE string IN (SELECT string FROM strings_{name} GROUP BY string HAVING count(*) > 1)
+), marked_{name} AS (
     SELECT doc_id, start,
-           CASE WHEN start <= lag(start) OVER (PARTITION BY doc_id ORDER BY start) + 400 THEN 0 ELSE 1 END AS new
-    FROM repeated
-), spans AS MATERIALIZED (
-    SELECT doc_id, min(start) AS a, max(start) + 400 AS b
-    FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM marked)
+           CASE WHEN start <= lag(start) OVER (PARTITION BY doc_id ORDER BY start) + {length} THEN 0 ELSE 1 END AS new
+    FROM repeated_{name}
+), {name} AS MATERIALIZED (
+    SELECT doc_id, min(start) AS a, max(start) + {length} AS b
+    FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM marked_{name})
     GROUP BY doc_id, run
-), pieces AS (
+)"""
+
+
+SUFFIX_DEDUP = f"""
+WITH docs AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS bytes, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), {_spans(400, "spans")}, {_spans(250, "shorter")}, pieces AS (
     SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
     UNION ALL
     SELECT doc_id, coalesce(max(spans.b), 0), any_value(n) FROM docs LEFT JOIN spans USING (doc_id) GROUP BY doc_id
@@ -157,10 +164,13 @@ WITH docs AS (
     FROM pieces JOIN docs USING (doc_id) GROUP BY doc_id
 ), removed AS (
     SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id
+), counted AS (
+    SELECT doc_id, sum(b - a) AS n_repeated FROM shorter GROUP BY doc_id
 )
 SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
-       coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept.bytes)) AS kept_sha256
-FROM docs JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept.bytes)) AS kept_sha256,
+       CAST(coalesce(n_repeated, 0) AS BIGINT) AS n_repeated
+FROM docs JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id) LEFT JOIN counted USING (doc_id)
 """
 
 SOURCE_MIXING = r"""

@@ -1,7 +1,8 @@
 """Repeated byte strings of LENGTH: column-wise construction over many strings at once.
 
 Removed is each byte that a LENGTH-byte string covers which starts at another place too, in any
-document. The work is dealt out by anchors. The anchor of a string is the place of the least hash of
+document. The same rounds also find repeated strings of SHORTER bytes (some 50 words), which are
+counted only. The work is dealt out by anchors. The anchor of a string is the place of the least hash of
 eight bytes among its first SPREAD places, so equal strings have their anchors at the same distance.
 The places that share an anchor make one segment, and a segment's key is a hash of the bytes that
 all its strings hold. Only segments whose key occurs again can hold repeated strings.
@@ -20,20 +21,22 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotlake.llm.tables import Scratch, row_key
-from depotlake.llm.words import batches, buffer, mix, prefix_hash, span_hash
+from depotlake.llm.words import batches, buffer, prefix_hash, span_hash
 
 LENGTH = 400
+#: Repeated strings of so many bytes are counted.
+SHORTER = 250
 #: Places among which a string's anchor is chosen.
-SPREAD = 256
+SPREAD = 192
 GRAM = 8
 #: Places looked at in one piece of a long text.
 PIECE = 1 << 20
@@ -44,21 +47,22 @@ IN_MEMORY = 256_000_000
 #: Keys with more different segments are dealt anew by PART places of the string's start, under longer keys.
 MANY_SEGMENTS, PART = 2000, 32
 #: Groups that still have more different parts are dealt anew by fewer places, at last by single strings.
-SHORTER = (8, 1)
+FEWER_PLACES = (8, 1)
 #: A key is hot if this part of a sample of documents has it, and HOT_LEAST of them; one in HOT_SAMPLE is looked at.
 HOT_SHARE, HOT_LEAST, HOT_SAMPLE, SALTS = 0.01, 10, 50, 1024
 
 _HASH_PLACE = np.uint64((1 << 22) - 1)
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int, spread: int) -> tuple[np.ndarray, ...]:
-    """Row, first place, last place, anchor, key and segment hash of the segments of some rows, places in data."""
+def anchors(data: np.ndarray, offsets: np.ndarray, shorter: int, spread: int, most: int) -> tuple[np.ndarray, ...]:
+    """Row, first place, last place, anchor and key of the segments of some rows, places in data; of strings that start below most."""
     n = len(data)
     row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    starts = np.flatnonzero(np.arange(n) + length <= offsets[1:][row_of]) if n else np.zeros(0, np.int64)
+    starts = np.flatnonzero(np.arange(n) + shorter <= offsets[1:][row_of]) if n else np.zeros(0, np.int64)
+    starts = starts[starts < most]
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return none, none, none, none, none, none
+        return none, none, none, none, none
     prefix = prefix_hash(data)
     grams = np.full(-(-n // spread) * spread + spread, np.uint64(2**64 - 1))
     places = np.arange(n - GRAM + 1)
@@ -71,13 +75,23 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, spread: int) ->
     new = np.flatnonzero((np.diff(anchor, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
     low, high = starts[new], starts[np.append(new[1:], len(starts)) - 1]
     anchor = anchor[new]
-    key = span_hash(prefix, anchor, anchor + length - spread + 1)
-    whole = span_hash(prefix, low, high + length) ^ mix((anchor - low).astype(np.uint64))
-    return row[new], low, high, anchor, key.view(np.int64), whole.view(np.int64)
+    key = span_hash(prefix, anchor, anchor + shorter - spread + 1)
+    return row[new], low, high, anchor, key.view(np.int64)
 
 
-def segments(docs: DataFrame, length: int, spread: int) -> DataFrame:
-    """A row for each different segment of each row of docs, with all its places there (first bytes)."""
+def _names(data: np.ndarray, low: np.ndarray, high: np.ndarray, ends: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """64 bits of a cryptographic hash of each segment's bytes, its anchor's place in it and its starts."""
+    view, digest = memoryview(np.ascontiguousarray(data)), hashlib.blake2b
+    salts = np.stack([anchor - low, high - low], axis=1).astype("<i8").tobytes()
+    names = [digest(view[a:b], digest_size=8, salt=salts[16 * k : 16 * k + 16]).digest() for k, (a, b) in enumerate(zip(low.tolist(), ends.tolist()))]
+    return np.frombuffer(b"".join(names), "<i8")
+
+
+def segments(docs: DataFrame, length: int, shorter: int, spread: int) -> DataFrame:
+    """A row for each different segment of each row of docs, with all its places there (first bytes).
+
+    A segment holds strings of shorter bytes that share an anchor, and what follows them up to length.
+    """
     named = docs.select(*row_key(docs), "text")
     kind = named.schema["doc_id"].dataType.simpleString()
 
@@ -89,17 +103,19 @@ def segments(docs: DataFrame, length: int, spread: int) -> DataFrame:
                 for first in range(0, len(data), PIECE) if single else [0]:
                     part = data[first : first + PIECE + length - 1] if single else data
                     at = np.array([0, len(part)]) if single else offsets
-                    row, low, high, anchor, key, segment = anchors(part, at, length, spread)
+                    row, low, high, anchor, key = anchors(part, at, shorter, spread, PIECE if single else len(part))
                     if len(row):
-                        yield _collapsed(batch, at, first, row, low, high, anchor, key, segment)
+                        ends = np.minimum(high + length, at[1:][row])
+                        segment = _names(part, low, high, ends, anchor)
+                        yield _collapsed(batch, at, first, row, low, high, anchor, key, segment, ends - low)
 
-    schema = f"doc_id {kind}, text_key long, key long, segment long, place long, places binary, n_places int, starts int, anchor int"
+    schema = f"doc_id {kind}, text_key long, key long, segment long, place long, places binary, n_places int, starts int, anchor int, size int"
     return named.mapInArrow(run, schema)
 
 
-def _collapsed(batch, offsets, first, row, low, high, anchor, key, segment) -> pa.RecordBatch:
+def _collapsed(batch, offsets, first, row, low, high, anchor, key, segment, size) -> pa.RecordBatch:
     order = np.lexsort((low, segment, key, row))
-    row, low, high, anchor, key, segment = (x[order] for x in (row, low, high, anchor, key, segment))
+    row, low, high, anchor, key, segment, size = (x[order] for x in (row, low, high, anchor, key, segment, size))
     new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(key, prepend=0) != 0) | (np.diff(segment, prepend=0) != 0))
     ends = np.append(new[1:], len(row))
     inside = (low - offsets[row] + first).astype("<i8")
@@ -110,19 +126,20 @@ def _collapsed(batch, offsets, first, row, low, high, anchor, key, segment) -> p
         [
             batch.column(0).take(taken), batch.column(1).take(taken), pa.array(key[new]), pa.array(segment[new]), pa.array(inside[new]), pa.array(places, pa.binary()),
             pa.array((ends - new).astype(np.int32)), pa.array((high - low + 1)[new].astype(np.int32)), pa.array((anchor - low)[new].astype(np.int32)),
+            pa.array(size[new].astype(np.int32)),
         ],
-        ["doc_id", "text_key", "key", "segment", "place", "places", "n_places", "starts", "anchor"],
+        ["doc_id", "text_key", "key", "segment", "place", "places", "n_places", "starts", "anchor", "size"],
     )
 
 
-def repeated_segments(docs: DataFrame, length: int, spread: int, scratch: Scratch) -> DataFrame:
+def repeated_segments(docs: DataFrame, length: int, shorter: int, spread: int, scratch: Scratch) -> DataFrame:
     """The rows of segments whose key has several places. Hot keys, found in a sample, are spread over tasks."""
     share = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(HOT_SAMPLE))
     sample = docs.where(share == 0)
     least = max(HOT_LEAST, int(HOT_SHARE * sample.count()))
-    hot = segments(sample, length, spread).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    hot = segments(sample, length, shorter, spread).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
     hot = scratch.put(hot.select("key", F.lit(True).alias("hot")), "hot-keys")
-    found = segments(docs, length, spread)
+    found = segments(docs, length, shorter, spread)
     # at most (segments of a document) / HOT_SHARE keys are hot
     marked = found.join(F.broadcast(hot), "key", "left") if not hot.isEmpty() else found.withColumn("hot", F.lit(None).cast("boolean"))
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALTS))).otherwise(0)
@@ -153,7 +170,7 @@ CUT = pa.schema([
 CUT_SCHEMA = "group long, key long, segment long, weight long, shift int, starts int, anchor int, data binary"
 
 
-def cut_segments(places: DataFrame, docs: DataFrame, length: int) -> DataFrame:
+def cut_segments(places: DataFrame, docs: DataFrame, length: int, shorter: int) -> DataFrame:
     """The bytes of segments, from one place of each: rows of CUT."""
     wanted = places.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("key", "segment", "weight", "place", "starts", "anchor", "variants")).alias("wanted"))
     texts = packed_texts(docs)
@@ -167,30 +184,30 @@ def cut_segments(places: DataFrame, docs: DataFrame, length: int) -> DataFrame:
         for whole in given:
             for number in range(whole.num_rows):
                 text = unpack(whole.column(0)[number].as_py())
-                rows = [cut for asked in whole.column(1)[number].as_py() for cut in _cut(text, asked, length, most, part)]
+                rows = [cut for asked in whole.column(1)[number].as_py() for cut in _cut(text, asked, length, shorter, most, part)]
                 columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), CUT)]
                 yield pa.RecordBatch.from_arrays(columns, CUT.names)
 
     return both.mapInArrow(run, CUT_SCHEMA)
 
 
-def _cut(text: bytes, asked: dict, length: int, most: int | None = None, part: int | None = None) -> Iterator[tuple]:
+def _cut(text: bytes, asked: dict, length: int, shorter: int, most: int, part: int) -> Iterator[tuple]:
     key, segment, weight, place, starts, anchor = (asked[c] for c in ("key", "segment", "weight", "place", "starts", "anchor"))
     data = text[place : place + starts - 1 + length]
-    if asked["variants"] <= (MANY_SEGMENTS if most is None else most):
+    if asked["variants"] <= most:
         yield key, key, segment, weight, 0, starts, anchor, data
     else:
-        yield from _parts(data, key, segment, weight, starts, anchor, PART if part is None else part, length)
+        yield from _parts(data, key, segment, weight, starts, anchor, part, length, shorter)
 
 
-def _parts(text: bytes, key: int, segment: int, weight: int, starts: int, anchor: int, size: int, length: int) -> Iterator[tuple]:
+def _parts(text: bytes, key: int, segment: int, weight: int, starts: int, anchor: int, size: int, length: int, shorter: int) -> Iterator[tuple]:
     """By distance to the anchor, in parts of size places; the bytes that all strings of a part hold are its key."""
-    size = min(size, length)
+    size = min(size, shorter)
     shift = 0
     while shift < starts:
         part = (anchor - shift) // size
         end = min(starts, anchor - part * size + 1)
-        held = text[anchor - part * size : anchor - part * size - size + 1 + length]
+        held = text[anchor - part * size : anchor - part * size - size + 1 + shorter]
         group = int.from_bytes(hashlib.blake2b(held, digest_size=8, key=(key ^ part).to_bytes(8, "little", signed=True)).digest(), "little", signed=True)
         yield group, key, segment, weight, shift, end - shift, anchor - shift, text[shift : end - 1 + length]
         shift = end
@@ -202,8 +219,10 @@ def _room(n: int, kind) -> np.ndarray:
     return np.empty(n, kind) if size <= IN_MEMORY else np.memmap(tempfile.TemporaryFile(), kind, "w+", shape=(n,))
 
 
-def repeated_starts(group: np.ndarray, strings: list[bytes], anchor: np.ndarray, starts: np.ndarray, weight: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each segment, whether the string at each of its starts occurs at another place.
+def repeated_starts(
+    group: np.ndarray, strings: list[bytes], anchor: np.ndarray, starts: np.ndarray, weight: np.ndarray, lengths: Sequence[int]
+) -> list[list[np.ndarray]]:
+    """For each length and segment, whether the string of that length at each start occurs at another place.
 
     group ascends; the segments of a group are different, and weight counts the places of each.
     """
@@ -216,7 +235,7 @@ def repeated_starts(group: np.ndarray, strings: list[bytes], anchor: np.ndarray,
     first, last = -anchor.astype(np.int64), sizes - anchor  # columns, the anchor's is 0
     base = begin - first
     flag_base = np.cumsum(starts, dtype=np.int64) - starts
-    flags = np.zeros(int(starts.sum()), bool)
+    flags = np.zeros((len(lengths), int(starts.sum())), bool)
     number = np.cumsum(np.diff(group, prepend=group[:1]) != 0)
     order, common = np.arange(many), _room(many, np.int32)
     common[:] = 0
@@ -250,12 +269,14 @@ def repeated_starts(group: np.ndarray, strings: list[bytes], anchor: np.ndarray,
         at = column - first[order]
         counted = at < starts[order]
         if counted.any():
-            enough = common >= length
-            twice = (weight[order] > 1) | enough
-            twice[:-1] |= enough[1:]
-            hit = counted & twice
-            flags[flag_base[order[hit]] + at[hit]] = True
-    return np.split(flags, flag_base[1:])
+            for length, found in zip(lengths, flags):
+                # only starts count: what follows a segment's strings may be the strings of another one
+                whole = counted & (at + length <= sizes[order])
+                alike = np.cumsum(common < length) - 1
+                twice = np.bincount(alike, np.where(whole, weight[order], 0)) > 1
+                hit = whole & twice[alike]
+                found[flag_base[order[hit]] + at[hit]] = True
+    return [np.split(found, flag_base[1:]) for found in flags]
 
 
 RANGES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -266,15 +287,20 @@ def _runs(flags: np.ndarray, shift: int) -> list[dict]:
     return [{"start": int(a) + shift, "end": int(b) + shift} for a, b in zip(edges[::2], edges[1::2])]
 
 
-def ordered_segments(cut: DataFrame, length: int) -> DataFrame:
-    """key, segment and the ranges of its starts (from, before) whose strings occur at another place."""
+TOLD = "key long, segment long, ranges array<struct<start:int,end:int>>, shorter array<struct<start:int,end:int>>"
+
+
+def ordered_segments(cut: DataFrame, length: int, shorter: int) -> DataFrame:
+    """key, segment and the ranges of its starts (from, before) whose strings occur at another place, of both lengths."""
 
     def solved(rows: list[tuple]) -> pa.RecordBatch:
         group, key, segment, weight, shift, starts, anchor, data = zip(*rows)
-        found = repeated_starts(np.array(group), list(data), np.array(anchor), np.array(starts, np.int64), np.array(weight), length)
-        told = [(k, s, ranges) for k, s, flags, by in zip(key, segment, found, shift) if (ranges := _runs(flags, by))]
-        columns = [[t[n] for t in told] for n in range(3)]
-        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], RANGES)], ["key", "segment", "ranges"])
+        long, short = repeated_starts(np.array(group), list(data), np.array(anchor), np.array(starts, np.int64), np.array(weight), (length, shorter))
+        # what is repeated at the full length is at the shorter
+        told = [(k, s, _runs(a, by), ranges) for k, s, a, b, by in zip(key, segment, long, short, shift) if (ranges := _runs(b, by))]
+        columns = [[t[n] for t in told] for n in range(4)]
+        arrays = [pa.array(values, kind) for values, kind in zip(columns, (pa.int64(), pa.int64(), RANGES, RANGES))]
+        return pa.RecordBatch.from_arrays(arrays, ["key", "segment", "ranges", "shorter"])
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -290,103 +316,116 @@ def ordered_segments(cut: DataFrame, length: int) -> DataFrame:
             yield solved(held)
 
     ordered = cut.repartition("group").sortWithinPartitions("group")
-    return ordered.mapInArrow(run, "key long, segment long, ranges array<struct<start:int,end:int>>")
+    return ordered.mapInArrow(run, TOLD)
 
 
-def shorter_parts(cut: DataFrame, size: int, length: int) -> DataFrame:
+def shorter_parts(cut: DataFrame, size: int, length: int, shorter: int) -> DataFrame:
     """The rows of cut in parts of size places: rows of CUT."""
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in given:
             for start in range(0, whole.num_rows, 1024):
                 asked = zip(*[column.to_pylist() for column in whole.slice(start, 1024).columns])
-                rows = [part for data, *row in asked for part in _parts(data, *row, size, length)]
+                rows = [part for data, *row in asked for part in _parts(data, *row, size, length, shorter)]
                 columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), CUT)]
                 yield pa.RecordBatch.from_arrays(columns, CUT.names)
 
     return cut.select("data", "key", "segment", "weight", "starts", "anchor").mapInArrow(run, CUT_SCHEMA)
 
 
-def repeated_parts(cut: DataFrame, length: int, shorter: tuple[int, ...], scratch: Scratch) -> DataFrame:
+def _all_starts(length: int) -> Column:
+    """The starts at which a segment of one string only holds strings of length bytes."""
+    end = F.least(F.col("starts"), F.col("size") - length + 1)
+    return F.when(end > 0, F.array(F.struct(F.lit(0).alias("start"), end.cast("int").alias("end")))).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+
+
+def repeated_parts(cut: DataFrame, length: int, shorter: int, fewer: tuple[int, ...], scratch: Scratch) -> DataFrame:
     """What ordered_segments gives, for segments cut in parts, with no bound on the rows of a group.
 
     Parts of equal bytes at one distance from the anchor are one with a weight. A group that still
-    has more than MANY_SEGMENTS different parts is dealt anew by the next of shorter; after the
-    last, parts are single strings, which their weights decide.
+    has more than MANY_SEGMENTS different parts is dealt anew by the next of fewer places; after the
+    last, parts are single strings: the group's weight decides for the shorter length, which all its
+    parts share, the part's own weight for the full length.
     """
-    level = len(shorter)
-    known = cut.withColumn("part", F.xxhash64("anchor", "starts", "data"))
+    level = len(fewer)
+    known = cut.withColumn("part", F.xxhash64("anchor", "starts", F.sha2("data", 256)))
     owners = scratch.put(known.select("group", "part", "key", "segment", "shift"), f"owners-{level}")
     alike = known.groupBy("group", "part", "anchor", "starts", "data").agg(F.sum("weight").alias("weight"))
     named = {"key": F.col("group"), "segment": F.col("part"), "shift": F.lit(0)}
     parts = scratch.put(alike.withColumns(named).select(*CUT.names), f"parts-{level}")
-    if not shorter:
-        once = F.array(F.struct(F.lit(0).alias("start"), F.col("starts").alias("end"))).alias("ranges")
-        told = parts.where("weight > 1").select("key", "segment", once)
+    sizes = parts.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("places"))
+    if not fewer:
+        weighed = parts.withColumn("size", F.octet_length("data")).select("group", "key", "segment", "weight", "starts", "size")
+        long = F.when(F.col("weight") > 1, _all_starts(length)).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+        told = weighed.join(sizes.where("places > 1"), "group").select("key", "segment", long.alias("ranges"), _all_starts(shorter).alias("shorter"))
     else:
-        sizes = parts.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-        # at most (parts) / MANY_SEGMENTS groups
         crowded = scratch.put(sizes.where(F.col("n") > MANY_SEGMENTS).select("group"), f"crowded-{level}")
-        told = ordered_segments(parts.join(F.broadcast(crowded), "group", "left_anti").select(*CUT.names), length)
+        told = ordered_segments(parts.join(crowded, "group", "left_anti").select(*CUT.names), length, shorter)
         if not crowded.isEmpty():
-            again = shorter_parts(parts.join(F.broadcast(crowded), "group", "left_semi"), shorter[0], length)
-            told = told.unionByName(repeated_parts(again, length, shorter[1:], scratch))
+            again = shorter_parts(parts.join(crowded, "group", "left_semi"), fewer[0], length, shorter)
+            told = told.unionByName(repeated_parts(again, length, shorter, fewer[1:], scratch))
     told = told.withColumnsRenamed({"key": "group", "segment": "part"})
-    moved = F.transform("ranges", lambda r: F.struct((r["start"] + F.col("shift")).alias("start"), (r["end"] + F.col("shift")).alias("end")))
-    return owners.join(told, ["group", "part"]).select("key", "segment", moved.alias("ranges"))
+    moved = [
+        F.transform(c, lambda r: F.struct((r["start"] + F.col("shift")).alias("start"), (r["end"] + F.col("shift")).alias("end"))).alias(c)
+        for c in ("ranges", "shorter")
+    ]
+    return owners.join(told, ["group", "part"]).select("key", "segment", *moved)
 
 
-def repeated_ranges(docs: DataFrame, length: int, spread: int, scratch: Scratch) -> DataFrame:
+def repeated_ranges(docs: DataFrame, length: int, shorter: int, spread: int, scratch: Scratch) -> DataFrame:
     """doc_id, text_key and hits: for each segment there its places and the ranges of repeated starts."""
-    found = scratch.put(repeated_segments(docs, length, spread, scratch), "repeated-segments")
-    one = F.min(F.struct("doc_id", "text_key", "place", "starts", "anchor")).alias("one")
+    found = scratch.put(repeated_segments(docs, length, shorter, spread, scratch), "repeated-segments")
+    one = F.min(F.struct("doc_id", "text_key", "place", "starts", "anchor", "size")).alias("one")
     whole = found.groupBy("key", "segment").agg(F.sum("n_places").alias("weight"), one)
     whole = scratch.put(whole.select("key", "segment", "weight", "one.*"), "segments")
     variants = whole.groupBy("key").agg(F.count(F.lit(1)).alias("variants"))
     counted = whole.join(variants, "key")
     # places of one string only: all its starts are repeated
-    everywhere = F.array(F.struct(F.lit(0).alias("start"), F.col("starts").alias("end"))).alias("ranges")
-    equal = counted.where("variants = 1 and weight > 1").select("key", "segment", everywhere)
-    cut = cut_segments(counted.where("variants > 1"), docs, length)
+    equal = counted.where("variants = 1 and weight > 1").select("key", "segment", _all_starts(length).alias("ranges"), _all_starts(shorter).alias("shorter"))
+    cut = cut_segments(counted.where("variants > 1"), docs, length, shorter)
     if variants.where(F.col("variants") > MANY_SEGMENTS).isEmpty():
-        told = ordered_segments(cut, length)
+        told = ordered_segments(cut, length, shorter)
     else:
         cut = scratch.put(cut, "cut")
-        told = ordered_segments(cut.where("group = key"), length)
-        told = told.unionByName(repeated_parts(cut.where("group <> key"), length, SHORTER, scratch))
+        told = ordered_segments(cut.where("group = key"), length, shorter)
+        told = told.unionByName(repeated_parts(cut.where("group <> key"), length, shorter, FEWER_PLACES, scratch))
     ranges = scratch.put(equal.unionByName(told), "ranges")
     hits = found.select("doc_id", "text_key", "key", "segment", "places").join(ranges, ["key", "segment"])
-    return hits.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("places", "ranges")).alias("hits"))
+    return hits.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("places", "ranges", "shorter")).alias("hits"))
 
 
-def covered(size: int, hits: list[dict] | None, length: int) -> tuple[np.ndarray, np.ndarray]:
+def covered(size: int, hits: list[dict] | None, length: int, ranges: str = "ranges") -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of covered bytes of a text."""
     depth = np.zeros(size + 1, np.int64)
     for hit in hits or []:
         places = np.frombuffer(hit["places"], "<i8")
-        for part in hit["ranges"]:
+        for part in hit[ranges]:
             np.add.at(depth, places + part["start"], 1)
             np.add.at(depth, places + part["end"] - 1 + length, -1)
     edges = np.diff((np.cumsum(depth)[:-1] > 0).astype(np.int8), prepend=0, append=0)
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, spread: int | None = None) -> DataFrame:
-    """For each row of docs: doc_id, text_key, n_bytes, n_removed, n_spans, spans, kept (the bytes left).
+def without_repeats(docs: DataFrame, length: int = LENGTH, shorter: int | None = None, spread: int | None = None) -> DataFrame:
+    """For each row of docs: doc_id, text_key, n_bytes, n_removed, n_spans, spans, kept (the bytes left), n_repeated.
+
+    n_repeated counts the bytes that repeated strings of shorter bytes cover, by default SHORTER, or
+    length where that is less. They stay.
 
     Null texts count as empty; texts shorter than length lose nothing. Rows that repeat are places
     of their own, so they lose what is long enough in all of them. Other columns are not read. An
     empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "passages")
-    spread = spread or max(1, min(SPREAD, length - 2 * GRAM))
-    hits = scratch.put(repeated_ranges(docs, length, spread, scratch), "hits")
+    shorter = min(shorter or SHORTER, length)
+    spread = spread or max(1, min(SPREAD, shorter - 2 * GRAM))
+    hits = scratch.put(repeated_ranges(docs, length, shorter, spread, scratch), "hits")
     hits = hits.withColumnsRenamed({"doc_id": "its_id", "text_key": "its_key"})
     texts = packed_texts(docs)
     same = texts["doc_id"].eqNullSafe(hits["its_id"]) & (texts["text_key"] == hits["its_key"])
     kind = texts.schema["doc_id"].dataType.simpleString()
-    names = ["n_bytes", "n_removed", "n_spans", "spans", "kept"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), RANGES, pa.binary()]
+    names = ["n_bytes", "n_removed", "n_spans", "spans", "kept", "n_repeated"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), RANGES, pa.binary(), pa.int64()]
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -400,10 +439,11 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, spread: int | None =
                     left = zip([0, *ends.tolist()], [*begins.tolist(), len(text)])
                     kept = b"".join(text[a:b] for a, b in left)
                     spans = [{"start": a, "end": b} for a, b in zip(begins.tolist(), ends.tolist())]
-                    rows.append((len(text), len(text) - len(kept), len(spans), spans, kept))
+                    begins, ends = covered(len(text), found, shorter, "shorter")
+                    rows.append((len(text), len(text) - len(kept), len(spans), spans, kept, int((ends - begins).sum())))
                 columns = [pa.array(values, of) for values, of in zip(zip(*rows), kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "text_key", *names])
 
     joined = texts.join(hits, same, "left").select("doc_id", "text_key", "packed", "hits")
-    schema = f"doc_id {kind}, text_key long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,end:int>>, kept binary"
+    schema = f"doc_id {kind}, text_key long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,end:int>>, kept binary, n_repeated long"
     return joined.mapInArrow(run, schema)

@@ -51,7 +51,7 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = passages.without_repeats(documents(spark, folder))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_repeated")
 
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
