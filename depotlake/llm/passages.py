@@ -272,9 +272,12 @@ def repeated_starts(
             for length, found in zip(lengths, flags):
                 # only starts count: what follows a segment's strings may be the strings of another one
                 whole = counted & (at + length <= sizes[order])
-                alike = np.cumsum(common < length) - 1
-                twice = np.bincount(alike, np.where(whole, weight[order], 0)) > 1
-                hit = whole & twice[alike]
+                apart = common < length
+                if apart.all():
+                    hit = whole & (weight[order] > 1)
+                else:
+                    alike = np.cumsum(apart) - 1
+                    hit = whole & (np.bincount(alike, np.where(whole, weight[order], 0)) > 1)[alike]
                 found[flag_base[order[hit]] + at[hit]] = True
     return [np.split(found, flag_base[1:]) for found in flags]
 
@@ -394,16 +397,22 @@ def repeated_ranges(docs: DataFrame, length: int, shorter: int, spread: int, scr
     return hits.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("places", "ranges", "shorter")).alias("hits"))
 
 
-def covered(size: int, hits: list[dict] | None, length: int, ranges: str = "ranges") -> tuple[np.ndarray, np.ndarray]:
+def covered(hits: list[dict] | None, length: int, ranges: str = "ranges") -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of covered bytes of a text."""
-    depth = np.zeros(size + 1, np.int64)
-    for hit in hits or []:
-        places = np.frombuffer(hit["places"], "<i8")
+    begins: list[int] = []
+    ends: list[int] = []
+    for hit in hits or ():
+        places = np.frombuffer(hit["places"], "<i8").tolist()
         for part in hit[ranges]:
-            np.add.at(depth, places + part["start"], 1)
-            np.add.at(depth, places + part["end"] - 1 + length, -1)
-    edges = np.diff((np.cumsum(depth)[:-1] > 0).astype(np.int8), prepend=0, append=0)
-    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+            first, after = part["start"], part["end"] - 1 + length
+            begins += [p + first for p in places]
+            ends += [p + after for p in places]
+    if not begins:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.argsort(begins)
+    first, after = np.array(begins)[order], np.maximum.accumulate(np.array(ends)[order])
+    new = first[1:] > after[:-1]
+    return first[np.append(True, new)], after[np.append(new, True)]
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, shorter: int | None = None, spread: int | None = None) -> DataFrame:
@@ -435,11 +444,11 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, shorter: int | None =
                 rows = []
                 for packed, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                     text = unpack(packed)
-                    begins, ends = covered(len(text), found, length)
+                    begins, ends = covered(found, length)
                     left = zip([0, *ends.tolist()], [*begins.tolist(), len(text)])
                     kept = b"".join(text[a:b] for a, b in left)
                     spans = [{"start": a, "end": b} for a, b in zip(begins.tolist(), ends.tolist())]
-                    begins, ends = covered(len(text), found, shorter, "shorter")
+                    begins, ends = covered(found, shorter, "shorter")
                     rows.append((len(text), len(text) - len(kept), len(spans), spans, kept, int((ends - begins).sum())))
                 columns = [pa.array(values, of) for values, of in zip(zip(*rows), kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "text_key", *names])
