@@ -13,8 +13,10 @@ copies may be large, so pairs are never listed. In each key one member is the hu
 are compared to it first: what is within DISTANCE of its hub is one near group, and what the exact
 sets confirm is one component. Left are two kinds of pairs between components.
 Members of different near groups that share a key: a key has one row for each near group, so a large
-group of copies counts once. Single documents are compared by the join itself, which gives the few
-pairs within DISTANCE; two groups are compared once, whatever number of keys they share, by blocks.
+group of copies counts once, or as its blocks of at most BLOCK members. A block has a centre and a
+radius. Two blocks further apart than DISTANCE and both radii hold no pair within DISTANCE; of single
+documents, whose radius is 0, just the pairs within DISTANCE are left. Blocks that are closer are
+compared once, whatever number of keys they share.
 Members of one near group: pairs of blocks of at most BLOCK documents, but for two blocks of one
 large component. Each pair of blocks gives a spanning forest of its links.
 So every pair within DISTANCE that could change a component is checked on its whole sets, without
@@ -324,6 +326,42 @@ def _differing(a: Column, b: Column) -> Column:
     return F.aggregate(places, F.lit(0), lambda count, i: count + F.when(symbol(a, i) == symbol(b, i), 0).otherwise(1))
 
 
+BLOCK_SCHEMA = "near_group long, block long, centre binary, radius int, single boolean, nodes array<struct<node:long,n:long,component:long,signature:binary>>"
+
+
+def _blocks(placed: DataFrame) -> DataFrame:
+    """The members of near groups in blocks of about BLOCK, each with a centre and the largest distance to it.
+
+    The centre has the most frequent symbol of the members in each place.
+    """
+    sizes = placed.groupBy("near_group").agg(F.count(F.lit(1)).alias("members"))
+    dealt = placed.join(sizes, "near_group").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)).cast("long"))
+    node = F.struct("node", "n", "component", "signature")
+    alone = dealt.where("members = 1").select(
+        "near_group", "block", F.col("signature").alias("centre"), F.lit(0).alias("radius"), F.lit(True).alias("single"), F.array(node).alias("nodes")
+    )
+    held = dealt.where("members > 1").groupBy("near_group", "block").agg(F.collect_list(node).alias("nodes"))
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in given:
+            centres, radii = [], []
+            for nodes in batch.column(2):
+                symbols = _Block(pa.Table.from_struct_array(nodes.values)).signature
+                ordered = np.sort(symbols, axis=0)
+                # the length of the run that ends at each place, by column
+                place = np.arange(len(ordered))[:, None]
+                new = np.vstack([np.ones((1, SYMBOLS), bool), ordered[1:] != ordered[:-1]])
+                lengths = place - np.maximum.accumulate(np.where(new, place, 0), axis=0)
+                centre = ordered[lengths.argmax(axis=0), np.arange(SYMBOLS)]
+                centres.append(centre.astype("<u2").tobytes())
+                radii.append(int((symbols != centre).sum(axis=1).max()))
+            more = [pa.array(centres, pa.binary()), pa.array(radii, pa.int32()), pa.array([False] * len(radii))]
+            names = ["near_group", "block", "centre", "radius", "single", "nodes"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *more, batch.column(2)], names)
+
+    return alone.unionByName(held.select("near_group", "block", "nodes").mapInArrow(run, BLOCK_SCHEMA))
+
+
 def _pairs_across(placed: DataFrame, hot: np.ndarray, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) within DISTANCE in different near groups and components, of groups that share a key."""
     of_key = Window.partitionBy("key")
@@ -332,42 +370,35 @@ def _pairs_across(placed: DataFrame, hot: np.ndarray, scratch: Scratch) -> DataF
     if len(hot):
         several = several.unionByName(chunk_keys(placed, "near_group", only=hot).distinct())
     several = scratch.put(several, "several-groups")
-    one_of = F.first(F.struct("node", "n", "signature", "component")).alias("one")
-    groups = scratch.put(placed.groupBy("near_group").agg(F.count(F.lit(1)).alias("members"), one_of), "near-groups")
-    rows = several.join(groups, "near_group")
-    sides = [
-        rows.select("key", F.col("near_group").alias(f"group_{side}"), (F.col("members") == 1).alias(f"single_{side}"), F.col("one").alias(f"one_{side}"))
-        for side in "ab"
-    ]
-    close = _differing(F.col("one_a.signature"), F.col("one_b.signature")) <= DISTANCE
+    blocks = scratch.put(_blocks(placed.join(several.select("near_group").distinct(), "near_group", "left_semi")), "near-blocks")
+    rows = several.join(blocks.withColumn("one", F.col("nodes")[0]).select("near_group", "block", "centre", "radius", "single", "one.node", "one.n", "one.component"), "near_group")
+    left, right = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "key"]) for side in "ab")
     single = F.col("single_a") & F.col("single_b")
-    allowed = ~single | (_compatible(F.col("one_a.n"), F.col("one_b.n")) & (F.col("one_a.component") != F.col("one_b.component")) & close)
-    pairs = sides[0].join(sides[1], "key").where((F.col("group_a") < F.col("group_b")) & allowed)
-    pairs = scratch.put(pairs.select("group_a", "group_b", single.alias("single"), F.col("one_a.node").alias("a"), F.col("one_b.node").alias("b")).distinct(), "group-pairs")
-    return pairs.where("single").select("a", "b").unionByName(_pairs_of_groups(pairs.where("not single").select("group_a", "group_b"), placed, scratch))
-
-
-def _pairs_of_groups(pairs: DataFrame, placed: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) of nodes within DISTANCE, in different components, of pairs of near groups."""
-    used = pairs.select(F.explode(F.array("group_a", "group_b")).alias("near_group")).distinct()
-    some = scratch.put(placed.join(used, "near_group", "left_semi"), "compared")
-    blocks = some.groupBy("near_group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    dealt = some.join(blocks, "near_group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    held = dealt.groupBy("near_group", "block").agg(F.collect_list(F.struct("node", "n", "component", "signature")).alias("rows"))
-    held = scratch.put(held, "compared-blocks")  # of about BLOCK nodes each
-    left, right = (held.select(F.col("near_group").alias(f"group_{side}"), F.col("rows").alias(f"rows_{side}")) for side in "ab")
-    both = pairs.join(left, "group_a").join(right, "group_b").select("rows_a", "rows_b")
+    allowed = ~single | (_compatible(F.col("n_a"), F.col("n_b")) & (F.col("component_a") != F.col("component_b")))
+    close = _differing(F.col("centre_a"), F.col("centre_b")) <= DISTANCE + F.col("radius_a") + F.col("radius_b")
+    pairs = left.join(right, "key").where((F.col("near_group_a") < F.col("near_group_b")) & allowed & close)
+    chosen = ["near_group_a", "block_a", "near_group_b", "block_b", single.alias("single"), F.col("node_a").alias("a"), F.col("node_b").alias("b")]
+    pairs = scratch.put(pairs.select(*chosen).distinct(), "block-pairs-across")
+    return pairs.where("single").select("a", "b").unionByName(_pairs_of_blocks(pairs.where("not single"), blocks))
+
+
+def _pairs_of_blocks(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes within DISTANCE, in different components, of pairs of blocks."""
+    both = pairs
+    for side in "ab":
+        names = ("near_group", "block", "nodes")
+        both = both.join(blocks.select(*[F.col(c).alias(f"{c}_{side}") for c in names]), [f"near_group_{side}", f"block_{side}"])
 
     def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in given:
             for one, two in zip(batch.column(0), batch.column(1)):
-                a, b = (_Block(pa.Table.from_struct_array(rows.values)) for rows in (one, two))
+                a, b = (_Block(pa.Table.from_struct_array(nodes.values)) for nodes in (one, two))
                 found = list(_candidates(a, b, False))
                 pairs_a = np.repeat(a.node[[i for i, _ in found]], [len(rows) for _, rows in found])
                 pairs_b = np.concatenate([b.node[rows] for _, rows in found]) if found else pairs_a
                 yield pa.RecordBatch.from_arrays([pa.array(pairs_a), pa.array(pairs_b)], ["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.select("nodes_a", "nodes_b").mapInArrow(run, "a long, b long")
 
 
 def _block_links(placed: DataFrame, full: DataFrame, width: int, scratch: Scratch) -> DataFrame:
