@@ -40,6 +40,8 @@ PSEUDO_COUNT = 0.5
 SAMPLE_DOCUMENTS = 1000
 #: Random strings of each alphabet among the labelled samples.
 RANDOM_STRINGS = 2000
+#: Characters of a run that are looked at together.
+PART = 8192
 #: Matches whose places are summed one by one; blocks of them are summed first.
 BLOCK = 256
 
@@ -103,13 +105,14 @@ def symbol(character: Column) -> Column:
     return F.instr(F.lit(ALPHABET), character)
 
 
-def _pair(text: Column, place: Column) -> Column:
-    """The number of the pair of the characters at place and after it."""
-    return F.instr(F.lit(ALPHABET), F.substr(text, place, F.lit(1))) * SYMBOLS + F.instr(F.lit(ALPHABET), F.substr(text, place + 1, F.lit(1)))
+def _pairs(text: Column) -> Column:
+    """The numbers of a string's pairs of neighbours, in order. The string is cut once, so it takes linear time."""
 
+    def neighbours(codes: Column) -> Column:
+        rest = F.greatest(F.size(codes) - 1, F.lit(0))
+        return F.zip_with(F.slice(codes, F.lit(1), rest), F.slice(codes, F.lit(2), rest), lambda a, b: a * SYMBOLS + b)
 
-def _places(text: Column) -> Column:
-    return F.when(F.length(text) > 1, F.sequence(F.lit(1), F.length(text) - 1)).otherwise(F.array().cast("array<int>"))
+    return _let(F.transform(F.split(text, ""), symbol), neighbours)
 
 
 def train(samples: DataFrame) -> list[float]:
@@ -118,7 +121,7 @@ def train(samples: DataFrame) -> list[float]:
     The model is a table of SYMBOLS * SYMBOLS numbers whatever the samples are. Null texts and
     texts of one character add nothing.
     """
-    pairs = samples.where("text is not null and random is not null").select("random", F.explode(F.transform(_places(F.col("text")), lambda i: _pair(F.col("text"), i))).alias("pair"))
+    pairs = samples.where("text is not null and random is not null").select("random", F.explode(_pairs(F.col("text"))).alias("pair"))
     counted = pairs.groupBy("pair").agg(F.count_if(F.col("random")).alias("random"), F.count_if(~F.col("random")).alias("ordinary"))
     counts = {row["pair"]: (row["random"], row["ordinary"]) for row in counted.collect()}  # a row for each pair of characters
     ratios = []
@@ -130,9 +133,16 @@ def train(samples: DataFrame) -> list[float]:
 
 
 def likelihood_ratio(text: Column, model: list[float]) -> Column:
-    """The sum of the model's log ratios over the pairs of characters of a string."""
+    """The sum of the model's log ratios over the pairs of characters of a string, a part at a time."""
     table = F.from_json(F.lit(json.dumps(model)), "array<double>")
-    return F.aggregate(_places(text), F.lit(0.0), lambda total, i: total + F.get(table, _pair(text, i)))
+    parts = F.ceil((F.length(text) - 1) / PART).cast("int")
+    starts = F.when(parts > 0, F.sequence(F.lit(0), parts - 1)).otherwise(F.array().cast("array<int>"))
+
+    def of_part(n: Column) -> Column:
+        pairs = _pairs(F.substr(text, n * PART + 1, F.lit(PART + 1)))  # parts share a character
+        return F.aggregate(pairs, F.lit(0.0), lambda total, pair: total + F.get(table, pair))
+
+    return F.aggregate(F.transform(starts, of_part), F.lit(0.0), lambda total, part: total + part)
 
 
 def labelled_samples(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, strings: int = RANDOM_STRINGS) -> DataFrame:

@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 
 from corpora import edge_docs, edge_rows, empty_docs
 from pyspark.sql import functions as F
@@ -97,3 +99,27 @@ def test_many_matches_in_one_text(spark):
 def test_main_path_is_native(spark):
     plan = secrets.scan_documents(edge_docs(spark))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "ArrowEval"))
+
+
+def test_long_runs_take_linear_time(spark):
+    """A million characters without a gap, random or not, in seconds; and the sums do not depend on the parts."""
+    pick = random.Random(6)
+    signs = "".join(pick.choice(secrets.ALPHABET[:62]) for _ in range(1_000_000))
+    docs = spark.createDataFrame([(1, signs), (2, f"x {signs[:50_000]} {'word' * 5000}"), (3, "A" * 20)], "doc_id long, text string")
+    model = secrets.train(secrets.labelled_samples(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")))
+    start = time.time()
+    found = {r.doc_id: r.spans for r in secrets.scan(docs, model).collect()}
+    assert time.time() - start < 20
+    assert found[1] == "random:0:1000000" and found[2] == "random:2:50002" and found[3] == ""
+
+
+def test_ratios_over_part_bounds(spark, monkeypatch):
+    model = [0.25 * (n % 7) for n in range(secrets.SYMBOLS**2)]
+    texts = ["", "a", "ab", "abc", "abcdefghij" * 3, "ab?c-é"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    ratio = secrets.likelihood_ratio(df["text"], model)
+    whole = [r[0] for r in df.select(ratio).collect()]
+    place = {c: n + 1 for n, c in enumerate(secrets.ALPHABET)}
+    assert whole == [sum(model[place.get(a, 0) * secrets.SYMBOLS + place.get(b, 0)] for a, b in zip(t, t[1:])) for t in texts]
+    monkeypatch.setattr(secrets, "PART", 3)
+    assert whole == [r[0] for r in df.select(secrets.likelihood_ratio(df["text"], model)).collect()]
