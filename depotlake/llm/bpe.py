@@ -118,15 +118,18 @@ class Bpe:
     def encode_many(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         out = []
+        young, old = self.encoded.young, self.encoded.old
+        fresh: dict[str, bytes] = {}
         for text in texts:
             parts = []
             for word in self.words.findall(text):
-                ids = self.encoded.get(word)
-                if ids is None:
-                    ids = np.array(self.word(word.encode()), "<u4").tobytes()
-                    self.encoded.put(word, ids)
+                ids = young.get(word)
+                if ids is None and (ids := fresh.get(word)) is None:
+                    ids = old.get(word)
+                    fresh[word] = ids = np.array(self.word(word.encode()), "<u4").tobytes() if ids is None else ids
                 parts.append(ids)
             out.append(b"".join(parts))
+        self.encoded.put(fresh)
         return out
 
     def decode(self, ids: Sequence[int]) -> bytes:

@@ -39,8 +39,8 @@ MAGIC, VERSION = b"TOKP", 1
 BLOCK = 4096
 #: A shard ends with the document that reaches this many ids.
 SHARD_IDS = 1 << 20
-#: Bytes that a worker remembers of pieces of text, and half as many of words.
-MEMORY = 224 << 20
+#: Bytes that a worker remembers of pieces of text, and a quarter as many of words.
+MEMORY = 304 << 20
 WHOLE_BYTES = {8: "u1", 16: "<u2", 32: "<u4"}
 _HEAD = struct.Struct("<4s3I3Q")
 
@@ -130,7 +130,7 @@ class Words:
     beyond the Latin blocks go through the whole tokenizer instead.
     """
 
-    def __init__(self, path: str, pattern: str, memory: int = MEMORY // 2, special: bool = True):
+    def __init__(self, path: str, pattern: str, memory: int = MEMORY // 4, special: bool = True):
         """special: added tokens in a text get their own ids, as the library does by default."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.whole = Tokenizer.from_file(path)
@@ -145,19 +145,24 @@ class Words:
 
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
         out = []
+        young, old = self.known.young, self.known.old
+        fresh: dict[str, bytes] = {}
         for text in texts:
             if not text.isascii() and max(text) > "\u024f":
                 out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
                 continue
             parts = []
             for word in self.words(text):
-                ids = self.known.get(word)
-                if ids is None:
-                    tokens = self.bpe("".join(map(self.letter.__getitem__, word.encode())))
-                    ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
-                    self.known.put(word, ids)
+                ids = young.get(word)
+                if ids is None and (ids := fresh.get(word)) is None:
+                    ids = old.get(word)
+                    if ids is None:
+                        tokens = self.bpe("".join(map(self.letter.__getitem__, word.encode())))
+                        ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+                    fresh[word] = ids
                 parts.append(ids)
             out.append(b"".join(parts))
+        self.known.put(fresh)
         return out
 
 

@@ -38,8 +38,8 @@ def cuts(text: str, size: int = CHUNK) -> Iterator[tuple[bool, str]]:
 class Memory:
     """Bytes by short strings, in at most about limit bytes, keys and entries counted.
 
-    There are two generations: if the younger has half of the limit, it becomes the older, and what
-    is used from the older moves to the younger.
+    There are two generations: if the younger has half of the limit, it becomes the older. Users look
+    into both, and put again what they find in the older.
     """
 
     def __init__(self, limit: int):
@@ -48,20 +48,14 @@ class Memory:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def get(self, key: str) -> bytes | None:
-        found = self.young.get(key)
-        if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
-        return found
-
-    def put(self, key: str, value: bytes) -> None:
-        if len(key) > LONGEST:
-            return
-        cost = sys.getsizeof(key) + sys.getsizeof(value) + _ENTRY
+    def put(self, found: dict[str, bytes]) -> None:
+        """Remembers all of them, or none if they take more than half of the limit."""
+        short = {key: value for key, value in found.items() if len(key) <= LONGEST}
+        cost = sum(map(sys.getsizeof, short)) + sum(map(sys.getsizeof, short.values())) + _ENTRY * len(short)
         if self.held + cost > self.limit // 2:
             self.old, self.young, self.held = self.young, {}, 0
         if cost <= self.limit // 2:
-            self.young[key] = value
+            self.young.update(short)
             self.held += cost
 
 
@@ -110,12 +104,12 @@ class Pieces:
             new.update(missing)
             rows.append((first, ids, pieces if missing else (), last))
         edges = [x for first, _, _, last in rows for x in (first, last) if x]
-        fresh = {p: found for p in new if (found := self.memory.get(p)) is not None}
+        older = self.memory.old
+        fresh = {p: older[p] for p in new if p in older}
         ordered = [p for p in new if p not in fresh]
         made = self.encode_many(edges + [" " + p for p in ordered])
-        for p, ids in zip(ordered, made[len(edges) :]):
-            fresh[p] = ids
-            self.memory.put(p, ids)
+        fresh.update(zip(ordered, made[len(edges) :]))
+        self.memory.put(fresh)
         of_edge = iter(made)
         out = []
         for first, ids, pieces, last in rows:
