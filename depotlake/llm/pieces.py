@@ -49,14 +49,23 @@ class Memory:
         self.old: dict[str, bytes] = {}
 
     def put(self, found: dict[str, bytes]) -> None:
-        """Remembers all of them, or none if they take more than half of the limit."""
+        """Remembers all short ones, or none if they take more than half of the limit."""
+        self.young.update(found)
+        self.keep(found)
+
+    def keep(self, found: dict[str, bytes]) -> None:
+        """What ``put`` does, with what the younger generation has been given already."""
         short = {key: value for key, value in found.items() if len(key) <= LONGEST}
         cost = sum(map(sys.getsizeof, short)) + sum(map(sys.getsizeof, short.values())) + _ENTRY * len(short)
-        if self.held + cost > self.limit // 2:
+        full = self.held + cost > self.limit // 2
+        for key in found if full else found.keys() - short.keys():
+            del self.young[key]
+        if full:
             self.old, self.young, self.held = self.young, {}, 0
-        if cost <= self.limit // 2:
+            if cost > self.limit // 2:
+                return
             self.young.update(short)
-            self.held += cost
+        self.held += cost
 
 
 class Pieces:
@@ -85,13 +94,12 @@ class Pieces:
 
     def _encoded(self, parts: Sequence[tuple[bool, str]]) -> list[bytes]:
         known = self.memory.young
-        rows = []  # first piece, ids of the pieces (None where new), pieces, last piece
+        rows = []  # first piece, pieces, last piece
         new: set[str] = set()
         for after_space, part in parts:
             pieces = part.split(" ")
             first, last = "" if after_space else pieces.pop(0), ""
-            ids = list(map(known.get, pieces))
-            missing = {p for p, found in zip(pieces, ids) if found is None} if None in ids else ()
+            missing = set(pieces).difference(known)
             uneven = pieces and not after_space and (not first or first[-1].isspace())
             if uneven or any(not p or p[0].isspace() or p[-1].isspace() for p in missing):
                 # white space next to a space: pieces end at single spaces only
@@ -99,23 +107,21 @@ class Pieces:
                 first = "" if after_space else pieces.pop(0)
                 if pieces and pieces[-1][-1].isspace():
                     last = " " + pieces.pop()
-                ids = list(map(known.get, pieces))
-                missing = {p for p, found in zip(pieces, ids) if found is None}
+                missing = set(pieces).difference(known)
             new.update(missing)
-            rows.append((first, ids, pieces if missing else (), last))
-        edges = [x for first, _, _, last in rows for x in (first, last) if x]
+            rows.append((first, pieces, last))
+        edges = [x for first, _, last in rows for x in (first, last) if x]
         older = self.memory.old
         fresh = {p: older[p] for p in new if p in older}
         ordered = [p for p in new if p not in fresh]
         made = self.encode_many(edges + [" " + p for p in ordered])
         fresh.update(zip(ordered, made[len(edges) :]))
-        self.memory.put(fresh)
+        known.update(fresh)
         of_edge = iter(made)
         out = []
-        for first, ids, pieces, last in rows:
+        for first, pieces, last in rows:
             head = next(of_edge) if first else b""
             tail = next(of_edge) if last else b""
-            if pieces:
-                ids = [fresh[p] if found is None else found for p, found in zip(pieces, ids)]
-            out.append(head + b"".join(ids) + tail)
+            out.append(head + b"".join(map(known.__getitem__, pieces)) + tail)
+        self.memory.keep(fresh)
         return out
