@@ -15,7 +15,7 @@ from depotlake.llm.tables import Scratch, documents
 
 
 #: Bytes that a worker remembers in the last stage. Its workers serve the other stages, too.
-ENCODER_MEMORY = 80 << 20
+ENCODER_MEMORY = 24 << 20
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
