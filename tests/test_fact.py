@@ -1,10 +1,12 @@
 from decimal import Decimal
 
+from pyspark.sql import functions as F
 from retail import DAY, ROWS, sources
 
 from depotlake.operators.fact import fact_base, order_lines, with_derived
 from depotlake.plans.warehouse import enhanced_fact, plain_fact
 from depotlake.schemas import TABLES, columns, to_table
+from depotlake.sources import adapter
 
 
 def lines_of(spark, **changed):
@@ -118,3 +120,19 @@ def test_unlisted_part_type_keeps_its_lines(spark, tmp_path):
     assert order_lines(s).count() == retail_sources(spark, given)["order_items"].count()
     names = [r.category_name for r in s["categories"].orderBy("category_id").collect()]
     assert names == sorted(names) and "NOVELTY" in names
+
+
+def test_stock_records_are_made_by_many_tasks(spark, monkeypatch):
+    """One task reads all the parts, with a missing and a repeated key among them."""
+    part = spark.createDataFrame([(n,) for n in [None, 3, 3, *range(40)]], "p_partkey bigint").coalesce(1)
+
+    def made():
+        stock = adapter._inventory(part, 25, 43)
+        rows = sorted(tuple(r) for r in stock.collect())
+        return rows, stock.select(F.spark_partition_id()).distinct().count()
+
+    rows, tasks = made()
+    assert tasks == 1 and len(rows) == 40 * 25 * 9 // 10 + 2 * 23
+    monkeypatch.setattr(adapter, "TASK_ROWS", 100)
+    spread, tasks = made()
+    assert spread == rows and tasks > 5

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from depotlake.operators import skew
 from depotlake.operators.running import (
     CUSTOMER,
     PRODUCT,
@@ -25,6 +26,7 @@ from depotlake.operators.skew import (
     skew_join,
     spread_over,
 )
+from depotlake.operators.staging import stage
 
 EAGER = SkewPolicy(key_rows=3, task_rows=20, broadcast_bytes=0)
 
@@ -96,6 +98,25 @@ def test_heavy_keys_are_a_table_of_exact_counts(spark):
     assert not heavy_keys(df, ["k"], SkewPolicy(key_rows=300), total=300)
 
 
+def test_keys_are_counted_only_where_rows_share_a_hash(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(skew, "stage", lambda df, label: stored.append((label, stage(df, label))) or stored[-1][1])
+    even = spark.range(3000).selectExpr("id % 1000 AS k", "id % 7 AS m")
+    assert not heavy_keys(even, ["k", "m"], SkewPolicy(key_rows=700), total=3000)
+    assert [label for label, _ in stored] == ["hashes"]  # no task has held a row for each key
+    crowded = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 5).otherwise(F.col("id"))
+    df = spark.range(3000).select(crowded.alias("k"))
+    for key_rows in (300, 1000, 1001, 1):  # 1001 rows have key 5; with 1, hash values tell all keys apart
+        policy = SkewPolicy(key_rows=key_rows)
+        known, plain = heavy_keys(df, ["k"], policy, total=3000), heavy_keys(df, ["k"], policy)
+        assert bool(known) == bool(plain) == (key_rows < 1001)
+        assert not known or rows_of(known.found) == rows_of(plain.found)
+    monkeypatch.setattr(skew, "MOST_HASHES", 10)
+    assert rows_of(heavy_keys(df, ["k"], SkewPolicy(key_rows=300), total=3000).found) == Counter(
+        {(5, 5): 1, (5, None): 1}
+    )
+
+
 def test_broadcast_goes_by_bytes(spark):
     narrow, wide = spark.range(1), spark.range(1).selectExpr("id", *[f"'x' AS c{n}" for n in range(50)])
     assert broadcast_size(wide, 1000) > 20 * broadcast_size(narrow, 1000)
