@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from depotlake.operators import skew
+from depotlake.operators import running, skew
 from depotlake.operators.running import (
     CUSTOMER,
     PRODUCT,
@@ -178,6 +178,16 @@ def test_numbers_do_not_depend_on_ranges(stored, history):
     assert rows_of(short) == rows_of(with_histories(stored, history, policy=ONE_RANGE))
 
 
+def test_short_ranges_share_a_task(stored, monkeypatch):
+    placed = []
+    monkeypatch.setattr(running, "stage", lambda df, label: placed.append(stage(df, label)) or placed[-1])
+    short = with_histories(stored, CUSTOMER, policy=SHORT)
+    tasks = placed[0].select(F.shiftright("__at", 33)).distinct().count()
+    assert tasks <= 4  # the shuffle partitions; a task for each range would make 129
+    plan = short._jdf.queryExecution().optimizedPlan().toString()
+    assert "% 7" in plan  # ranges are as short as the policy says
+
+
 def test_numbers_are_those_of_a_plain_window(stored):
     ties = ["order_key", "line_number", "product_key", "order_quantity", "unit_price", "line_id"]
     plain = Window.partitionBy("customer_key").orderBy("order_date", *ties)
