@@ -24,6 +24,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -41,6 +42,8 @@ BLOCK = 4096
 SHARD_IDS = 1 << 20
 #: Bytes that a worker remembers of pieces of text, and a quarter as many of words.
 MEMORY = 304 << 20
+#: Bytes of text that a worker cuts into pieces at once.
+PART_BYTES = 4 << 20
 WHOLE_BYTES = {8: "u1", 16: "<u2", 32: "<u4"}
 _HEAD = struct.Struct("<4s3I3Q")
 
@@ -135,11 +138,14 @@ class Words:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = not special
-        self.bpe = self.whole.model.tokenize
+        model = Tokenizer.from_file(path).model
+        model._resize_cache(0)  # new words only: its own memory of them would cost more than it saves
+        self.bpe = model.tokenize
         letters = ByteLevel.alphabet()
         plain = [b for b in range(256) if chr(b) in letters]
         others = [b for b in range(256) if chr(b) not in letters]
         self.letter = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+        self.number = {n: n.to_bytes(4, "little") for n in self.whole.get_vocab().values()}
         self.words = regex.compile(pattern).findall
         self.known = Memory(memory)
 
@@ -147,22 +153,23 @@ class Words:
         out = []
         young, old = self.known.young, self.known.old
         fresh: dict[str, bytes] = {}
+
+        def made(word: str) -> bytes:
+            ids = old.get(word)
+            if ids is None:
+                letters = word.encode().decode("latin-1").translate(self.letter)
+                ids = b"".join([self.number[t.id] for t in self.bpe(letters)])
+            young[word] = fresh[word] = ids
+            return ids
+
         for text in texts:
             if not text.isascii() and max(text) > "\u024f":
                 out.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-                continue
-            parts = []
-            for word in self.words(text):
-                ids = young.get(word)
-                if ids is None and (ids := fresh.get(word)) is None:
-                    ids = old.get(word)
-                    if ids is None:
-                        tokens = self.bpe("".join(map(self.letter.__getitem__, word.encode())))
-                        ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
-                    fresh[word] = ids
-                parts.append(ids)
-            out.append(b"".join(parts))
-        self.known.put(fresh)
+            elif text[1:].isalpha() and text[0] == " ":  # a word as it is
+                out.append(young.get(text) or made(text))
+            else:
+                out.append(b"".join([young.get(word) or made(word) for word in self.words(text)]))
+        self.known.keep(fresh)
         return out
 
 
@@ -191,6 +198,13 @@ class Texts(Pieces):
         return [whole[n] if n in whole else next(rest) for n in range(len(texts))]
 
 
+    def encode_column(self, texts: pa.Array, aside: pa.Array | None = None) -> list[np.ndarray]:
+        for token in self.added:
+            found = pc.fill_null(pc.match_substring(texts, token), False)
+            aside = found if aside is None else pc.or_(aside, found)
+        return super().encode_column(texts, aside)
+
+
 _loaded: dict[str, Texts] = {}
 
 
@@ -205,6 +219,14 @@ def vocabulary_size(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
 
 
+def parts_of(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about PART_BYTES of one column, a row at least."""
+    part = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)) // PART_BYTES
+    begins = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(begins, begins[1:]):
+        yield batch.slice(begin, end - begin)
+
+
 def write_tokens(docs: DataFrame, path: str, pattern: str, target: str, end_id: int) -> None:
     """Encodes whole texts, ends each with end_id, and writes shards under target.
 
@@ -219,7 +241,7 @@ def write_tokens(docs: DataFrame, path: str, pattern: str, target: str, end_id:
     end = np.array([end_id], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_all = tokenizer(path, pattern).encode_all
+        encode_column = tokenizer(path, pattern).encode_column
         part, first, held, ids, kind_of = TaskContext.get().partitionId(), 0, 0, [], None
         documents: list[np.ndarray] = []
 
@@ -230,11 +252,9 @@ def write_tokens(docs: DataFrame, path: str, pattern: str, target: str, end_id:
 
         for batch in batches:
             kind_of = batch.column(0).type
-            for begin in range(0, batch.num_rows, 256):
-                some = batch.slice(begin, 256)
-                encoded = encode_all([text or "" for text in some.column(2).to_pylist()])
-                for name, data in zip(some.column(0).to_pylist(), encoded):
-                    found = np.frombuffer(data + end.tobytes(), "<u4")
+            for some in parts_of(batch, 2):
+                for name, data in zip(some.column(0).to_pylist(), encode_column(some.column(2))):
+                    found = np.append(data, end)
                     documents.append(found)
                     ids.append(name)
                     held += len(found)

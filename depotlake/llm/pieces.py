@@ -11,6 +11,10 @@ import re
 import sys
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Bytes that a worker's memory of pieces takes at most.
 MEMORY = 256 << 20
 #: Strings of more characters are not remembered; there are too many of them, and each is rare.
@@ -55,11 +59,14 @@ class Memory:
 
     def keep(self, found: dict[str, bytes]) -> None:
         """What ``put`` does, with what the younger generation has been given already."""
-        short = {key: value for key, value in found.items() if len(key) <= LONGEST}
+        short = found
+        if max(map(len, found), default=0) > LONGEST:
+            short = {key: value for key, value in found.items() if len(key) <= LONGEST}
         cost = sum(map(sys.getsizeof, short)) + sum(map(sys.getsizeof, short.values())) + _ENTRY * len(short)
         full = self.held + cost > self.limit // 2
-        for key in found if full else found.keys() - short.keys():
-            del self.young[key]
+        if full or short is not found:
+            for key in found if full else found.keys() - short.keys():
+                del self.young[key]
         if full:
             self.old, self.young, self.held = self.young, {}, 0
             if cost > self.limit // 2:
@@ -92,6 +99,64 @@ class Pieces:
             out[n] = ids
         return out
 
+    def encode_column(self, texts: pa.Array, aside: pa.Array | None = None) -> list[np.ndarray]:
+        """The ids of each text of an Arrow column, null as empty; the same as ``encode_all`` gives.
+
+        A piece is looked up once in the column, however often it stands there. Texts that are
+        ``aside``, very long, or have white space next to a space go through ``encode_all``.
+        """
+        if not len(texts):
+            return []
+        texts = pc.fill_null(texts, "")
+        long = pc.greater(pc.utf8_length(texts), CHUNK)
+        aside = long if aside is None else pc.or_(long, aside)
+        split = pc.split_pattern(pc.if_else(aside, pa.scalar("", texts.type), texts), " ")
+        ends = split.offsets.to_numpy()[1:].astype(np.int64)
+        at_first = split.offsets.to_numpy()[:-1].astype(np.int64)
+        pieces = split.flatten()
+        later = np.ones(len(pieces), bool)
+        later[at_first] = False
+        firsts = pieces.take(pa.array(at_first)).to_numpy(zero_copy_only=False).tolist()
+        coded = pieces.filter(pa.array(later)).dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes = np.empty(len(pieces), np.int32)
+        codes[later] = coded.indices.to_numpy()
+        codes[at_first] = len(names) + np.arange(len(firsts))
+
+        ids = list(map(self.memory.young.get, names))
+        holes = [n for n, found in enumerate(ids) if found is None]
+        uneven = {n for n in holes if not names[n] or names[n][0].isspace() or names[n][-1].isspace()}
+        fresh = {names[n]: self.memory.old.get(names[n]) for n in holes if n not in uneven}
+        new = [p for p, found in fresh.items() if found is None]
+        made = self.encode_many([first for first in firsts if first] + [" " + p for p in new])
+        of_first = iter(made)
+        heads = [next(of_first) if first else b"" for first in firsts]
+        fresh.update(zip(new, of_first))
+        for n in holes:
+            ids[n] = b"" if n in uneven else fresh[names[n]]
+        self.memory.put(fresh)
+
+        by_library = aside.to_numpy(zero_copy_only=False).copy()
+        more = ends - at_first > 1
+        by_library |= more & np.array([not first or first[-1].isspace() for first in firsts])
+        if uneven:
+            odd = np.zeros(len(names) + len(firsts), bool)
+            odd[list(uneven)] = True
+            by_library |= np.logical_or.reduceat(odd[codes], at_first)
+
+        ids += heads
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        tokens = np.frombuffer(b"".join(ids), "<u4")
+        counts = sizes[codes]
+        reached = np.cumsum(counts)
+        at = np.repeat((np.cumsum(sizes) - sizes)[codes] - reached + counts, counts)
+        at += np.arange(len(at))
+        found = tokens[at]
+        out = np.split(found, reached[ends[:-1] - 1])
+        for n in np.flatnonzero(by_library).tolist():
+            out[n] = np.frombuffer(self.encode_all([texts[n].as_py()])[0], "<u4")
+        return out
+
     def _encoded(self, parts: Sequence[tuple[bool, str]]) -> list[bytes]:
         known = self.memory.young
         rows = []  # first piece, pieces, last piece

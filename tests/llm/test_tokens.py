@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from corpora import edge_docs, edge_rows, empty_docs
@@ -177,3 +178,45 @@ def test_added_tokens_are_the_library():
     assert wanted[0].count(50256) == 1
     assert [ids(i) for i in own.encode_all(texts)] == wanted
     assert [ids(b"".join(own.encode(text))) for text in texts] == wanted
+
+
+def test_columns_are_the_library(tokenizer):
+    """Texts with white space next to spaces, long ones and nulls among others, again and again."""
+    own = pieces.Pieces(packing.Words(WHOLE, PATTERN, special=False), memory=100_000)
+    texts = [*odd_texts(3000, 7), None, "", " ", "a", " a", "a ", "a  b", "a\n b", "a \nb", "x é" * (pieces.CHUNK // 2)]
+    wanted = [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["left out", *texts], kind).slice(1)
+        assert [i.tolist() for i in own.encode_column(column)] == wanted
+    assert own.encode_column(pa.array([], pa.string())) == []
+    assert [i.tolist() for i in own.encode_column(pa.array([None], pa.string()))] == [[]]
+
+
+def test_columns_with_added_tokens_are_the_library():
+    own, plain = packing.tokenizer(WHOLE, PATTERN), Tokenizer.from_file(WHOLE)
+    texts = ["foo <|endoftext|> bar", "no token", None, "a<|endoftext|> <|endoftext|>  b 中文"]
+    wanted = [plain.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert [i.tolist() for i in own.encode_column(pa.array(texts))] == wanted
+
+
+def test_a_piece_of_a_column_is_looked_up_once():
+    asked = []
+
+    class Asked(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return super().get(key, default)
+
+    own = pieces.Pieces(lambda texts: [b"1234" for _ in texts])
+    own.memory.young = Asked()
+    assert [len(i) for i in own.encode_column(pa.array(["a b c b", "c b b", "b"]))] == [4, 3, 1]
+    assert sorted(asked) == ["b", "c"]
+
+
+def test_batches_are_cut_by_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "PART_BYTES", 10)
+    texts = ["abc", None, "x" * 35, "", "abcdef", "abcdef", "é" * 5]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    parts = [part.column(0).to_pylist() for part in packing.parts_of(batch, 0)]
+    assert [t for part in parts for t in part] == texts and len(parts) > 3
+    assert all(sum(len((t or "").encode()) for t in part[1:]) <= 20 for part in parts)
