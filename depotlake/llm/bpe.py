@@ -19,6 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from depotlake.llm.pieces import MEMORY, Memory, Pieces
+from depotlake.llm.words import release
 
 #: What a remembered pair of tokens takes.
 _PAIR_BYTES = 128
@@ -158,6 +159,8 @@ def _rows(docs: DataFrame, column: str, make: Callable[[str], tuple], schema: st
                 columns = list(zip(*made)) if made else [[] for _ in fields]
                 arrays = [pa.array(values, field.type) for values, field in zip(columns, fields)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *arrays], ["doc_id", *fields.names])
+            batch = part = None
+        release()
 
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
     return docs.select("doc_id", column).mapInArrow(run, f"doc_id {kind}, {schema}")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlake.llm.tables import text_of
-from depotlake.llm.words import batches, buffer, prefix_hash, runs, span_hash
+from depotlake.llm.words import batches, buffer, prefix_hash, release, runs, span_hash
 
 BUCKETS = 1 << 20
 #: Bytes of the beginnings of words that are terms of their own.
@@ -97,6 +97,7 @@ def _slices(given: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Rec
     for batch in given:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+        del batch
 
 
 def held_out(doc_id: Column) -> Column:
@@ -224,6 +225,8 @@ def scored(docs: DataFrame, machine: Machine, *carried: Column) -> DataFrame:
             row, place = _places(some.column(some.num_columns - 1).to_pylist(), machine.buckets)
             scores = machine.scores(row, place, some.num_rows)
             yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.array(scores)], [*some.schema.names[:-1], "score"])
+            del some
+        release()
 
     return given.mapInArrow(run, shown.add("score", "double"))
 
@@ -240,6 +243,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of docs that score below CUT, all columns."""
+    """The rows of docs that score below CUT, all columns. A worker gets each row once and gives back those that stay."""
     machine = train(labelled_sample(docs, labels, rows))
-    return scored(docs, machine, F.struct("*").alias("row")).where(F.col("score") < CUT).select("row.*")
+    text = docs.columns.index("text")
+
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _slices(given):
+            row, place = _places(some.column(text).to_pylist(), machine.buckets)
+            yield some.filter(pa.array(machine.scores(row, place, some.num_rows) < CUT))
+            del some
+        release()
+
+    return docs.mapInArrow(run, docs.schema)

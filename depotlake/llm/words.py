@@ -19,6 +19,11 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 CHUNK = 1 << 20
 
 
+def release() -> None:
+    """Gives back Arrow memory that nothing uses. Workers are used again, and Arrow would keep it for the next task."""
+    pa.default_memory_pool().release_unused()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scatters 64-bit numbers (the finaliser of splitmix64)."""
     x = x.astype(np.uint64, copy=True)

@@ -89,3 +89,18 @@ def test_machine_is_the_formula():
         0.3 + machine.weights[1],
     ]
     assert np.allclose(machine.scores(row, term, 3), 1 / (1 + np.exp(-np.array(raw))))
+
+
+def test_the_filter_sends_each_row_once(spark, pairs):
+    docs, labels = pairs
+    docs = docs.withColumn("more", F.create_map(F.lit("a"), F.array("doc_id"))).repartition(3)
+    left = toxicity.drop_toxic(docs, labels)
+    plan = left._jdf.queryExecution().analyzed()
+    while plan.nodeName() != "MapInArrow":
+        plan = plan.children().head()
+    assert plan.children().head().schema().simpleString() == docs.schema.simpleString()
+    stays = {r.doc_id for r in toxicity.score_documents(docs, labels).where("predicted = 0").collect()}
+    rows = left.collect()
+    assert left.schema.simpleString() == docs.schema.simpleString() and 0 < len(rows) < docs.count()
+    assert {r.doc_id for r in rows} == stays and len(rows) == len(stays)
+    assert all(r.more == {"a": [r.doc_id]} for r in rows)
