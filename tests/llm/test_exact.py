@@ -60,3 +60,19 @@ def test_state_settings_are_put_back(spark):
     before = spark.conf.get(key)
     exact.exact_duplicates(edge_docs(spark))
     assert spark.conf.get(key) == before
+
+
+def test_state_has_bounded_memory(spark, monkeypatch):
+    """The stores of all partitions share one bounded memory while the stream runs; later the session is as before."""
+    bounded, seen = f"{exact.STATE}.rocksdb.boundedMemoryUsage", []
+    path = exact.Scratch.path
+
+    def noted(self, name):
+        if name.startswith("updates/batch"):
+            seen.append(spark.conf.get(bounded, None))
+        return path(self, name)
+
+    monkeypatch.setattr(exact.Scratch, "path", noted)
+    exact.exact_duplicates(edge_docs(spark)).count()
+    assert seen and set(seen) == {"true"}
+    assert spark.conf.get(bounded, None) is None

@@ -98,3 +98,19 @@ def test_stages_keep_what_they_should(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "source_mixing", "byte_bpe"]
     docs = edge_docs(spark)
     assert exact.drop_exact_duplicates(docs).count() < docs.count()
+
+
+@pytest.mark.parametrize("stage", ["toxicity", "near_dedup", "byte_bpe"])
+def test_workers_get_few_rows_at_once(spark, stage):
+    """An executor and its worker never hold a whole file of texts; a smaller limit of the session stays."""
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    before = spark.conf.get(limit)
+    try:
+        for given, then in ((10000, 1000), (0, 1000), (7, 7)):
+            spark.conf.set(limit, given)
+            dict(corpus_pipeline.STAGES)[stage](spark, docs, small)
+            assert int(spark.conf.get(limit)) == then
+    finally:
+        spark.conf.set(limit, before)
