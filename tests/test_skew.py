@@ -268,3 +268,24 @@ def test_windows_hold_a_row_for_each_day(stored):
     plan = with_histories(stored, CUSTOMER, policy=SHORT)._jdf.queryExecution().optimizedPlan()
     windows = [x for x in plan.toString().splitlines() if "Window [" in x]
     assert windows and not any("line_id" in x or "order_key" in x for x in windows)
+
+
+def test_lines_and_entries_stay_where_they_are_stored(spark, stored):
+    """Only outputs are shuffled, and rows for each range: neither the full lines nor the entries again."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = with_histories(stored, CUSTOMER, SUPPLIER, PRODUCT, policy=SHORT)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: false" not in plan and plan.count("Bucketed: true") >= 2
+        assert plan.count("Exchange hashpartitioning(shiftright(line_id") == 1
+        assert "Exchange hashpartitioning(line_id" not in plan
+        plain = with_histories(stored, CUSTOMER, SUPPLIER, PRODUCT, policy=ONE_RANGE)
+        assert rows_of(found) == rows_of(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_missing_lines_are_an_error(stored):
+    """Outputs are found by a line's place in its block, so none may be left out."""
+    with pytest.raises(Exception, match="stored lines are missing"):
+        with_histories(stored.filter("customer_key <> 0"), CUSTOMER, policy=SHORT).collect()
